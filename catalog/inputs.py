@@ -7,10 +7,12 @@ same lines as rows, with the structure in columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineloom.operators import java, query
+from lineloom.operators import graph, java, query
 from lineloom.operators.lines import numbered_lines
 from lineloom.session import staged
 
@@ -160,14 +162,40 @@ def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Indexes of this session: built once, then queried, as an index is.
+_INDEXES: dict[tuple, DataFrame] = {}
+
+
+def kept(name: str, spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (name, spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        _INDEXES[key] = staged(build())
+    return _INDEXES[key]
+
+
+def forget() -> None:
+    """Drop the indexes, so that the next query builds what it needs."""
+    _INDEXES.clear()
+
+
 def java_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(numbered_lines(java_files(spark, sf_dir), "java"))
+    return kept("java_lines", spark, sf_dir, lambda: numbered_lines(java_files(spark, sf_dir), "java"))
 
 
 def python_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(numbered_lines(python_files(spark, sf_dir), "python"))
+    return kept("python_lines", spark, sf_dir, lambda: numbered_lines(python_files(spark, sf_dir), "python"))
 
 
 def line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored ``lines`` table of the Java inputs."""
-    return staged(query.stored_lines(java.line_context(java_lines(spark, sf_dir))))
+    return kept(
+        "line_table", spark, sf_dir, lambda: query.stored_lines(java.line_context(java_lines(spark, sf_dir)))
+    )
+
+
+def graph_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> DataFrame:
+        lines = java_lines(spark, sf_dir)
+        return graph.build(lines, staged(java.declarations(lines)))
+
+    return kept("graph_elements", spark, sf_dir, build)

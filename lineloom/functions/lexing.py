@@ -34,12 +34,12 @@ def _is_literal(t: Column) -> Column:
 
 
 def java_code(content: Column) -> Column:
-    """Java text with comments as spaces and literals as underscores."""
+    """Java text with comments as spaces and literals as underscores, place by place."""
 
     def piece(t: Column) -> Column:
         return (
-            F.when(t.startswith("/*") | t.startswith("//"), F.regexp_replace(t, r"[^\n]+", " "))
-            .when(_is_literal(t), F.regexp_replace(t, r"[^\n]+", "_"))
+            F.when(t.startswith("/*") | t.startswith("//"), F.regexp_replace(t, r"[^\n]", " "))
+            .when(_is_literal(t), F.regexp_replace(t, r"[^\n]", "_"))
             .otherwise(t)
         )
 

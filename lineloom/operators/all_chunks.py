@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lineloom.operators import files as paths
 from lineloom.operators import java, markup, merge, python_source, sql_source
 from lineloom.operators.lines import numbered_lines
+from lineloom.plans.scan import block_for
 from lineloom.session import staged
 
 Chunker = Callable[[DataFrame], DataFrame]
@@ -19,7 +20,9 @@ COLUMNS = ["type", "name", "chunk_no", "start_line", "end_line", "file_path", "s
 
 def java_chunks(files: DataFrame) -> DataFrame:
     """Java chunks with the small ones folded in."""
-    return merge.merge_small(java.chunks(staged(numbered_lines(files, "java"))))
+    lines = staged(numbered_lines(files, "java"))
+    block = block_for(lines)
+    return merge.merge_small(java.chunks(lines, block=block), block=block)
 
 
 def python_chunks(files: DataFrame) -> DataFrame:

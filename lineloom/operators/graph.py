@@ -19,7 +19,12 @@ NOT_CALLS = ("if", "for", "while", "switch", "catch", "synchronized", "return",
 NOT_TYPES = ("return", "throw", "new", "else", "case", "package", "import", "goto", "assert", "yield")
 
 _CALL = r"([A-Za-z_$][\w$]*)\s*\("
-_CALL_CODE = r"[A-Za-z_$][\w$]*\s*\([^()]*\)"
+# A name and its parenthesis, with up to two levels of parentheses inside. Looking
+# ahead lets calls inside calls be found as well.
+_CALL_CODE = (
+    r"(?<![\w$])(?=([A-Za-z_$][\w$]*\s*\("
+    r"[^()]*+(?:\([^()]*+(?:\([^()]*+\)[^()]*+)*+\)[^()]*+)*+\)?))"
+)
 _LOCAL = (
     r"^\s*(?:final\s+)?(?!(?:return|throw|new|else|case|package|import|goto|assert|yield)\b)"
     r"[A-Za-z_$][\w.$]*(?:<[^=;()]*>)?(?:\[\])*\s+([A-Za-z_$][\w$]*)\s*(?:=[^=]|;)"
@@ -81,17 +86,33 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
 
     # Calls and locals of a line, each with the innermost declaration around the line.
     code = F.col("code")
+    # Literals are blanked place by place in ``code``: the text of a call is read at
+    # its place in ``source``.
+    placed_calls = F.aggregate(
+        F.regexp_extract_all(code, F.lit(_CALL_CODE), F.lit(1)),
+        F.array().cast("array<struct<at:int,code:string>>"),
+        lambda acc, c: F.array_append(
+            acc,
+            F.struct(
+                F.call_function(
+                    "locate", c, code, F.coalesce(F.get(acc, F.size(acc) - 1)["at"], F.lit(0)) + 1
+                ).alias("at"),
+                c.alias("code"),
+            ),
+        ),
+    )
     calls = F.transform(
-        F.filter(
-            F.regexp_extract_all(code, F.lit(_CALL_CODE), F.lit(0)),
-            lambda c: ~F.regexp_extract(c, _CALL, 1).isin(*NOT_CALLS),
+        F.filter(placed_calls, lambda c: ~F.regexp_extract(c["code"], _CALL, 1).isin(*NOT_CALLS)),
+        lambda c: F.struct(
+            F.lit("call").alias("kind"),
+            F.regexp_extract(c["code"], _CALL, 1).alias("name"),
+            F.substr(F.col("source"), c["at"], F.length(c["code"])).alias("code"),
         ),
-        lambda c: F.struct(F.lit("call").alias("kind"), F.regexp_extract(c, _CALL, 1).alias("name"), c.alias("code")),
     )
     local = F.regexp_extract(code, _LOCAL, 1)
     locals_ = F.when(
         local != "",
-        F.array(F.struct(F.lit("local").alias("kind"), local.alias("name"), text.strip(code).alias("code"))),
+        F.array(F.struct(F.lit("local").alias("kind"), local.alias("name"), text.strip(F.col("source")).alias("code"))),
     ).otherwise(F.array().cast("array<struct<kind:string,name:string,code:string>>"))
     found = lines.select(
         "file_path", "line_no", F.posexplode(F.concat(calls, locals_)).alias("item", "e")

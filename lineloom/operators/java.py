@@ -18,7 +18,7 @@ from lineloom.functions import text
 from lineloom.operators.segment import span_pieces
 from lineloom.operators.spans import match_closes
 from lineloom.plans.ranges import join_covering
-from lineloom.plans.scan import BLOCK, with_running
+from lineloom.plans.scan import block_for, with_running
 from lineloom.schemas import MAX_CHUNK_LINES
 
 _ANNOTATION_ARGUMENTS = r"@[\w.]+\s*\([^()]*\)"
@@ -72,13 +72,14 @@ def _statement_pieces(lines: DataFrame, block: int) -> DataFrame:
     )
 
 
-def declarations(lines: DataFrame, block: int = BLOCK) -> DataFrame:
+def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
     """Packages, types and methods of each file.
 
     ``file_path, n_lines, kind, name, span_start, place, span_end, end_place,
     doc_start, doc_end``; ``place`` tells apart what shares a line, the doc columns
     are null without a documentation comment. A package spans the rest of its file.
     """
+    block = block_for(lines, block=block)
     pieces = _statement_pieces(lines, block).where("is_code")
     part = F.col("part")
 
@@ -149,13 +150,14 @@ def chunks(
     *,
     limit: int = MAX_CHUNK_LINES,
     spans: DataFrame | None = None,
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """A chunk per class and method, in pieces where a span is long.
 
     Carries ``span_start, span_end, place`` so that the emission order (outer span
     before inner) can be told.
     """
+    block = block_for(lines, block=block)
     spans = declarations(lines, block) if spans is None else spans
     wanted = spans.where(F.col("kind").isin("class", "method")).select(
         "file_path",
@@ -190,7 +192,7 @@ def packages(spans: DataFrame) -> DataFrame:
 
 
 def line_context(
-    lines: DataFrame, *, spans: DataFrame | None = None, block: int = BLOCK
+    lines: DataFrame, *, spans: DataFrame | None = None, block: int | None = None
 ) -> DataFrame:
     """Every line with the innermost ``parent_type`` (qualified) and ``parent_method``.
 

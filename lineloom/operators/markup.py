@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from lineloom.functions import text
 from lineloom.operators.segment import joined_lines
-from lineloom.plans.scan import BLOCK, with_running
+from lineloom.plans.scan import block_for, with_running
 
 # Fixed value: openings that begin a new chunk.
 TAG = r"(?i)^\s*<(%|jsp:|custom:|script|!--)"
 
 
-def chunks(files: DataFrame, *, tag_boundaries: bool = True, block: int = BLOCK) -> DataFrame:
+def chunks(files: DataFrame, *, tag_boundaries: bool = True, block: int | None = None) -> DataFrame:
     """Chunks of type ``jsp``; line terminators stay in the text.
 
     A chunk begins at a line that opens one of the tags, or at the second of two
     blank lines. ``tag_boundaries=False`` keeps the second rule only.
     """
+    block = block_for(files, text.newline_count(F.col("content")) + 1, block)
     body = files.where(F.col("content") != "").select(
         "file_path", text.unify_newlines(F.col("content")).alias("content")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lineloom.functions import lexing, text
 from lineloom.operators.segment import span_pieces
 from lineloom.operators.spans import match_closes
-from lineloom.plans.scan import BLOCK, with_running
+from lineloom.plans.scan import block_for, with_running
 from lineloom.schemas import MAX_CHUNK_LINES
 
 _DECLARATION = r"(?U)^\s*(async\s+def|def|class)\s+([^\W\d]\w*)"
@@ -66,9 +66,10 @@ def docstrings(files: DataFrame) -> DataFrame:
     )
 
 
-def declarations(lines: DataFrame, block: int = BLOCK) -> DataFrame:
+def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
     """``def``, ``async def`` and ``class`` at any depth: ``file_path, n_lines, type,
     name, span_start, span_end``. Decorators are outside the span."""
+    block = block_for(lines, block=block)
     code = F.col("code")
     is_code = code != ""
     step = F.regexp_count(code, F.lit(r"[(\[{]")) - F.regexp_count(code, F.lit(r"[)\]}]"))
@@ -160,9 +161,10 @@ def chunks(
     *,
     limit: int = MAX_CHUNK_LINES,
     spans: DataFrame | None = None,
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """A chunk per declaration, in pieces where it is long."""
+    block = block_for(lines, block=block)
     spans = declarations(lines, block) if spans is None else spans
     return span_pieces(
         lines, spans.drop("n_lines"), text.COMMENT_MARKS["python"], limit=limit, block=block

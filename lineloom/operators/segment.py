@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lineloom.functions import text
 from lineloom.plans.ranges import join_covering
-from lineloom.plans.scan import BLOCK, with_running
+from lineloom.plans.scan import WHOLE, block_for, with_running
 from lineloom.schemas import MAX_CHUNK_LINES
 
 
@@ -37,10 +37,11 @@ def piece_start(first: Column, last_break: Column, line_no: Column, limit: int)
 def _pieces(rows: DataFrame, span: Sequence[str], drop_blank: bool, block: int) -> DataFrame:
     """Group lines to pieces and number the pieces of a span from 1."""
     group = [*span, "n_lines", "piece_start"]
-    # One shuffle serves the grouping and the numbering: both keep to the blocks.
+    at = F.lit(0) if block == WHOLE else F.floor(F.col("piece_start") / F.lit(block))
+    # One shuffle serves the grouping and the numbering: both keep to spans and blocks.
     grouped = (
-        rows.withColumn("_block", F.floor(F.col("piece_start") / F.lit(block)))
-        .repartition(*span, "_block")
+        rows.withColumn("_block", at)
+        .repartition(*span, *([] if block == WHOLE else ["_block"]))
         .groupBy(*group, "_block")
         .agg(F.max("line_no").alias("piece_end"), joined_lines().alias("source"))
     )
@@ -64,13 +65,14 @@ def span_pieces(
     *,
     limit: int = MAX_CHUNK_LINES,
     drop_blank: bool = False,
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """Text of every span; spans longer than ``limit`` lines come in pieces.
 
     ``spans`` has ``file_path, span_start, span_end`` plus columns that tell spans
     apart, all kept. Spans may nest; a line then counts for each span around it.
     """
+    block = block_for(lines, block=block)
     broken = with_running(
         lines.select("file_path", "n_lines", "line_no", "source"),
         ["file_path"],
@@ -95,12 +97,13 @@ def segment_lines(
     *,
     limit: int = MAX_CHUNK_LINES,
     drop_blank: bool = False,
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """Pieces of lines that are a span by themselves: one span per ``keys``.
 
     ``lines`` has the keys, ``n_lines, span_start, line_no, source``.
     """
+    block = block_for(lines, block=block)
     broken = with_running(
         lines,
         keys,

@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from lineloom.functions import text
 from lineloom.operators.segment import segment_lines
-from lineloom.plans.scan import BLOCK, with_running
+from lineloom.plans.scan import block_for, with_running
 from lineloom.schemas import MAX_CHUNK_LINES
 
 _STATEMENT = r"(?s).+?(?:;\s*\n|\z)"
 _END = r";\s*\n\z"
 
 
-def statements(files: DataFrame, *, split_statements: bool = True, block: int = BLOCK) -> DataFrame:
+def statements(files: DataFrame, *, split_statements: bool = True, block: int | None = None) -> DataFrame:
     """``file_path, n_lines, start_line, end_line, source`` per statement.
 
     A statement ends at a semicolon that white space and a line end follow. With
     ``split_statements=False`` a file is one statement.
     """
+    block = block_for(files, text.newline_count(F.col("content")) + 1, block)
     body = files.where(F.col("content") != "").select(
         "file_path", text.unify_newlines(F.col("content")).alias("content")
     )
@@ -62,9 +63,10 @@ def chunks(
     *,
     limit: int = MAX_CHUNK_LINES,
     split_statements: bool = True,
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """A chunk per statement, in numbered pieces where it is long."""
+    block = block_for(files, text.newline_count(F.col("content")) + 1, block)
     found = statements(files, split_statements=split_statements, block=block)
     is_long = F.col("end_line") - F.col("start_line") >= limit
     short = found.where(~is_long).withColumn("chunk_no", F.lit(1))

@@ -1,11 +1,10 @@
 """Running values along ordered groups, without one task per group.
 
-A plain window over ``partitionBy(file)`` puts a whole file into one task. Here a
-group is cut into blocks of consecutive positions: the window runs inside a
+A plain window over ``partitionBy(file)`` puts a whole file into one task. That is
+fine where every file is known to be short, and ``block_for`` checks it. Beyond
+that a group is cut into blocks of consecutive positions: the window runs inside a
 block, and each block receives what the blocks before it add up to. The second
-part reads only groups longer than one block, which the caller can name with a
-cheap filter (``spans_blocks``), so ordinary files cost one window and nothing
-more.
+part reads only the groups longer than one block.
 """
 
 from __future__ import annotations
@@ -18,6 +17,21 @@ from pyspark.sql import functions as F
 BLOCK = 65_536
 
 
+# Block size that stands for "no blocks": every group is known to be short.
+WHOLE = 0
+
+
+def block_for(rows: DataFrame, lines: Column | None = None, block: int | None = None) -> int:
+    """``WHOLE`` where no file has ``BLOCK`` lines, else ``BLOCK``; a given block stays.
+
+    ``lines`` is the line count of a row's file, by default the column ``n_lines``.
+    """
+    if block is not None:
+        return block
+    longest = rows.agg(F.max(F.col("n_lines") if lines is None else lines)).first()[0]
+    return BLOCK if (longest or 0) >= BLOCK else WHOLE
+
+
 def with_running(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,10 +53,18 @@ def with_running(
     ``df`` already has, and may be partitioned by, is used and dropped.
     """
     sums, lasts = sums or {}, lasts or {}
+    ordering = [F.desc(c) if reverse else F.asc(c) for c in order]
+    if block == WHOLE:
+        window = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(
+            *[c for c in df.columns if c != "_block"],
+            *[F.coalesce(F.sum(e).over(window), F.lit(0)).alias(n) for n, e in sums.items()],
+            *[F.last(e, ignorenulls=True).over(window).alias(n) for n, e in lasts.items()],
+        )
+
     blocked = df
     if "_block" not in df.columns:
         blocked = df.withColumn("_block", F.floor(F.col(order[0]) / F.lit(block)))
-    ordering = [F.desc(c) if reverse else F.asc(c) for c in order]
     window = (
         Window.partitionBy(*keys, "_block")
         .orderBy(*ordering)
