@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from lineloom.operators import graph, java, query
 from lineloom.operators.lines import numbered_lines
-from lineloom.session import staged
+from lineloom.session import spread, staged
 
 USER_PREFIXES = ["app."]
 HASH_DIM = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def java_files(spark: SparkSession, sf_dir: str) -> DataFrame:

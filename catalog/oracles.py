@@ -235,8 +235,8 @@ def _queries() -> dict[str, str]:
       SELECT trace_id, 1::BIGINT AS frame_no, 'java.util.List' AS class, 'forEach' AS method, 'List.java' AS file, 10 + o % 90 AS line, false AS is_user_code FROM tr WHERE framed
       UNION ALL SELECT trace_id, 2, cls, method, 'C' || k || '.java', line, has_user FROM tr WHERE framed
       UNION ALL SELECT trace_id, 3, 'org.lib.Run', 'go', 'Run.java', 7, false FROM tr WHERE framed"""
-    q["trace_root"] = f"""WITH {D.TRACES} SELECT r.trace_id, r.class, r.method, r.file, r.line,
-      CASE WHEN t.framed THEN t.has_user END AS is_user_code FROM troot r JOIN tr t ON r.trace_id = t.trace_id"""
+    q["trace_root"] = f"""WITH {D.TRACES} SELECT r.trace_id, r.class, r.method, r.file, coalesce(r.line, 0) AS line,
+      t.framed AND t.has_user AS is_user_code FROM troot r JOIN tr t ON r.trace_id = t.trace_id"""
     q["trace_context"] = f"WITH {CONTEXT} SELECT trace_id, file_path, parent_type, parent_method, n, first_line, code FROM ctx"
     q["trace_unmatched"] = f"""WITH {CONTEXT} SELECT trace_id, class, method FROM troot
       WHERE class IS NOT NULL AND trace_id NOT IN (SELECT trace_id FROM ctx)"""

@@ -290,7 +290,15 @@ def trace_frames(spark, sf):
 
 @registered
 def trace_root(spark, sf):
-    return trace.with_root(inputs.traces(spark, sf), USER_PREFIXES).select("trace_id", "root.*")
+    rooted = trace.with_root(inputs.traces(spark, sf), USER_PREFIXES)
+    return rooted.select(
+        "trace_id",
+        "root.class",
+        "root.method",
+        "root.file",
+        F.coalesce("root.line", F.lit(0)).alias("line"),
+        F.coalesce("root.is_user_code", F.lit(False)).alias("is_user_code"),
+    )
 
 
 def contexts(spark, sf):
@@ -575,7 +583,7 @@ SQL_TEXTS = {
         FROM lines a JOIN lines b ON a.file_path = b.file_path AND b.file_line_no = a.file_line_no + 1
         WHERE a.parent_method <> b.parent_method""",
     "sql_join_left": """
-        SELECT a.file_path, a.file_line_no, b.n
+        SELECT a.file_path, a.file_line_no, coalesce(b.n, 0) AS n
         FROM (SELECT file_path, file_line_no FROM lines WHERE source LIKE '%class In%' OR source LIKE 'package%') a
         LEFT JOIN (SELECT file_path, count(*) AS n FROM lines WHERE parent_method = 'x' GROUP BY file_path) b
           ON a.file_path = b.file_path""",
@@ -592,7 +600,7 @@ SQL_TEXTS = {
         SELECT file_path, file_line_no,
                CAST(sum(length(source)) OVER (PARTITION BY file_path, parent_method ORDER BY file_line_no
                    ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS recent,
-               lag(file_line_no) OVER (PARTITION BY file_path, parent_method ORDER BY file_line_no) AS before
+               lag(file_line_no, 1, 0) OVER (PARTITION BY file_path, parent_method ORDER BY file_line_no) AS before
         FROM lines WHERE parent_method IS NOT NULL""",
     "sql_set_ops": """
         (SELECT file_path FROM lines WHERE parent_method = 'm1' INTERSECT SELECT file_path FROM lines WHERE parent_method = 'm2')

@@ -102,22 +102,22 @@ def hash_buckets(df: DataFrame, id_column: str, source: str, dim: int) -> DataFr
 def hash_vectors(df: DataFrame, id_column: str, source: str, dim: int) -> DataFrame:
     """Feature hashing in dense form: ``id, embedding``; texts without tokens drop out."""
     entries = F.array_sort(F.collect_list(F.struct("bucket", "tf")))
-    zeros = lambda n: F.array_repeat(F.lit(0.0).cast("float"), n.cast("int"))
 
-    def filled(e: Column, i: Column) -> Column:
-        before = F.coalesce(F.get("entries", i - 1)["bucket"], F.lit(-1))
-        return F.concat(zeros(e["bucket"] - before - 1), F.array(e["tf"].cast("float")))
-
-    last = F.get("entries", F.size("entries") - 1)["bucket"]
-    return (
-        hash_buckets(df, id_column, source, dim)
-        .groupBy(id_column)
-        .agg(entries.alias("entries"))
-        .select(
-            id_column,
-            F.concat(F.flatten(F.transform("entries", filled)), zeros(F.lit(dim - 1) - last)).alias("embedding"),
-        )
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0.0).cast("float"), n.cast("int"))
+
+    # One walk over the sorted buckets fills the gaps between them with zeros.
+    start = F.struct(F.lit(0).cast("bigint").alias("next"), F.array().cast("array<float>").alias("out"))
+    dense = F.aggregate(
+        entries,
+        start,
+        lambda acc, e: F.struct(
+            (e["bucket"] + 1).alias("next"),
+            F.concat(acc["out"], zeros(e["bucket"] - acc["next"]), F.array(e["tf"].cast("float"))).alias("out"),
+        ),
+        lambda acc: F.concat(acc["out"], zeros(F.lit(dim) - acc["next"])),
     )
+    return hash_buckets(df, id_column, source, dim).groupBy(id_column).agg(dense.alias("embedding"))
 
 
 def call_provider(provider: Provider, texts: list[str], wait: float = FIRST_WAIT):

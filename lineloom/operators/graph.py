@@ -71,7 +71,7 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
     # Declarations, each with the latest declaration that begins before it and reaches it.
     nested = join_covering(declared, around, ["file_path"], "span_start", "a_start", "a_end", how="left")
     earlier = (F.col("a.s") < F.col("span_start")) | ((F.col("a.s") == F.col("span_start")) & (F.col("a.p") < F.col("place")))
-    declarations = nested.groupBy(*declared.columns).agg(
+    declarations = nested.groupBy("_at", *declared.columns).agg(
         F.max(F.when(earlier, F.col("a")))["id"].alias("outer_id")
     ).select(
         "node_id",
@@ -119,7 +119,7 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
     )
     placed = join_covering(found, around, ["file_path"], "line_no", "a_start", "a_end")
     elements = (
-        placed.groupBy("file_path", "line_no", "item", "e")
+        placed.groupBy("file_path", "_at", "line_no", "item", "e")
         .agg(F.max("a").alias("a"))
         .where(F.col("a.k") == "method")
         # The declaration's own header is no call.

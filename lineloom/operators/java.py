@@ -35,40 +35,85 @@ _METHOD = (
 _PACKAGE = r"^\s*package\s+([\w.]+)"
 
 
+def _named(part: Column) -> Column:
+    """``struct<kind, name>`` of what a part of a statement declares, else null."""
+
+    def found(kind: Column, name: Column) -> Column:
+        return F.struct(kind.alias("kind"), name.alias("name"))
+
+    may_be_type = part.contains("class") | part.contains("interface") | part.contains("enum")
+    return (
+        F.when(may_be_type & part.rlike(_TYPE), found(F.regexp_extract(part, _TYPE, 1), F.regexp_extract(part, _TYPE, 2)))
+        .when(part.contains("(") & part.rlike(_METHOD), found(F.lit("method"), F.regexp_extract(part, _METHOD, 1)))
+        .when(part.contains("package") & part.rlike(_PACKAGE), found(F.lit("package"), F.regexp_extract(part, _PACKAGE, 1)))
+    )
+
+
 def _statement_pieces(lines: DataFrame, block: int) -> DataFrame:
-    """Parts of statements with depth, statement number and the comment before them."""
-    code = F.regexp_replace(F.col("code"), _ANNOTATION_ARGUMENTS, "@x ")
-    parts = F.when(text.is_blank(code), F.array(F.lit(""))).otherwise(
-        F.filter(
-            F.regexp_extract_all(code, F.lit(_PIECES), F.lit(0)),
-            lambda p: ~text.is_blank(p),
-        )
+    """Parts of statements, each with the first part (``head``) of its statement, what the
+    statement declares so far (``named``), and the brace depth before the part."""
+    code = F.when(
+        F.col("code").contains("@"), F.regexp_replace("code", _ANNOTATION_ARGUMENTS, "@x ")
+    ).otherwise(F.col("code"))
+    parts = F.filter(
+        F.regexp_extract_all(code, F.lit(_PIECES), F.lit(0)), lambda p: p.rlike(r"\S")
     )
-    pieces = (
-        lines.where(~text.is_blank(F.col("code")) | (F.col("marks") != ""))
-        .select("file_path", "n_lines", "line_no", "marks", F.posexplode(parts).alias("piece", "part"))
-        .withColumn("is_code", F.col("part") != "")
-        .withColumn("end_mark", F.regexp_extract("part", r"[{};]\z", 0))
-        .withColumn("ends", F.col("end_mark") != "")
+    # A line without code, a comment, keeps one empty part.
+    exploded = (
+        lines.where(F.col("marks") != "")
+        .select("file_path", "n_lines", "line_no", "marks", F.posexplode_outer(parts).alias("piece", "part"))
+        .select(
+            "file_path",
+            "n_lines",
+            "line_no",
+            F.coalesce("piece", F.lit(0)).alias("piece"),
+            F.col("part").isNotNull().alias("is_code"),
+            F.when(F.col("part").isNull(), "").otherwise(F.regexp_extract("part", r"[{};]\z", 0)).alias("end_mark"),
+            F.col("marks").endswith("D").alias("opens_doc"),
+            F.col("marks").rlike("^d+$").alias("inside_doc"),
+            _named(F.col("part")).alias("own_name"),
+        )
     )
+    ends = F.col("end_mark") != ""
     step = F.when(F.col("end_mark") == "{", 1).when(F.col("end_mark") == "}", -1).otherwise(0)
     # The comment right before a line: set by the first line of a documentation
     # comment, kept by its later lines, cleared by anything else.
-    is_doc = F.when(F.col("is_code"), F.lit(False)).otherwise(F.col("marks").endswith("D"))
-    goes_on = ~F.col("is_code") & F.col("marks").rlike("^d+$")
+    is_doc = ~F.col("is_code") & F.col("opens_doc")
+    goes_on = ~F.col("is_code") & F.col("inside_doc")
     comment = F.when(~goes_on, F.struct(is_doc.alias("is_doc"), F.col("line_no").alias("at")))
-    return with_running(
-        pieces,
-        ["file_path"],
-        ["line_no", "piece"],
-        sums={"depth": step, "statement": F.col("ends").cast("int")},
+    group, order = ["file_path"], ["line_no", "piece"]
+    long_files = F.col("n_lines") >= block
+    placed = with_running(
+        exploded,
+        group,
+        order,
+        sums={"depth": step},
         lasts={
-            "ended_before": F.when(F.col("is_code"), F.col("ends")),
+            "ended_before": F.when(F.col("is_code"), ends),
             "comment": comment,
             "marked_line": F.col("line_no"),
         },
         block=block,
-        spans_blocks=F.col("n_lines") >= block,
+        spans_blocks=long_files,
+    ).where("is_code")
+    begins = F.coalesce("ended_before", F.lit(True))
+    own_head = F.struct("line_no", "piece", "depth", "comment", "marked_line")
+    # The same order again: the head and the name travel along the statement.
+    carried = with_running(
+        placed,
+        group,
+        order,
+        lasts={
+            "head_before": F.when(begins, own_head),
+            "name_before": F.when(begins | F.col("own_name").isNotNull(), F.struct("own_name")),
+        },
+        block=block,
+        spans_blocks=long_files,
+    )
+    return carried.select(
+        *["file_path", "n_lines", "line_no", "piece", "depth", "end_mark"],
+        F.when(begins, own_head).otherwise(F.col("head_before")).alias("head"),
+        F.coalesce("own_name", F.when(~begins, F.col("name_before.own_name"))).alias("named"),
     )
 
 
@@ -80,32 +125,12 @@ def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
     are null without a documentation comment. A package spans the rest of its file.
     """
     block = block_for(lines, block=block)
-    pieces = _statement_pieces(lines, block).where("is_code")
-    part = F.col("part")
-
-    def named(kind: Column, name: Column) -> Column:
-        return F.struct("line_no", "piece", kind.alias("kind"), name.alias("name"))
-
-    pieces = pieces.select(
-        "*",
-        F.when(part.rlike(_TYPE), named(F.regexp_extract(part, _TYPE, 1), F.regexp_extract(part, _TYPE, 2)))
-        .when(part.rlike(_METHOD), named(F.lit("method"), F.regexp_extract(part, _METHOD, 1)))
-        .when(part.rlike(_PACKAGE), named(F.lit("package"), F.regexp_extract(part, _PACKAGE, 1)))
-        .alias("named"),
-    )
-    # A statement on one line that neither declares nor closes needs no grouping.
-    whole = F.coalesce(F.col("ended_before"), F.lit(True)) & F.col("ends")
-    kept = pieces.where(F.col("named").isNotNull() | ~whole | (F.col("end_mark") == "}"))
-    statements = kept.groupBy("file_path", "n_lines", "statement").agg(
-        F.min(F.struct("line_no", "piece", "depth", "comment", "marked_line")).alias("head"),
-        F.max(F.when(F.col("ends"), F.struct("line_no", "piece", "depth", "end_mark"))).alias("tail"),
-        F.min("named").alias("named"),
-    )
-    mark, kind = F.col("tail.end_mark"), F.col("named.kind")
+    pieces = _statement_pieces(lines, block)
+    mark, kind = F.col("end_mark"), F.col("named.kind")
     opens = ((mark == "{") & (kind != "package")) | ((mark == ";") & kind.isin("method", "package"))
     is_doc = F.col("head.comment.is_doc") & (F.col("head.comment.at") < F.col("head.line_no"))
-    end = F.when(kind == "package", F.col("n_lines")).when(mark == ";", F.col("tail.line_no"))
-    end_place = F.when(kind == "package", 2**31 - 1).otherwise(F.col("tail.piece"))
+    end = F.when(kind == "package", F.col("n_lines")).when(mark == ";", F.col("line_no"))
+    end_place = F.when(kind == "package", 2**31 - 1).otherwise(F.col("piece"))
     opened = F.struct(
         kind.alias("kind"),
         F.col("named.name").alias("name"),
@@ -115,16 +140,14 @@ def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
         F.when(is_doc, F.col("head.comment.at")).alias("doc_start"),
         F.when(is_doc, F.least(F.col("head.marked_line"), F.col("head.line_no") - 1)).alias("doc_end"),
     )
-    events = statements.select(
+    events = pieces.select(
         "file_path",
         "n_lines",
-        F.when(mark == "}", F.col("tail.depth") - 1).otherwise(F.col("head.depth")).alias("level"),
-        F.col("tail.line_no").alias("line_no"),
-        F.col("tail.piece").alias("place"),
+        F.when(mark == "}", F.col("depth") - 1).otherwise(F.col("head.depth")).alias("level"),
+        "line_no",
+        F.col("piece").alias("place"),
         F.when(opens, opened).alias("opened"),
-        F.when(mark == "}", F.struct(F.col("tail.line_no").alias("line"), F.col("tail.piece").alias("place"))).alias(
-            "closed_at"
-        ),
+        F.when(mark == "}", F.struct(F.col("line_no").alias("line"), F.col("piece").alias("place"))).alias("closed_at"),
     ).where(F.col("opened").isNotNull() | F.col("closed_at").isNotNull())
     end_of_file = F.struct(F.col("n_lines").alias("line"), F.lit(2**31 - 1).alias("place"))
     return (
@@ -221,7 +244,9 @@ def line_context(
     )
     kind = F.col("span.kind")
     # As many spans meet on a line as the nesting is deep there.
-    found = met.groupBy("file_path", "n_lines", "line_no", "source").agg(
+    found = met.groupBy("file_path", "_at", "line_no").agg(
+        F.any_value("n_lines").alias("n_lines"),
+        F.any_value("source").alias("source"),
         F.array_sort(F.collect_set(F.when(kind != "method", F.col("span")))).alias("types"),
         F.max(F.when(kind == "method", F.col("span")))["name"].alias("parent_method"),
     )

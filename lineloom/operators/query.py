@@ -84,8 +84,9 @@ def payloads(hits: DataFrame) -> DataFrame:
 def semantic_search(
     points: DataFrame, text: str, dim: int, k: int = TOP_K, key: str = "chunk_id"
 ) -> DataFrame:
-    """Search hashed vectors by the hashed text of a query; folds to one constant."""
-    return vector_store.search(points, V.hashed_text(F.lit(text), dim), k, key)
+    """Search hashed vectors by the hashed text of a query."""
+    one_row = points.sparkSession.range(1).select(V.hashed_text(F.lit(text), dim).alias("v"))
+    return vector_store.search(points, one_row.first()["v"], k, key)
 
 
 def retrieval_context(

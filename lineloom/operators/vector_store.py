@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,13 +51,17 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str = "chunk_id", versi
     return latest.select(key, "row.*").select(*columns)
 
 
-def search(points_df: DataFrame, query: Column | Sequence[float], k: int = TOP_K, key: str = "chunk_id") -> DataFrame:
+def search(points_df: DataFrame, query: Sequence[float], k: int = TOP_K, key: str = "chunk_id") -> DataFrame:
     """The ``k`` points nearest to one query vector, best first, ties by id.
 
     One scan; every task keeps its own best ``k``.
     """
-    vector = query if isinstance(query, Column) else V.literal(query)
-    scored = points_df.withColumn("score", F.round(V.cosine(F.col("embedding"), vector), ROUNDED))
+    length = float(np.sqrt(np.dot(query, query)))
+    if length == 0:
+        raise ValueError("the query vector has no direction")
+    vector, own = V.literal(query), V.as_double(F.col("embedding"))
+    size = F.sqrt(V.dot(own, own)) * F.lit(length)
+    scored = points_df.withColumn("score", F.when(size > 0, F.round(V.dot(own, vector) / size, ROUNDED)))
     return scored.where(F.col("score").isNotNull()).drop("embedding").orderBy(F.desc("score"), F.asc(key)).limit(k)
 
 

@@ -25,7 +25,8 @@ def join_covering(
     Both sides meet on the keys and on the block of ``width`` positions, so a hot
     key spreads over many join partitions and a pair is only tried where the two
     are near each other. Columns of ``ranges`` must differ from those of
-    ``points``, the keys aside.
+    ``points``, the keys aside. The block stays in the result as ``_at``: grouping by
+    keys, ``_at`` and position needs no further shuffle.
     """
     left = points.withColumn("_at", F.floor(F.col(position) / F.lit(width)))
     right = ranges.withColumn(
@@ -39,4 +40,4 @@ def join_covering(
     on = (F.col(position) >= F.col(start)) & (F.col(position) <= F.col(end))
     for k in [*keys, "_at"]:
         on = on & (F.col(k) == F.col(f"_r_{k}"))
-    return left.join(right, on, how).drop("_at", "_r__at", *[f"_r_{k}" for k in keys])
+    return left.join(right, on, how).drop("_r__at", *[f"_r_{k}" for k in keys])

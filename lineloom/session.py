@@ -46,3 +46,13 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores where the input comes in fewer splits than there are cores.
+
+    Text work costs far more than reading its rows; a table in one small file
+    would otherwise run in one task. Inputs of many splits stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
