@@ -14,9 +14,8 @@ from lineloom.functions import text
 from lineloom.plans.ranges import join_covering
 from lineloom.session import staged
 
-# Words that look like calls or local types and are not.
+# Words that look like calls and are not.
 NOT_CALLS = ("if", "for", "while", "switch", "catch", "synchronized", "return", "try", "super", "this", "new", "assert")
-NOT_TYPES = ("return", "throw", "new", "else", "case", "package", "import", "goto", "assert", "yield")
 
 _CALL = r"([A-Za-z_$][\w$]*)\s*\("
 # A name and its parenthesis, with up to two levels of parentheses inside. Looking
@@ -26,8 +25,8 @@ _CALL_CODE = (
     r"[^()]*+(?:\([^()]*+(?:\([^()]*+\)[^()]*+)*+\)[^()]*+)*+\)?))"
 )
 _LOCAL = (
-    r"^\s*(?:final\s+)?(?!(?:return|throw|new|else|case|package|import|goto|assert|yield)\b)"
-    r"[A-Za-z_$][\w.$]*(?:<[^=;()]*>)?(?:\[\])*\s+([A-Za-z_$][\w$]*)\s*(?:=[^=]|;)"
+    r"(?:^|[;{}])\s*(?:final\s+)?(?!(?:return|throw|new|else|case|package|import|goto|assert|yield)\b)"
+    r"[A-Za-z_$][\w.$]*(?:<[^=;()]*>)?(?:\[\])*\s+([A-Za-z_$][\w$]*)(?=\s*(?:=[^=]|;))"
 )
 
 
@@ -109,11 +108,10 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
             F.substr(F.col("source"), c["at"], F.length(c["code"])).alias("code"),
         ),
     )
-    local = F.regexp_extract(code, _LOCAL, 1)
-    locals_ = F.when(
-        local != "",
-        F.array(F.struct(F.lit("local").alias("kind"), local.alias("name"), text.strip(F.col("source")).alias("code"))),
-    ).otherwise(F.array().cast("array<struct<kind:string,name:string,code:string>>"))
+    locals_ = F.transform(
+        F.regexp_extract_all(code, F.lit(_LOCAL), F.lit(1)),
+        lambda n: F.struct(F.lit("local").alias("kind"), n.alias("name"), text.strip(F.col("source")).alias("code")),
+    )
     found = lines.select(
         "file_path", "line_no", F.posexplode(F.concat(calls, locals_)).alias("item", "e")
     )

@@ -164,5 +164,5 @@ def read_tree(
 
 def read_traces(spark: SparkSession, path: str) -> DataFrame:
     """Stack-trace files, one row per file: ``trace_id`` (path) and ``trace``."""
-    texts = spark.read.option("wholetext", "true").text(path)
+    texts = spark.read.text(path, wholetext=True)
     return texts.select(F.col("_metadata.file_path").alias("trace_id"), F.col("value").alias("trace"))
