@@ -56,7 +56,7 @@ def _statement_pieces(lines: DataFrame, block: int) -> DataFrame:
         F.col("code").contains("@"), F.regexp_replace("code", _ANNOTATION_ARGUMENTS, "@x ")
     ).otherwise(F.col("code"))
     parts = F.filter(
-        F.regexp_extract_all(code, F.lit(_PIECES), F.lit(0)), lambda p: p.rlike(r"\S")
+        F.regexp_extract_all(code, F.lit(_PIECES), F.lit(0)), lambda p: ~text.is_blank(p)
     )
     # A line without code, a comment, keeps one empty part.
     exploded = (
@@ -68,9 +68,9 @@ def _statement_pieces(lines: DataFrame, block: int) -> DataFrame:
             "line_no",
             F.coalesce("piece", F.lit(0)).alias("piece"),
             F.col("part").isNotNull().alias("is_code"),
-            F.when(F.col("part").isNull(), "").otherwise(F.regexp_extract("part", r"[{};]\z", 0)).alias("end_mark"),
+            F.when(F.right("part", F.lit(1)).isin("{", "}", ";"), F.right("part", F.lit(1))).otherwise("").alias("end_mark"),
             F.col("marks").endswith("D").alias("opens_doc"),
-            F.col("marks").rlike("^d+$").alias("inside_doc"),
+            (F.ltrim("marks", F.lit("d")) == "").alias("inside_doc"),
             _named(F.col("part")).alias("own_name"),
         )
     )

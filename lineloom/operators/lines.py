@@ -16,7 +16,7 @@ def numbered_lines(files: DataFrame, language: str | None = None) -> DataFrame:
     ``n_lines`` lets later steps recognise the few very long files.
     """
     content = F.regexp_replace(text.unify_newlines(F.col("content")), r"\n\z", "")
-    body = files.where(F.col("content") != "").select("file_path", content.alias("content"))
+    body = files.select("file_path", content.alias("content"))
     body = body.withColumn("n_lines", text.newline_count(F.col("content")) + 1)
 
     columns = {"source": F.col("content")}
@@ -27,7 +27,12 @@ def numbered_lines(files: DataFrame, language: str | None = None) -> DataFrame:
         }
     elif language == "python":
         columns |= {"code": lexing.python_code(F.col("content"))}
-    arrays = [F.split(c, "\n").alias(n) for n, c in columns.items()]
+    # An empty text gives no lines. A filter here would be pushed below the text's making
+    # and would make it twice.
+    empty = F.array().cast("array<string>")
+    arrays = [
+        F.when(F.col("content") == "", empty).otherwise(F.split(c, "\n")).alias(n) for n, c in columns.items()
+    ]
     return body.select(
         "file_path",
         "n_lines",

@@ -20,7 +20,7 @@ def chunks(files: DataFrame, *, tag_boundaries: bool = True, block: int | None =
     blank lines. ``tag_boundaries=False`` keeps the second rule only.
     """
     block = block_for(files, text.newline_count(F.col("content")) + 1, block)
-    body = files.where(F.col("content") != "").select(
+    body = files.select(
         "file_path", text.unify_newlines(F.col("content")).alias("content")
     )
     rows = body.select(

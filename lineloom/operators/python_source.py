@@ -29,11 +29,15 @@ def docstrings(files: DataFrame) -> DataFrame:
     the lines that continue it are marked by the lexer.
     """
     content = F.regexp_replace(text.unify_newlines(F.col("content")), r"\n\z", "")
+    parsed = F.struct(
+        F.split("content", "\n").alias("lines"),
+        F.split(lexing.python_code(F.col("content")), "\n").alias("code"),
+    )
     rows = (
-        files.where(F.col("content") != "")
-        .select("file_path", content.alias("content"))
-        .withColumn("lines", F.split("content", "\n"))
-        .withColumn("code", F.split(lexing.python_code(F.col("content")), "\n"))
+        files.select("file_path", content.alias("content"))
+        # Exploding the one result keeps later filters from parsing the text again.
+        .select("file_path", F.explode(F.array(parsed)).alias("p"))
+        .select("file_path", "p.*")
         .withColumn(
             "first",
             F.array_position(F.transform("code", lambda c: ~text.is_blank(c)), F.lit(True)).cast("int"),
@@ -72,7 +76,7 @@ def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
     block = block_for(lines, block=block)
     code = F.col("code")
     is_code = code != ""
-    step = F.regexp_count(code, F.lit(r"[(\[{]")) - F.regexp_count(code, F.lit(r"[)\]}]"))
+    step = text.count_chars(code, "([{") - text.count_chars(code, ")]}")
     trimmed = lines.select("file_path", "n_lines", "line_no", text.rstrip(code).alias("code"))
     physical = with_running(
         trimmed,
@@ -107,7 +111,7 @@ def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
         .where("logical")
         .withColumn(
             "indent",
-            F.length(F.regexp_replace(F.regexp_extract("code", r"^[ \t]*", 0), "\t", " " * 8)),
+            F.length("code") - F.length(F.ltrim("code", F.lit(" \t"))) + 7 * text.count_chars(F.regexp_extract("code", r"^[ \t]*", 0), "\t"),
         )
     )
     seen = with_running(
@@ -118,7 +122,9 @@ def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
         block=block,
         spans_blocks=F.col("n_lines") >= block,
     )
-    kind, name = F.regexp_extract(code, _DECLARATION, 1), F.regexp_extract(code, _DECLARATION, 2)
+    may_declare = code.contains("def") | code.contains("class")
+    kind = F.when(may_declare, F.regexp_extract(code, _DECLARATION, 1)).otherwise("")
+    name = F.regexp_extract(code, _DECLARATION, 2)
     opened = F.struct(
         F.when(kind == "class", "class").when(kind == "def", "function").otherwise("unknown").alias("type"),
         name.alias("name"),

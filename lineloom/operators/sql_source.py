@@ -21,7 +21,7 @@ def statements(files: DataFrame, *, split_statements: bool = True, block: int |
     ``split_statements=False`` a file is one statement.
     """
     block = block_for(files, text.newline_count(F.col("content")) + 1, block)
-    body = files.where(F.col("content") != "").select(
+    body = files.select(
         "file_path", text.unify_newlines(F.col("content")).alias("content")
     )
     parts = (
@@ -43,7 +43,7 @@ def statements(files: DataFrame, *, split_statements: bool = True, block: int |
         spans_blocks=F.col("n_lines") >= block,
     )
     cut = F.regexp_replace("part", _END, "") if split_statements else F.col("part")
-    lead = text.newline_count(F.regexp_extract("part", r"(?U)^\s*", 0))
+    lead = text.newline_count(F.col("part")) - text.newline_count(F.ltrim("part", F.lit(text.WHITE_SPACE)))
     return (
         placed.withColumn("source", text.strip(cut))
         .where(F.col("source") != "")

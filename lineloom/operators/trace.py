@@ -121,8 +121,16 @@ def with_context(
     contexts = method_context(lookups, lines, context_lines, nested_dots).select(
         F.col("class").alias("_c"), F.col("method").alias("_m"), F.col("line").alias("_l"), "context"
     )
-    same = (F.col("root.class") == F.col("_c")) & (F.col("root.method") == F.col("_m")) & (F.col("root.line") == F.col("_l"))
-    return rooted.join(contexts, same, "left").drop("_c", "_m", "_l")
+    # Traces without a frame match nothing; dealt out by a hash they fill no one task.
+    others = [c for c in rooted.columns if c != "root"]
+    dealt = F.concat(F.lit("?"), F.pmod(F.xxhash64(*others), F.lit(4096)))
+    keyed = rooted.withColumn("_owner", F.when(F.col("root").isNull(), dealt).otherwise(F.col("root.class")))
+    same = (
+        (F.col("_owner") == F.col("_c"))
+        & (F.coalesce("root.method", F.lit("")) == F.col("_m"))
+        & (F.coalesce("root.line", F.lit(0)) == F.col("_l"))
+    )
+    return keyed.join(contexts, same, "left").drop("_owner", "_c", "_m", "_l")
 
 
 def numbered_code(lines: Column) -> Column:
