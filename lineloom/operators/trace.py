@@ -57,7 +57,12 @@ def frames(traces: DataFrame, user_prefixes: Sequence[str], trace: str = "trace"
 
 def root_frame(found: Column) -> Column:
     """The first user frame, else the first frame, else null: read off the array."""
-    return F.coalesce(F.get(F.filter(found, lambda f: f["is_user_code"]), 0), F.get(found, 0))
+    # Passing the frames through a one-element array parses the text once for both uses.
+    first = F.transform(
+        F.array(found),
+        lambda fs: F.coalesce(F.get(F.filter(fs, lambda f: f["is_user_code"]), 0), F.get(fs, 0)),
+    )
+    return F.get(first, 0)
 
 
 def with_root(traces: DataFrame, user_prefixes: Sequence[str], trace: str = "trace") -> DataFrame:
