@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineloom.llm import decontamination, license_scan, secret_scan, vector_file
+from lineloom.llm import decontamination, license_scan, near_duplicates, secret_scan, vector_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def _joined(values) -> F.Column:
     return F.array_join(values, ",")
 
 
+def near_duplicate_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_spans(_table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,19 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE doc AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingle AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS s
+            FROM doc, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS u(i) WHERE len(w) > 0),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingle AS a JOIN shingle AS b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pair JOIN size AS p ON p.doc_id = x JOIN size AS q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+step AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, s.y FROM reach AS r JOIN step AS s ON s.x = r.other)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least_id AS component_id, d.doc_id = least_id AS kept
+FROM documents AS d JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) USING (doc_id) LEFT JOIN size USING (doc_id)
+"""
+
 DECONTAMINATE = f"""
 WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
 cut AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS key
@@ -97,9 +114,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 QUERIES = {
+    "op1_near_duplicates": near_duplicate_components,
     "op2_secret_scan": secrets,
     "op3_decontamination": decontaminate,
     "op9_exact_top_k": exact_top_k,
     "op10_license_scan": licenses,
 }
-ORACLES = {"op3_decontamination": DECONTAMINATE, "op9_exact_top_k": EXACT_TOP_K}
+ORACLES = {"op1_near_duplicates": NEAR_DUPLICATES, "op3_decontamination": DECONTAMINATE, "op9_exact_top_k": EXACT_TOP_K}
