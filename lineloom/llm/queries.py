@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineloom.llm import decontamination, license_scan, near_duplicates, secret_scan, vector_file
+from lineloom.llm import bpe, decontamination, license_scan, near_duplicates, secret_scan, vector_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +53,17 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    decoded = tokenizer.decode(tokenizer.encode(_table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(_joined(F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_file.top_k(_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
@@ -117,6 +129,7 @@ QUERIES = {
     "op1_near_duplicates": near_duplicate_components,
     "op2_secret_scan": secrets,
     "op3_decontamination": decontaminate,
+    "op4_bpe": bpe_round_trip,
     "op9_exact_top_k": exact_top_k,
     "op10_license_scan": licenses,
 }
