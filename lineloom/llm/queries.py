@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineloom.llm import bpe, decontamination, license_scan, near_duplicates, secret_scan, suffix_tree, vector_file
+from lineloom.llm import bpe, decontamination, license_scan, near_duplicates, quality_mil, secret_scan, suffix_tree, toxicity, vector_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,14 @@ def suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.scores(_table(spark, sf_dir, "documents"))
 
 
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_file.top_k(_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
@@ -135,6 +143,8 @@ QUERIES = {
     "op3_decontamination": decontaminate,
     "op4_bpe": bpe_round_trip,
     "op5_suffix_tree": suffix_tree_scores,
+    "op6_toxicity": toxic_scores,
+    "op8_quality": quality_scores,
     "op9_exact_top_k": exact_top_k,
     "op10_license_scan": licenses,
 }
