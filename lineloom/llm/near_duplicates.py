@@ -249,3 +249,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     joined = sketches.select("doc_id", "id", "n_shingles").join(found, "id", "left")
     component = F.when(F.col("id").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("least"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def distinct(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows that ``near_duplicates`` keeps, with the columns they came with; of rows that
+    repeat a kept id, one for each text."""
+    verdicts = near_duplicates(docs, percent)
+    dropped = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
+    same = docs["doc_id"].cast("long") == F.col("__dropped")
+    return docs.join(dropped, same, "left_anti")

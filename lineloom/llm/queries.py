@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineloom.llm import bpe, decontamination, license_scan, near_duplicates, quality_mil, secret_scan, suffix_tree, toxicity, vector_file
+import corpus_pipeline
+from lineloom.llm import bpe, decontamination, license_scan, main_text, near_duplicates, quality_mil, secret_scan, suffix_tree, toxicity, vector_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +73,10 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(_table(spark, sf_dir, "pages"))
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mil.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -144,8 +149,10 @@ QUERIES = {
     "op4_bpe": bpe_round_trip,
     "op5_suffix_tree": suffix_tree_scores,
     "op6_toxicity": toxic_scores,
+    "op7_main_text": page_texts,
     "op8_quality": quality_scores,
     "op9_exact_top_k": exact_top_k,
     "op10_license_scan": licenses,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op1_near_duplicates": NEAR_DUPLICATES, "op3_decontamination": DECONTAMINATE, "op9_exact_top_k": EXACT_TOP_K}
