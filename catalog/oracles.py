@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from catalog import duck_inputs as D
-from catalog.queries import BATCH_LIMIT, SEARCH_TEXT, SMALL_LIMIT, SQL_TEXTS, TOKEN_LIMIT
+from catalog.queries import BATCH_LIMIT, COUNTED, SEARCH_TEXT, SMALL_LIMIT, SQL_TEXTS, TOKEN_LIMIT
 
 TOKEN = r"[A-Za-z0-9_]+|[^\sA-Za-z0-9_]"
 NL = "chr(10)"
@@ -177,7 +177,7 @@ def _queries() -> dict[str, str]:
     q["lang_dispatch"] = f"""WITH {D.PATHS}, e AS (SELECT doc_id, regexp_extract(lower(file_path), '(\\.[a-z]+)$', 1) AS ext FROM paths),
       d AS (SELECT doc_id, ext, CASE ext WHEN '.py' THEN 'python' WHEN '.java' THEN 'java' WHEN '.sql' THEN 'sql' WHEN '.jsp' THEN 'jsp' END AS chunker FROM e)
       SELECT doc_id, chunker, CASE WHEN chunker = 'java' THEN 'java' END AS line_extractor,
-        CASE WHEN chunker IS NULL THEN 'No chunker implemented for file type: ' || ext END AS reason FROM d"""
+        CASE WHEN chunker IS NULL THEN 'nothing chunks files of type ' || ext END AS reason FROM d"""
     q["line_explode"] = f"""SELECT doc_id, generate_subscripts(string_split(t, {NL}), 1) AS line_no, unnest(string_split(t, {NL})) AS source
       FROM (SELECT doc_id, regexp_replace(text, '\\n$', '') AS t FROM documents WHERE text <> '')"""
     q["line_context"] = f"WITH {D.JAVA} SELECT file_path, line_no, source, parent_type, parent_method FROM jctx"
@@ -228,8 +228,7 @@ def _queries() -> dict[str, str]:
     q["error_json"] = f"""WITH {VALID} SELECT chunk_id, '[{{"source":"validation","error":"' || error || '"}}]' AS errors_json,
       1::BIGINT AS n, error FROM valid WHERE error IS NOT NULL"""
     q["token_count"] = f"WITH {DOCS} SELECT doc_id, token_count AS tokens FROM docs"
-    q["token_running"] = f"""WITH {DOCS} SELECT doc_id, doc_id // 256 AS pack,
-      (sum(token_count) OVER (PARTITION BY doc_id // 256 ORDER BY doc_id))::BIGINT AS running_total FROM docs"""
+    q["token_running"] = f"""WITH {DOCS} SELECT doc_id, (sum(token_count) OVER (ORDER BY doc_id))::BIGINT AS running_total FROM docs"""
 
     q["trace_frames"] = f"""WITH {D.TRACES}
       SELECT trace_id, 1::BIGINT AS frame_no, 'java.util.List' AS class, 'forEach' AS method, 'List.java' AS file, 10 + o % 90 AS line, false AS is_user_code FROM tr WHERE framed
@@ -245,19 +244,21 @@ def _queries() -> dict[str, str]:
       class, prompt FROM asked"""
 
     q["embed_batches"] = f"""WITH RECURSIVE {DOCS},
-      seq AS (SELECT doc_id, token_count AS t, doc_id // 256 AS pack, row_number() OVER (PARTITION BY doc_id // 256 ORDER BY doc_id) AS rn FROM docs),
-      walk(pack, rn, doc_id, batch_no, total) AS (
-        SELECT pack, rn, doc_id, 1::BIGINT, t FROM seq WHERE rn = 1
-        UNION ALL SELECT s.pack, s.rn, s.doc_id,
+      seq AS (SELECT docs.doc_id, token_count AS t, documents.source AS origin, row_number() OVER (PARTITION BY documents.source ORDER BY docs.doc_id) AS rn
+        FROM docs JOIN documents USING (doc_id)),
+      walk(origin, rn, doc_id, batch_no, total) AS (
+        SELECT origin, rn, doc_id, 1::BIGINT, t FROM seq WHERE rn = 1
+        UNION ALL SELECT s.origin, s.rn, s.doc_id,
           CASE WHEN w.total + s.t > {BATCH_LIMIT} AND w.total > 0 THEN w.batch_no + 1 ELSE w.batch_no END,
           CASE WHEN w.total + s.t > {BATCH_LIMIT} AND w.total > 0 THEN s.t ELSE w.total + s.t END
-        FROM walk w JOIN seq s ON s.pack = w.pack AND s.rn = w.rn + 1)
-      SELECT pack, doc_id, batch_no FROM walk"""
+        FROM walk w JOIN seq s ON s.origin = w.origin AND s.rn = w.rn + 1)
+      SELECT origin, doc_id, batch_no FROM walk"""
     q["embed_hash"] = f"WITH {HASH} SELECT doc_id, bucket, tf FROM hash"
-    q["embed_merge"] = f"""WITH {DOCS} SELECT chunk_id,
-      CASE WHEN token_count > {TOKEN_LIMIT} OR token_count = 0 THEN 'failed' ELSE 'embedded' END AS status,
-      CASE WHEN token_count > {TOKEN_LIMIT} THEN 'too long' WHEN token_count = 0 THEN 'no embedding' END AS error,
-      CASE WHEN token_count BETWEEN 1 AND {TOKEN_LIMIT} THEN token_count::DOUBLE END AS total FROM docs"""
+    chars = ", ".join(f"CASE WHEN ok THEN (length(source) - length(replace(source, '{c}', '')))::DOUBLE END AS {n}" for n, c in COUNTED.items())
+    q["embed_merge"] = f"""WITH {DOCS}, v AS (SELECT *, token_count <= 8192 AS ok FROM docs)
+      SELECT chunk_id, CASE WHEN ok THEN 'embedded' ELSE 'failed' END AS status,
+        CASE WHEN NOT ok THEN 'chunk ' || chunk_id || ' too large: ' || token_count || ' tokens while maximum is 8192' END AS error,
+        CASE WHEN ok THEN length(source)::DOUBLE END AS size, {chars} FROM v"""
     cos = "list_inner_product(p.v, w.v) / (sqrt(list_inner_product(p.v, p.v)) * sqrt(list_inner_product(w.v, w.v)))"
     vec = "p AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
     q["vector_search"] = f"""WITH {vec}, w AS (SELECT v FROM p ORDER BY vec_id LIMIT 1)
@@ -324,12 +325,15 @@ def _queries() -> dict[str, str]:
     q["lines_by_method"] = f"WITH {D.JAVA} SELECT * FROM lines WHERE parent_method = 'x'"
     q["lines_like"] = f"WITH {D.JAVA} SELECT * FROM lines WHERE source ILIKE '%PUBLIC%1%'"
     for name, statement in SQL_TEXTS.items():
-        q[name] = f"WITH {D.JAVA} SELECT * FROM ({statement})"
+        # read more than once by some: worked out once
+        q[name] = f"WITH {D.JAVA.replace('lines AS (SELECT parent_type', 'lines AS MATERIALIZED (SELECT parent_type')} SELECT * FROM ({statement})"
     q["sql_listagg"] = f"""WITH {D.JAVA} SELECT parent_type, string_agg(parent_method, ',' ORDER BY first_line) AS methods
       FROM (SELECT parent_type, parent_method, min(file_line_no) AS first_line FROM lines WHERE parent_method IS NOT NULL
             GROUP BY parent_type, parent_method) GROUP BY parent_type"""
-    q["sql_recursive"] = f"""WITH {D.JAVA}, x AS (SELECT file_path, file_line_no FROM lines WHERE source LIKE '%void x()%')
-      SELECT file_path, file_line_no - s AS file_line_no, s AS step FROM x, (SELECT unnest(range(0, 4)) AS s)"""
+    q["sql_recursive"] = f"""WITH RECURSIVE {D.JAVA}, up AS (
+        SELECT file_path, span_start AS file_line_no, 0::BIGINT AS step FROM jspans WHERE name = 'x'
+        UNION ALL SELECT file_path, file_line_no // 2, step + 1 FROM up WHERE file_line_no > 1)
+      SELECT * FROM up"""
     return q
 
 

@@ -277,7 +277,7 @@ def token_count(spark, sf):
 @registered
 def token_running(spark, sf):
     counted = table(spark, sf, "documents").select("doc_id", text.token_count(F.col("text")).alias("tokens"))
-    return embed.running_tokens(counted, "doc_id", "tokens").select("doc_id", "pack", "running_total")
+    return embed.running_tokens(counted, "doc_id", "tokens").select("doc_id", "running_total")
 
 
 # Stack traces --------------------------------------------------------------------------
@@ -345,8 +345,9 @@ def trace_explain(spark, sf):
 
 @registered
 def embed_batches(spark, sf):
-    counted = table(spark, sf, "documents").select("doc_id", text.token_count(F.col("text")).alias("tokens"))
-    return embed.pack_batches(counted, "doc_id", "tokens", limit=BATCH_LIMIT)
+    """Batches of each source, in the order of the documents."""
+    counted = table(spark, sf, "documents").select(F.col("source").alias("origin"), "doc_id", text.token_count(F.col("text")).alias("tokens"))
+    return embed.pack_batches(counted, ["origin"], "doc_id", "tokens", limit=BATCH_LIMIT)
 
 
 @registered
@@ -354,25 +355,25 @@ def embed_hash(spark, sf):
     return embed.hash_buckets(table(spark, sf, "documents"), "doc_id", "text", HASH_DIM)
 
 
+# What the provider of ``embed_merge`` counts in a text, besides its length.
+COUNTED = {"blanks": " ", "letter_e": "e", "stops": "."}
+
+
+def counting_provider(texts):
+    return [[float(len(t)), *(float(t.count(c)) for c in COUNTED.values())] for t in texts]
+
+
 @registered
 def embed_merge(spark, sf):
-    """Vectors for texts within the limit, a provider error for those over it."""
-    chunks = staged(
-        document_chunks(spark, sf)
-        .withColumn("errors", quality.no_errors())
-        .withColumn("tokens", text.token_count(F.col("source")))
-    )
-    done = embed.hash_vectors(chunks.where(F.col("tokens") <= TOKEN_LIMIT), "chunk_id", "source", HASH_DIM)
-    refused = chunks.where(F.col("tokens") > TOKEN_LIMIT).select(
-        "chunk_id", F.lit(None).cast("array<float>").alias("embedding"), F.lit("too long").alias("error")
-    )
-    results = done.withColumn("error", F.lit(None).cast("string")).unionByName(refused)
-    merged = quality.with_status(embed.merge_results(chunks, results))
+    """Vectors of a provider for the texts that pass validation, its error for the others."""
+    chunks = staged(quality.validate(document_chunks(spark, sf)))
+    merged = quality.with_status(embed.merge_results(chunks, embed.embed(chunks, counting_provider)))
+    values = vectors.as_double(F.col("embedding"))
     return merged.select(
         "chunk_id",
         "status",
         F.get("errors", 0)["error"].alias("error"),
-        F.aggregate(vectors.as_double(F.col("embedding")), F.lit(0.0), lambda s, x: s + x).alias("total"),
+        *[F.get(values, i).alias(n) for i, n in enumerate(("size", *COUNTED))],
     )
 
 
@@ -645,12 +646,15 @@ def sql_listagg(spark, sf):
 
 @registered
 def sql_recursive(spark, sf):
-    """Walk from each inner class line to the start of its file, a bounded recursion."""
+    """From each method of an inner class to the start of its file, by half the line number
+    each time: the steps grow with the logarithm of a file's length, so none is cut off."""
     statement = """
         WITH RECURSIVE up(file_path, file_line_no, step) AS (
             SELECT file_path, file_line_no, 0 FROM lines WHERE source LIKE '%void x()%'
             UNION ALL
             SELECT l.file_path, l.file_line_no, u.step + 1 FROM up u JOIN lines l
-              ON l.file_path = u.file_path AND l.file_line_no = u.file_line_no - 1 WHERE u.step < 3)
+              ON l.file_path = u.file_path AND l.file_line_no = u.file_line_no DIV 2)
         SELECT file_path, file_line_no, step FROM up"""
+    # as many rows as there are: the default limit is a million
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     return query.sql_query(spark, statement, {"lines": inputs.line_table(spark, sf)})

@@ -6,18 +6,17 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineloom.functions import text, vectors
 from lineloom.operators.quality import is_clean, put_error
+from lineloom.plans.scan import BLOCK, with_running
 from lineloom.schemas import MAX_TOKENS
 
-# Positions that share one packing group.
-PACK_BLOCK = 256
-# Attempts of a provider call and the waits between them, in seconds.
-ATTEMPTS = 3
+# What a failed provider call waits for before the next, in units of ``wait`` seconds.
+PAUSES = (1, 2)
 FIRST_WAIT = 1.0
 
 Provider = Callable[[list[str]], Sequence[Sequence[float]]]
@@ -32,58 +31,47 @@ _RESULT = T.StructType(
 )
 
 
-def running_tokens(df: DataFrame, position: str, tokens: str, block: int = PACK_BLOCK) -> DataFrame:
-    """Total of ``tokens`` up to and including each row of its packing group."""
-    grouped = df.withColumn("pack", F.floor(F.col(position) / F.lit(block)))
-    window = Window.partitionBy("pack").orderBy(position)
-    return grouped.withColumn(
-        "running_total",
-        F.sum(tokens).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
+def running_tokens(df: DataFrame, position: str, tokens: str, block: int = BLOCK) -> DataFrame:
+    """Total of ``tokens`` up to and including each row, over all rows in the order of ``position``."""
+    before = with_running(df, [], [position], sums={"_before": F.col(tokens)}, block=block)
+    return before.withColumn("running_total", F.col("_before") + F.col(tokens)).drop("_before")
 
 
 def pack_batches(
     df: DataFrame,
+    keys: Sequence[str],
     position: str,
     tokens: str,
     *,
     limit: int = MAX_TOKENS,
-    block: int = PACK_BLOCK,
     carry_reset: bool = False,
 ) -> DataFrame:
-    """Greedy packing: a row that would exceed ``limit`` opens the next batch.
+    """Greedy packing of the rows of each key, in the order of ``position``: a row that
+    would exceed ``limit`` opens the next batch. Adds ``batch_no`` to keys and position.
 
-    Packing starts anew every ``block`` positions, so groups stay small whatever the
-    number of rows; a batch is ``(pack, batch_no)``. ``position`` is a unique integer.
-    With ``carry_reset`` the row that opens a batch is not counted in it.
+    Where a batch begins depends on all rows of its key before it, so a key is one walk.
+    Only numbers are sorted and streamed for it; a task holds one batch of rows of a key
+    however long. With ``carry_reset`` the row that opens a batch is not counted in it.
     """
-    rows = F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(tokens).alias("t"))))
-    start = F.struct(
-        F.lit(1).cast("bigint").alias("batch"),
-        F.lit(0).cast("bigint").alias("total"),
-        F.array().cast("array<struct<p:bigint,batch:bigint>>").alias("out"),
-    )
+    names = [*keys, position]
+    rows = df.select(*names, F.coalesce(tokens, F.lit(0)).cast("bigint").alias("_tokens"))
+    schema = T.StructType([*(rows.schema[n] for n in names), T.StructField("batch_no", T.LongType())])
 
-    def step(acc: Column, row: Column) -> Column:
-        total = acc["total"] + row["t"]
-        over = total > limit
-        if not carry_reset:
-            over = over & (acc["total"] > 0)
-        batch = acc["batch"] + F.when(over, 1).otherwise(0)
-        carried = F.lit(0).cast("bigint") if carry_reset else row["t"].cast("bigint")
-        entry = F.struct(row["p"].cast("bigint").alias("p"), batch.alias("batch"))
-        return F.struct(
-            batch.alias("batch"),
-            F.when(over, carried).otherwise(total).cast("bigint").alias("total"),
-            F.array_append(acc["out"], entry).alias("out"),
-        )
-
-    packed = (
-        df.groupBy(F.floor(F.col(position) / F.lit(block)).alias("pack"))
-        .agg(F.aggregate(rows, start, step)["out"].alias("out"))
-        .select("pack", F.explode("out").alias("o"))
-    )
-    return packed.select("pack", F.col("o.p").alias(position), F.col("o.batch").alias("batch_no"))
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, batch, total = None, 1, 0
+        for frame in frames:
+            numbers = []
+            owners = zip(*(frame[k].astype(object).where(frame[k].notna(), None) for k in keys))
+            for owner, size in zip(owners, frame["_tokens"]):
+                if owner != at:
+                    at, batch, total = owner, 1, 0
+                total += size
+                if total > limit and (carry_reset or total > size):
+                    batch, total = batch + 1, 0 if carry_reset else size
+                numbers.append(batch)
+            yield frame[names].assign(batch_no=numbers)
+
+    return rows.repartition(*keys).sortWithinPartitions(*names).mapInPandas(walk, schema)
 
 
 def hash_buckets(df: DataFrame, id_column: str, source: str, dim: int) -> DataFrame:
@@ -121,19 +109,20 @@ def hash_vectors(df: DataFrame, id_column: str, source: str, dim: int) -> DataFr
 
 
 def call_provider(provider: Provider, texts: list[str], wait: float = FIRST_WAIT):
-    """Vectors of ``texts``, or the text of the last failure after all attempts."""
-    for attempt in range(ATTEMPTS):
+    """Vectors of ``texts`` and no error, or no vectors and what the last call said."""
+    said = None
+    for pause in (*PAUSES, None):
         try:
-            found = [[float(x) for x in v] for v in provider(texts)]
-            if len(found) != len(texts):
-                raise ValueError(f"{len(found)} vectors for {len(texts)} texts")
-            return found, None
+            answer = [list(map(float, vector)) for vector in provider(texts)]
         except Exception as failure:  # noqa: BLE001 - a provider may fail in any way
-            if attempt == ATTEMPTS - 1:
-                return None, str(failure)
-            time.sleep(wait)
-            wait *= 2
-    return None, "not tried"
+            said = str(failure)
+        else:
+            if len(answer) == len(texts):
+                return answer, None
+            said = f"{len(answer)} vectors for {len(texts)} texts"
+        if pause is not None:
+            time.sleep(pause * wait)
+    return None, said
 
 
 def embed(

@@ -29,9 +29,11 @@ def extension(path: Column) -> Column:
 
 
 def wanted_extensions(extensions: Collection[str]) -> list[str]:
-    if not extensions:
-        raise ValueError("name at least one extension")
-    return sorted({("." + e.lstrip(".")).lower() for e in extensions})
+    """Extensions as ``extension`` gives them; the dot may be left out."""
+    given = {e.lower() for e in extensions}
+    if not given:
+        raise ValueError("no file extension is given")
+    return sorted(e if e.startswith(".") else f".{e}" for e in given)
 
 
 def is_scanned(path: Column, extensions: Collection[str], exclude_dirs: Collection[str] = ()) -> Column:
@@ -76,6 +78,6 @@ def dispatch(files: DataFrame) -> DataFrame:
         language.alias("chunker"),
         F.when(language.isin(*LINE_LANGUAGES), language).alias("line_extractor"),
         F.when(
-            language.isNull(), F.concat(F.lit("No chunker implemented for file type: "), ext)
+            language.isNull(), F.concat(F.lit("nothing chunks files of type "), ext)
         ).alias("reason"),
     )

@@ -21,15 +21,18 @@ def packed_by_hand(tokens, limit, reset):
 @pytest.mark.parametrize("reset", [False, True])
 def test_packing_matches_the_walk(spark, reset):
     draw = random.Random(2)
-    sizes = [draw.choice([1, 3, 10, 30]) for _ in range(200)]
-    df = spark.createDataFrame(list(enumerate(sizes)), "id bigint, tokens int")
-    got = embed.pack_batches(df, "id", "tokens", limit=20, block=50, carry_reset=reset)
-    want = [
-        (b // 50, b + i, n)
-        for b in range(0, 200, 50)
-        for i, n in enumerate(packed_by_hand(sizes[b : b + 50], 20, reset))
-    ]
-    assert rows(got.select("pack", "id", "batch_no")) == sorted(want, key=repr)
+    sizes = {k: [draw.choice([1, 3, 10, 30]) for _ in range(n)] for k, n in (("a", 300), ("b", 7), (None, 20))}
+    data = [(k, i, t) for k, tokens in sizes.items() for i, t in enumerate(tokens)]
+    df = spark.createDataFrame(data, "key string, id bigint, tokens int").repartition(3)
+    got = embed.pack_batches(df, ["key"], "id", "tokens", limit=20, carry_reset=reset)
+    want = [(k, i, n) for k, tokens in sizes.items() for i, n in enumerate(packed_by_hand(tokens, 20, reset))]
+    assert rows(got) == sorted(want, key=repr)
+
+
+def test_running_total_goes_over_all_blocks(spark):
+    df = spark.range(200).select("id", (F.col("id") % 5).alias("tokens")).repartition(3)
+    got = embed.running_tokens(df, "id", "tokens", block=16).orderBy("id").collect()
+    assert [r.running_total for r in got] == [sum(i % 5 for i in range(n + 1)) for n in range(200)]
 
 
 def chunk_rows(spark, n=30):

@@ -4,13 +4,13 @@ from lineloom.operators import trace
 from tests.conftest import plan, rows
 
 TRACE = """
-        org.example.AuthenticationServiceException: Error during parse token
-            at com.acme.security.JwtParser.parse(JwtParser.java:32)
-            at java.base/java.lang.Thread.run(Unknown Source)
-            at org.lib.Filter$Inner.doFilter(Filter.java:81)
-            at com.acme.A.<init>(A.java:3)
-            at com.acme.B.lambda$x$0(B.java:4)
-            at org.lib.Other.invoke(Other.java:63)
+        shop.stock.MissingItemException: no cup left
+            at shop.stock.Shelf.take(Shelf.java:57)
+            at jdk.base/java.util.ArrayList.forEach(Native Method)
+            at net.web.Chain$Link.pass(Chain.java:104)
+            at shop.stock.Cart.<init>(Cart.java:9)
+            at shop.stock.Cart.lambda$fill$2(Cart.java:12)
+            at net.web.Loop.turn(Loop.java:8)
 """
 
 
@@ -19,11 +19,11 @@ def traces(spark, *texts):
 
 
 def test_parse_trace(spark):
-    got = [tuple(r) for r in trace.frames(traces(spark, TRACE), ["com.acme"]).orderBy("frame_no").collect()]
+    got = [tuple(r) for r in trace.frames(traces(spark, TRACE), ["shop."]).orderBy("frame_no").collect()]
     assert got == [
-        (0, 1, "com.acme.security.JwtParser", "parse", "JwtParser.java", 32, True),
-        (0, 2, "org.lib.Filter$Inner", "doFilter", "Filter.java", 81, False),
-        (0, 3, "org.lib.Other", "invoke", "Other.java", 63, False),
+        (0, 1, "shop.stock.Shelf", "take", "Shelf.java", 57, True),
+        (0, 2, "net.web.Chain$Link", "pass", "Chain.java", 104, False),
+        (0, 3, "net.web.Loop", "turn", "Loop.java", 8, False),
     ]
 
 
