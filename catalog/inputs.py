@@ -61,6 +61,22 @@ def java_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def service_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Java file per supplier: calls in a field, a static block and a constructor, an
+    overload, and calls into the next supplier's class."""
+    lines = """array(concat('package svc.p', k % 10, ';'), concat('public class S', k, ' {'),
+        concat('    private int start = seed(', k, ');'), '    static { boot(); }', concat('    S', k, '() {'),
+        concat('        prepare(a(b(c(d(', k, ')))));'), '    }', '    void open(int a) {',
+        concat('        new S', k + 1, '().serve(a);'), '    }', '    void open(long b) {', '        close();', '    }',
+        '    void serve(int a) {', '        open(a);', concat('        only', k + 1, '();'), '    }',
+        concat('    void only', k, '() {'), '    }', '    void close() {', '    }', '}')"""
+    return (
+        table(spark, sf_dir, "supplier")
+        .select(F.col("s_suppkey").alias("k"))
+        .select(F.concat(F.lit("svc/S"), "k", F.lit(".java")).alias("file_path"), F.expr(f"array_join({lines}, '\n')").alias("content"))
+    )
+
+
 def python_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Python file per part: docstring, class, methods, nested and async functions."""
     head = """concat(
@@ -199,3 +215,11 @@ def graph_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
         return graph.build(lines, staged(java.declarations(lines)))
 
     return kept("graph_elements", spark, sf_dir, build)
+
+
+def service_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> DataFrame:
+        lines = staged(numbered_lines(service_files(spark, sf_dir), "java"))
+        return graph.build(lines, staged(java.declarations(lines)))
+
+    return kept("service_elements", spark, sf_dir, build)

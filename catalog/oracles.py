@@ -169,6 +169,17 @@ jnodes AS (
 jpairs AS (SELECT DISTINCT file_path, method, name AS callee FROM jcalls WHERE name LIKE 'm%')"""
 
 
+# Calls of a supplier's file: caller and its line, step to the supplier called, callee and its line.
+SERVICES = """spairs AS (
+  SELECT 'svc/S' || s.s_suppkey || '.java' AS file_path, method, line_number::BIGINT AS line_number, 'svc/S' || t.s_suppkey || '.java' AS callee_file,
+    replace(callee, 'K', t.s_suppkey::VARCHAR) AS callee_name, callee_line::BIGINT AS callee_line
+  FROM supplier AS s, (VALUES ('open', 8, 1, '<init>', 2), ('open', 8, 1, 'serve', 14), ('open', 11, 0, 'close', 20), ('serve', 14, 0, 'open', 8),
+    ('serve', 14, 0, 'open', 11), ('serve', 14, 1, 'onlyK', 18)) AS c(method, line_number, ahead, callee, callee_line)
+  JOIN supplier AS t ON t.s_suppkey = s.s_suppkey + c.ahead
+  -- the last has no class after it: its call of serve stays in its file
+  UNION ALL SELECT 'svc/S' || max(s_suppkey) || '.java', 'open', 8, 'svc/S' || max(s_suppkey) || '.java', 'serve', 14 FROM supplier)"""
+
+
 def _queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["path_scan"] = f"""WITH {D.PATHS} SELECT doc_id, substr(file_path, 7) AS file_path, regexp_extract(lower(file_path), '(\\.[a-z]+)$', 1) AS ext
@@ -315,8 +326,14 @@ def _queries() -> dict[str, str]:
     q["graph_reach"] = f"""WITH RECURSIVE {GRAPH},
       walk(file_path, name, depth) AS (
         SELECT file_path, name, 0 FROM jspans WHERE name = 'm0'
-        UNION SELECT w.file_path, p.callee, w.depth + 1 FROM walk w JOIN jpairs p ON p.file_path = w.file_path AND p.method = w.name WHERE w.depth < 6)
+        -- a shortest chain of calls passes no method twice
+        UNION SELECT w.file_path, p.callee, w.depth + 1 FROM walk w JOIN jpairs p ON p.file_path = w.file_path AND p.method = w.name
+        WHERE w.depth < (SELECT max(n) FROM (SELECT count(*) AS n FROM jspans GROUP BY file_path)))
       SELECT file_path, name, min(depth)::BIGINT AS depth FROM walk GROUP BY file_path, name"""
+    q["graph_outside_calls"] = """SELECT 'svc/S' || s_suppkey || '.java' AS file_path, name, replace(code, 'K', s_suppkey::VARCHAR) AS code, line_number::BIGINT AS line_number
+      FROM supplier, (VALUES ('seed', 'seed(K)', 3), ('boot', 'boot()', 4), ('prepare', 'prepare(a(b(c(d(K)))))', 6), ('a', 'a(b(c(d(K))))', 6),
+        ('b', 'b(c(d(K)))', 6), ('c', 'c(d(K))', 6), ('d', 'd(K)', 6)) AS t(name, code, line_number)"""
+    q["graph_cross_calls"] = f"WITH {SERVICES} SELECT * FROM spairs"
     q["ansi_strip"] = "SELECT page_id, url || ' ' || html AS reply FROM pages"
 
     q["view_lines"] = f"""WITH {D.JAVA} SELECT file_path, file_line_no, coalesce(parent_type, '-') AS parent_type,

@@ -461,9 +461,9 @@ def graph_edges(spark, sf):
     ends = graph.nodes(elements).select("node_id", "name", "file_path", "line_number")
     src = ends.select(F.col("node_id").alias("src"), F.col("name").alias("src_name"), "file_path")
     dst = ends.select(F.col("node_id").alias("dst"), F.col("name").alias("dst_name"), F.col("line_number").alias("dst_line"))
-    return graph.edges(elements).join(src, "src").join(dst, "dst").select(
-        "kind", "file_path", "src_name", "dst_name", "dst_line"
-    )
+    edges = graph.edges(elements)
+    met = edges.where(F.col("kind") == "AST").unionByName(graph.call_targets(edges).withColumn("kind", F.lit("CALL")))
+    return met.join(src, "src").join(dst, "dst").select("kind", "file_path", "src_name", "dst_name", "dst_line")
 
 
 def graph_nodes(spark, sf):
@@ -532,14 +532,31 @@ def graph_ast_calls(spark, sf):
 def graph_reach(spark, sf):
     """Methods reached from every method named m0, with the least number of calls."""
     nodes = graph_nodes(spark, sf)
-    pairs = graph.method_calls(graph.edges(inputs.graph_elements(spark, sf))).select(
-        F.col("caller").alias("src"), F.col("callee").alias("dst")
-    )
     methods = graph.of_kind(nodes, "method")
     seeds = methods.where(F.col("name") == "m0").select(F.col("node_id").alias("node"))
-    reached = graph.reach(pairs, seeds)
+    reached = graph.reach(graph.call_steps(graph.edges(inputs.graph_elements(spark, sf))), seeds)
     ends = methods.select(F.col("node_id").alias("node"), "file_path", "name")
-    return reached.join(ends, "node").select("file_path", "name", "depth")
+    # two steps, to a symbol and from it, are one call
+    return reached.join(ends, "node").select("file_path", "name", (F.col("depth") / 2).cast("bigint").alias("depth"))
+
+
+@registered
+def graph_outside_calls(spark, sf):
+    """Calls in field initialisers, static blocks and constructors."""
+    elements = inputs.service_elements(spark, sf)
+    starts = elements.where("kind = 'method' AND name = '<init>'").select(F.col("node_id").alias("parent_id"))
+    return elements.where("kind = 'call'").join(starts, "parent_id", "left_semi").select("file_path", "name", "code", "line_number")
+
+
+@registered
+def graph_cross_calls(spark, sf):
+    """Each method, and the methods its calls may go to, in whatever file."""
+    elements = inputs.service_elements(spark, sf)
+    ends = graph.of_kind(elements, "method").select("node_id", "file_path", "name", "line_number")
+    pairs = graph.method_calls(graph.edges(elements)).select("caller", "callee").distinct()
+    own = ends.select(F.col("node_id").alias("caller"), "file_path", F.col("name").alias("method"), "line_number")
+    other = ends.select(F.col("node_id").alias("callee"), F.col("file_path").alias("callee_file"), F.col("name").alias("callee_name"), F.col("line_number").alias("callee_line"))
+    return pairs.join(own, "caller").join(other, "callee").drop("caller", "callee")
 
 
 @registered

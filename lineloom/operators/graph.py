@@ -1,8 +1,12 @@
 """The code graph as node and edge tables, and questions over it.
 
-Nodes: ``file``, ``typeDecl``, ``method``, ``call``, ``local``. Edges: ``AST`` from an
-element to the elements directly inside it, ``CALL`` from a call to the method it
-names in the same file.
+Nodes: ``file``, ``typeDecl``, ``method``, ``call``, ``local``. Calls outside methods, in
+constructors, field initialisers and static blocks, belong to a method ``<init>`` of their
+type. Edges: ``AST`` from an element to the elements directly inside it; ``CALL`` from a call
+to a symbol; ``TARGET`` from a symbol to every method it may stand for. A symbol is a name in
+the narrowest scope that declares it: the receiver's type if the text names one, the file,
+the package, all files. So a name that is everywhere costs an edge per call and an edge per
+method, and never their product.
 """
 
 from __future__ import annotations
@@ -18,12 +22,17 @@ from lineloom.session import staged
 NOT_CALLS = ("if", "for", "while", "switch", "catch", "synchronized", "return", "try", "super", "this", "new", "assert")
 
 _CALL = r"([A-Za-z_$][\w$]*)\s*\("
-# A name and its parenthesis, with up to two levels of parentheses inside. Looking
-# ahead lets calls inside calls be found as well.
-_CALL_CODE = (
-    r"(?<![\w$])(?=([A-Za-z_$][\w$]*\s*\("
-    r"[^()]*+(?:\([^()]*+(?:\([^()]*+\)[^()]*+)*+\)[^()]*+)*+\)?))"
-)
+# Levels of parentheses inside a call's own whose text is taken whole.
+NESTING = 8
+_INNER = r"[^()]*+"
+for _ in range(NESTING):
+    _INNER = rf"[^()]*+(?:\({_INNER}\)[^()]*+)*+"
+# Looking ahead lets calls inside calls be found as well.
+_CALL_CODE = rf"(?<![\w$@])(?=([A-Za-z_$][\w$]*\s*\({_INNER}\)?))"
+# What stands before a call: ``new``, an annotation, or a type as its receiver.
+_NEW = r"\bnew\s+(?:[\w$]+\s*\.\s*)*$"
+_ANNOTATION = r"@[\w$.]*$"
+_RECEIVER = r"\b([A-Z][\w$]*)\s*(?:\([^()]*\)\s*)?\.\s*$"
 _LOCAL = (
     r"(?:^|[;{}])\s*(?:final\s+)?(?!(?:return|throw|new|else|case|package|import|goto|assert|yield)\b)"
     r"[A-Za-z_$][\w.$]*(?:<[^=;()]*>)?(?:\[\])*\s+([A-Za-z_$][\w$]*)(?=\s*(?:=[^=]|;))"
@@ -37,9 +46,9 @@ def node_id(kind: str, *parts: str) -> Column:
 def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
     """Elements of the code with the element around each: one row per node.
 
-    ``node_id, kind, name, code, file_path, line_number, line_end, parent_id``; calls
-    and locals are those inside methods. ``lines`` carries ``code``; ``spans`` are the
-    declarations of the same lines.
+    ``node_id, kind, name, code, file_path, line_number, line_end, parent_id``, and of
+    calls the ``receiver`` type, of all the ``package``; locals are those inside methods.
+    ``lines`` carries ``code``; ``spans`` are the declarations of the same lines.
     """
     declared = spans.where(F.col("kind") != "package").select(
         "file_path",
@@ -100,38 +109,68 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
             ),
         ),
     )
+    def before(c: Column) -> Column:
+        return F.substr(code, F.lit(1), c["at"] - 1)
+
     calls = F.transform(
-        F.filter(placed_calls, lambda c: ~F.regexp_extract(c["code"], _CALL, 1).isin(*NOT_CALLS)),
+        F.filter(
+            placed_calls,
+            lambda c: ~F.regexp_extract(c["code"], _CALL, 1).isin(*NOT_CALLS) & ~before(c).rlike(_ANNOTATION),
+        ),
         lambda c: F.struct(
             F.lit("call").alias("kind"),
             F.regexp_extract(c["code"], _CALL, 1).alias("name"),
             F.substr(F.col("source"), c["at"], F.length(c["code"])).alias("code"),
+            F.regexp_extract(before(c), _RECEIVER, 1).alias("receiver"),
+            before(c).rlike(_NEW).alias("fresh"),
         ),
     )
     locals_ = F.transform(
         F.regexp_extract_all(code, F.lit(_LOCAL), F.lit(1)),
-        lambda n: F.struct(F.lit("local").alias("kind"), n.alias("name"), text.strip(F.col("source")).alias("code")),
+        lambda n: F.struct(
+            F.lit("local").alias("kind"),
+            n.alias("name"),
+            text.strip(F.col("source")).alias("code"),
+            F.lit("").alias("receiver"),
+            F.lit(False).alias("fresh"),
+        ),
     )
     found = lines.select(
         "file_path", "line_no", F.posexplode(F.concat(calls, locals_)).alias("item", "e")
     )
     placed = join_covering(found, around, ["file_path"], "line_no", "a_start", "a_end")
-    elements = (
+    outside = F.col("a.k") != "method"
+    call = F.col("e.kind") == "call"
+    # The header of a method, and of a constructor, is no call.
+    header = F.when(outside, (F.col("e.name") == F.col("a.n")) & ~F.col("e.fresh")).otherwise(
+        (F.col("a.s") == F.col("line_no")) & (F.col("e.name") == F.col("a.n"))
+    )
+    init_id = F.concat_ws("|", F.lit("init"), "file_path", F.col("a.s").cast("string"), F.col("a.p").cast("string"), F.col("a.n"))
+    inner = (
         placed.groupBy("file_path", "_at", "line_no", "item", "e")
-        .agg(F.max("a").alias("a"))
-        .where(F.col("a.k") == "method")
-        # The declaration's own header is no call.
-        .where(~((F.col("e.kind") == "call") & (F.col("a.s") == F.col("line_no")) & (F.col("e.name") == F.col("a.n"))))
-        .select(
-            F.concat_ws("|", F.col("e.kind"), "file_path", F.col("line_no").cast("string"), F.col("item").cast("string"), F.col("e.name")).alias("node_id"),
-            "e.kind",
-            "e.name",
-            "e.code",
-            "file_path",
-            F.col("line_no").alias("line_number"),
-            F.col("line_no").alias("line_end"),
-            F.col("a.id").alias("parent_id"),
-        )
+        .agg(F.max(F.struct("a.*", "a_end")).alias("a"))
+        .where((call & ~header) | (~call & ~outside))
+    )
+    elements = inner.select(
+        F.concat_ws("|", F.col("e.kind"), "file_path", F.col("line_no").cast("string"), F.col("item").cast("string"), F.col("e.name")).alias("node_id"),
+        "e.kind",
+        "e.name",
+        "e.code",
+        "file_path",
+        F.col("line_no").alias("line_number"),
+        F.col("line_no").alias("line_end"),
+        F.when(outside, init_id).otherwise(F.col("a.id")).alias("parent_id"),
+        "e.receiver",
+    )
+    starts = inner.where(outside).groupBy("file_path", "a").agg(F.lit(1)).select(
+        init_id.alias("node_id"),
+        F.lit("method").alias("kind"),
+        F.lit("<init>").alias("name"),
+        F.lit("<init>").alias("code"),
+        "file_path",
+        F.col("a.s").alias("line_number"),
+        F.col("a.a_end").alias("line_end"),
+        F.col("a.id").alias("parent_id"),
     )
     files = lines.where(F.col("line_no") == 1).select(
         file_id.alias("node_id"),
@@ -143,31 +182,62 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
         F.col("n_lines").alias("line_end"),
         F.lit(None).cast("string").alias("parent_id"),
     )
-    return files.unionByName(declarations).unionByName(elements)
+    packages = spans.where(F.col("kind") == "package").groupBy("file_path").agg(F.min_by("name", "span_start").alias("package"))
+    declared_nodes = files.unionByName(declarations).unionByName(starts).withColumn("receiver", F.lit(""))
+    return declared_nodes.unionByName(elements).join(packages, "file_path", "left")
 
 
 def nodes(elements: DataFrame) -> DataFrame:
-    return elements.drop("parent_id")
+    return elements.drop("parent_id", "receiver", "package")
+
+
+def _symbol(scope: str, place: Column | None, name: Column) -> Column:
+    return F.concat_ws("|", F.lit("symbol"), F.lit(scope), F.lit("") if place is None else place, name)
 
 
 def edges(elements: DataFrame) -> DataFrame:
-    """``src, dst, kind``. A call goes to the first method of its name in its file, so a
-    name that is everywhere makes one edge per call and no more."""
+    """``src, dst, kind``: ``AST`` by containment, ``CALL`` and ``TARGET`` by name.
+
+    A call goes to one symbol, that of the narrowest scope with a method of the name; the
+    symbol goes to all methods of its scope and name, overloads included. ``new T()`` goes
+    to the ``<init>`` of ``T``.
+    """
     ast = elements.where(F.col("parent_id").isNotNull()).select(
         F.col("parent_id").alias("src"), F.col("node_id").alias("dst"), F.lit("AST").alias("kind")
     )
-    methods = (
-        elements.where(F.col("kind") == "method")
-        .groupBy("file_path", "name")
-        .agg(F.min_by("node_id", F.struct("line_number", "node_id")).alias("dst"))
+    package = F.coalesce("package", F.lit(""))
+    owner = F.substring_index("parent_id", "|", -1)
+    known = F.when(F.col("name") == "<init>", owner).otherwise(F.col("name"))
+    targets = elements.where(F.col("kind") == "method").select(
+        F.col("node_id").alias("dst"),
+        F.explode(
+            F.array(
+                _symbol("type", owner, known),
+                _symbol("file", F.col("file_path"), known),
+                _symbol("package", package, known),
+                _symbol("any", None, known),
+            )
+        ).alias("src"),
     )
-    called = (
-        elements.where(F.col("kind") == "call")
-        .select("file_path", "name", F.col("node_id").alias("src"))
-        .join(methods, ["file_path", "name"])
-        .select("src", "dst", F.lit("CALL").alias("kind"))
+    by_type = F.when(F.col("receiver") != "", _symbol("type", F.col("receiver"), F.col("name")))
+    asked = elements.where(F.col("kind") == "call").select(
+        F.col("node_id").alias("src"),
+        F.posexplode(
+            F.array(
+                by_type,
+                _symbol("file", F.col("file_path"), F.col("name")),
+                _symbol("package", package, F.col("name")),
+                _symbol("any", None, F.col("name")),
+            )
+        ).alias("scope", "dst"),
+    )
+    symbols = targets.select(F.col("src").alias("dst")).distinct()
+    calls = asked.where(F.col("dst").isNotNull()).join(symbols, "dst").groupBy("src").agg(F.min_by("dst", "scope").alias("dst"))
+    used = calls.select(F.col("dst").alias("src")).distinct()
+    return (
+        ast.unionByName(calls.withColumn("kind", F.lit("CALL")))
+        .unionByName(targets.join(used, "src", "left_semi").select("src", "dst", F.lit("TARGET").alias("kind")))
     )
-    return ast.unionByName(called)
 
 
 def of_kind(graph_nodes: DataFrame, kind: str) -> DataFrame:
@@ -183,23 +253,41 @@ def calls_by_name(graph_nodes: DataFrame, name: str) -> DataFrame:
     return of_kind(graph_nodes, "call").where(F.col("name") == name)
 
 
+def _of(graph_edges: DataFrame, kind: str, src: str, dst: str) -> DataFrame:
+    return graph_edges.where(F.col("kind") == kind).select(F.col("src").alias(src), F.col("dst").alias(dst))
+
+
+def call_targets(graph_edges: DataFrame) -> DataFrame:
+    """``src, dst``: a call and a method it may go to."""
+    return _of(graph_edges, "CALL", "src", "symbol").join(_of(graph_edges, "TARGET", "symbol", "dst"), "symbol").select("src", "dst")
+
+
+def call_steps(graph_edges: DataFrame) -> DataFrame:
+    """``src, dst``: from a method to the symbols it calls, and from a symbol to its
+    methods. Two steps are one call, and no pair of caller and callee is spelt out."""
+    called = _of(graph_edges, "AST", "src", "call").join(_of(graph_edges, "CALL", "call", "dst"), "call").select("src", "dst")
+    return called.unionByName(_of(graph_edges, "TARGET", "src", "dst")).distinct()
+
+
 def method_calls(graph_edges: DataFrame) -> DataFrame:
-    """``caller, call, callee`` ids: a method, a call directly inside it, the method called."""
-    inside = graph_edges.where(F.col("kind") == "AST").select(F.col("src").alias("caller"), F.col("dst").alias("call"))
-    target = graph_edges.where(F.col("kind") == "CALL").select(F.col("src").alias("call"), F.col("dst").alias("callee"))
-    return inside.join(target, "call").select("caller", "call", "callee")
+    """``caller, call, callee`` ids: a method, a call directly inside it, a method it may go to."""
+    inside = _of(graph_edges, "AST", "caller", "call")
+    return inside.join(call_targets(graph_edges).withColumnsRenamed({"src": "call", "dst": "callee"}), "call").select("caller", "call", "callee")
 
 
 def callees(graph_edges: DataFrame, methods: DataFrame) -> DataFrame:
-    """Distinct ``node_id, callee`` of the given methods (``node_id``)."""
-    pairs = method_calls(graph_edges).select(F.col("caller").alias("node_id"), "callee").distinct()
-    return pairs.join(methods.select("node_id"), "node_id", "left_semi")
+    """Distinct ``node_id, callee`` of the given methods (``node_id``), which are looked up first."""
+    inside = _of(graph_edges, "AST", "node_id", "call").join(methods.select("node_id"), "node_id", "left_semi")
+    symbols = inside.join(_of(graph_edges, "CALL", "call", "symbol"), "call").select("node_id", "symbol").distinct()
+    return symbols.join(_of(graph_edges, "TARGET", "symbol", "callee"), "symbol").select("node_id", "callee").distinct()
 
 
 def callers(graph_edges: DataFrame, methods: DataFrame) -> DataFrame:
-    """Distinct ``node_id, caller`` of the given methods (``node_id``)."""
-    pairs = method_calls(graph_edges).select(F.col("callee").alias("node_id"), "caller").distinct()
-    return pairs.join(methods.select("node_id"), "node_id", "left_semi")
+    """Distinct ``node_id, caller`` of the given methods (``node_id``), which are looked up first."""
+    symbols = _of(graph_edges, "TARGET", "symbol", "node_id").join(methods.select("node_id"), "node_id", "left_semi")
+    wanted = _of(graph_edges, "CALL", "call", "symbol").join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    inside = wanted.join(_of(graph_edges, "AST", "caller", "call"), "call").select("symbol", "caller").distinct()
+    return symbols.join(inside, "symbol").select("node_id", "caller").distinct()
 
 
 def ast_of(graph_nodes: DataFrame, roots: DataFrame, kind: str | None = None) -> DataFrame:
@@ -219,23 +307,27 @@ def ast_of(graph_nodes: DataFrame, roots: DataFrame, kind: str | None = None) ->
     )
 
 
-def reach(pairs: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """Everything reachable from each seed: ``origin, node, depth`` with the least depth.
+def reach(pairs: DataFrame, seeds: DataFrame, max_depth: int | None = None, per_origin: bool = False) -> DataFrame:
+    """Everything reachable from the seeds: ``node, depth`` with the least depth.
 
-    ``pairs`` holds ``src, dst``; ``seeds`` holds ``node``. A round joins only the nodes
-    found in the round before; each round is written out, so lineage stays flat and
-    a lost executor costs one round. The driver sees only whether a round is empty.
+    ``pairs`` holds ``src, dst``; ``seeds`` holds ``node``. With ``per_origin`` each seed is
+    followed by itself, and ``origin`` says which: as many rows as pairs of seed and node.
+    A round joins only the nodes found in the round before; each round is written out,
+    so lineage stays flat and a lost executor costs one round. The driver sees only
+    whether a round is empty.
     """
     step = staged(pairs.select("src", "dst").distinct())
-    frontier = staged(seeds.select(F.col("node").alias("origin"), "node").distinct().withColumn("depth", F.lit(0)))
+    own = ["origin", "node"] if per_origin else ["node"]
+    begin = seeds.select(*([F.col("node").alias("origin")] if per_origin else []), "node").distinct()
+    frontier = staged(begin.withColumn("depth", F.lit(0)))
     seen, depth = frontier, 0
     while max_depth is None or depth < max_depth:
         depth += 1
         found = (
             frontier.join(step, frontier["node"] == step["src"])
-            .select("origin", F.col("dst").alias("node"))
+            .select(*own[:-1], F.col("dst").alias("node"))
             .distinct()
-            .join(seen, ["origin", "node"], "left_anti")
+            .join(seen, own, "left_anti")
             .withColumn("depth", F.lit(depth))
         )
         frontier = staged(found)
