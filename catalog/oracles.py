@@ -299,7 +299,7 @@ def _queries() -> dict[str, str]:
       s AS (SELECT q.item_id, n.doc_id, round(coalesce(d.dot, 0) / (n.size * q.size), 6) AS score
         FROM qn q CROSS JOIN norms n LEFT JOIN dots d ON d.item_id = q.item_id AND d.doc_id = n.doc_id),
       r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
-      SELECT r.item_id AS query_id, string_agg(md5(x.text), chr(10) || '---' || chr(10) ORDER BY r.rank) AS context
+      SELECT r.item_id AS query_id, string_agg(x.text, chr(10) || '---' || chr(10) ORDER BY r.rank) AS context
       FROM r JOIN documents x ON x.doc_id = r.doc_id WHERE rank <= 5 GROUP BY r.item_id"""
     q["view_chunks"] = f"""WITH {MARKUP_CHUNKS} SELECT file_path, chunk_no, start_line || ' - ' || end_line AS lines, type, '-' AS name,
       CASE WHEN source = '' THEN '-' ELSE source END AS source FROM mchunks"""

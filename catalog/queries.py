@@ -435,7 +435,7 @@ def retrieval_context(spark, sf):
     questions = table(spark, sf, "benchmark").select(
         F.col("item_id").alias("query_id"), vectors.hashed_text(F.col("text"), HASH_DIM).alias("embedding")
     )
-    sources = table(spark, sf, "documents").select("doc_id", F.md5("text").alias("source"))
+    sources = table(spark, sf, "documents").select("doc_id", F.col("text").alias("source"))
     return query.retrieval_context(staged(questions), document_points(spark, sf), sources, key="doc_id")
 
 

@@ -41,7 +41,11 @@ def bucket_of(token: Column, dim: int) -> Column:
 def hashed_text(source: Column, dim: int) -> Column:
     """Hashed vector of one short text, such as a query, inside its row."""
     buckets = F.transform(tokens(source), lambda t: bucket_of(t, dim))
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda b: F.size(F.filter(buckets, lambda x: x == b)).cast("double"),
+    # Passing the buckets through a one-element array hashes each token once for all dimensions.
+    counted = F.transform(
+        F.array(buckets),
+        lambda found: F.transform(
+            F.sequence(F.lit(0), F.lit(dim - 1)), lambda b: F.size(F.filter(found, lambda x: x == b)).cast("double")
+        ),
     )
+    return F.get(counted, 0)

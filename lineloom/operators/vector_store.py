@@ -15,8 +15,11 @@ from lineloom.operators.quality import is_clean
 from lineloom.schemas import PAYLOAD, TOP_K
 from lineloom.session import staged
 
-# Bytes of query vectors one pass over the collection may carry to the tasks.
-QUERY_BYTES = 32 * 1024 * 1024
+# Rows of a block of points and of a block of queries; a task holds one of each and their
+# scores (at 1536 dimensions some 36 MB), whatever the numbers of both.
+POINT_ROWS, QUERY_ROWS = 2048, 512
+# Query blocks that a block of points meets in one join key.
+MEETING = 8
 ROUNDED = 6
 
 
@@ -65,41 +68,31 @@ def search(points_df: DataFrame, query: Sequence[float], k: int = TOP_K, key: st
     return scored.where(F.col("score").isNotNull()).drop("embedding").orderBy(F.desc("score"), F.asc(key)).limit(k)
 
 
-def _slice_search(
-    points_df: DataFrame, ids: list, matrix: np.ndarray, k: int, key: str, query_key: str, schema: T.StructType
-) -> DataFrame:
-    shipped = points_df.sparkSession.sparkContext.broadcast((ids, matrix))
+def _packed(df: DataFrame, key: str, rows: int, name: str) -> DataFrame:
+    """Unit vectors in blocks: ``dim``, the keys as a list, the matrix as bytes. Vectors that
+    are null or have no length are left out."""
+    kind = df.schema[key].dataType
+    schema = T.StructType([T.StructField("dim", T.IntegerType()), T.StructField(f"{name}_keys", T.ArrayType(kind)), T.StructField(f"{name}_rows", T.BinaryType())])
+    vectors = df.select(key, V.as_double(F.col("embedding")).alias("v")).where(F.col("v").isNotNull() & F.exists("v", lambda x: x != 0))
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list[tuple]] = {}
+
+        def block(dim: int) -> pd.DataFrame:
+            keys, matrix = zip(*held.pop(dim))
+            unit = np.stack(matrix)
+            unit = unit / np.sqrt((unit * unit).sum(axis=1))[:, None]
+            return pd.DataFrame({"dim": [dim], f"{name}_keys": [list(keys)], f"{name}_rows": [unit.tobytes()]})
 
-    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, queries = shipped.value
-        held: list[pd.DataFrame] = []
         for frame in frames:
-            frame = frame[frame["embedding"].notna()]
-            block = [np.asarray(v, dtype=np.float64) for v in frame["embedding"]]
-            if not block:
-                continue
-            rows = np.stack(block)
-            size = np.sqrt((rows * rows).sum(axis=1))
-            keep = size > 0
-            rows, size = rows[keep], size[keep]
-            keys = frame[key].to_numpy()[keep]
-            if not len(keys):
-                continue
-            scores = np.round((rows @ queries.T) / size[:, None], ROUNDED)
-            order = np.argsort(keys, kind="stable")
-            for q, query_id in enumerate(query_ids):
-                ranked = order[np.argsort(-scores[order, q], kind="stable")[:k]]
-                held.append(pd.DataFrame({query_key: query_id, key: keys[ranked], "score": scores[ranked, q]}))
-            if len(held) > 4 * len(query_ids):
-                held = [_top(pd.concat(held), k)]
-        if held:
-            yield _top(pd.concat(held), k)
-
-    def _top(found: pd.DataFrame, n: int) -> pd.DataFrame:
-        ranked = found.sort_values([query_key, "score", key], ascending=[True, False, True])
-        return ranked.groupby(query_key, sort=False).head(n)
-
-    return points_df.select(key, "embedding").mapInPandas(best, schema)
+            for one, vector in zip(frame[key], frame["v"]):
+                held.setdefault(len(vector), []).append((one, np.asarray(vector, dtype=np.float64)))
+                if len(held[len(vector)]) == rows:
+                    yield block(len(vector))
+        for dim in list(held):
+            yield block(dim)
+
+    return vectors.mapInPandas(pack, schema)
 
 
 def search_batch(
@@ -109,46 +102,36 @@ def search_batch(
     *,
     key: str = "chunk_id",
     query_key: str = "query_id",
-    query_bytes: int = QUERY_BYTES,
+    point_rows: int = POINT_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """The ``k`` nearest points of every query: ``query_id, rank, key, score``.
 
-    Query vectors travel to the tasks in slices of at most ``query_bytes``; a task
-    multiplies its points with the slice in blocks and keeps ``k`` per query, so
-    what is shuffled grows with queries and tasks, not with their product with
-    points. With several slices, each pass is written out before the next.
+    Points and queries are packed into blocks. Blocks meet by an equi-join, so a task
+    holds one pair of blocks and keeps ``k`` per query; nothing grows with both numbers,
+    and nothing passes the driver but the number of query blocks. Ties go to the smaller
+    key. Query ids are unique; vectors of other lengths than the query's are no candidates.
     """
-    wanted = queries.select(query_key, V.as_double(F.col("embedding")).alias("v"))
-    schema = T.StructType(
-        [
-            queries.schema[query_key],
-            points_df.schema[key],
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    facts = wanted.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
-    per_slice = max(1, query_bytes // (8 * max(1, facts["dim"] or 1)))
-    # Slices by hash come out uneven: aim at half the bound, then check it.
-    slices = 1 if facts["n"] <= per_slice else -(-2 * facts["n"] // per_slice)
-    found = None
-    for number in range(slices):
-        part = wanted if slices == 1 else wanted.where(F.pmod(F.xxhash64(query_key), F.lit(slices)) == number)
-        rows = part.limit(per_slice + 1).collect()
-        if len(rows) > per_slice:
-            raise ValueError(f"query ids repeat too often to slice by {query_key}")
-        rows = [r for r in rows if r["v"] is not None and any(r["v"])]
-        if not rows:
-            continue
-        matrix = np.asarray([r["v"] for r in rows], dtype=np.float64)
-        matrix /= np.sqrt((matrix * matrix).sum(axis=1))[:, None]
-        hits = _slice_search(points_df, [r[query_key] for r in rows], matrix, k, key, query_key, schema)
-        hits = hits if slices == 1 else staged(hits)
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        found = points_df.sparkSession.createDataFrame([], schema)
-    best = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(key))
-    return (
-        found.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select(query_key, "rank", key, "score")
-    )
+    asked = staged(_packed(queries, query_key, query_rows, "query"))
+    buckets = -(-asked.count() // MEETING) or 1
+    asked = asked.withColumn("bucket", F.pmod(F.xxhash64("query_rows"), F.lit(buckets)).cast("int"))
+    held = _packed(points_df, key, point_rows, "point").withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    schema = T.StructType([queries.schema[query_key], points_df.schema[key], T.StructField("score", T.DoubleType())])
+
+    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                keys = np.asarray(row.point_keys)
+                scores = np.round(np.frombuffer(row.query_rows).reshape(-1, row.dim) @ np.frombuffer(row.point_rows).reshape(-1, row.dim).T, ROUNDED)
+                taken = min(k, len(keys))
+                least = np.partition(scores, len(keys) - taken, axis=1)[:, len(keys) - taken]
+                found = []
+                for number, query_id in enumerate(row.query_keys):
+                    near = np.flatnonzero(scores[number] >= least[number])
+                    near = near[np.lexsort((keys[near], -scores[number, near]))][:taken]
+                    found.append(pd.DataFrame({query_key: query_id, key: keys[near], "score": scores[number, near]}))
+                yield pd.concat(found)
+
+    found = held.join(asked, ["bucket", "dim"]).drop("bucket").mapInPandas(best, schema)
+    order = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(key))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(query_key, "rank", key, "score")

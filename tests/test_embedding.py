@@ -112,11 +112,12 @@ def brute(matrix, wanted, k):
     return [i for _, i in ranked[:k]]
 
 
-@pytest.mark.parametrize("query_bytes", [1 << 20, 8 * 8 * 4])
-def test_batch_search_is_exact_for_any_slice_size(spark, query_bytes):
+@pytest.mark.parametrize("point_rows, query_rows", [(2048, 512), (7, 3), (1, 1)])
+def test_batch_search_is_exact_for_any_block_size(spark, point_rows, query_rows):
+    """More queries than a block holds, and more blocks than meet in one key."""
     matrix, df = points(spark)
     queries = df.where("chunk_id < 12").select(F.col("chunk_id").alias("query_id"), "embedding")
-    got = vector_store.search_batch(df.repartition(5), queries, 4, query_bytes=query_bytes)
+    got = vector_store.search_batch(df.repartition(5), queries, 4, point_rows=point_rows, query_rows=query_rows)
     found = {}
     for r in got.orderBy("query_id", "rank").collect():
         found.setdefault(r.query_id, []).append(r.chunk_id)
