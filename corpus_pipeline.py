@@ -24,8 +24,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the row of the smallest id. Rows that
-    repeat an id with an equal text count as copies too; rows without id are kept."""
+    """One document of each group of near copies: that of the smallest id. Rows
+    that repeat its id are the same document and stay; rows without id are kept."""
     return near_duplicates.distinct(docs)
 
 

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from lineloom.llm.stage import Stage
 
 
+def _stars(edges: DataFrame, tasks: int) -> bool:
+    """Whether every ``u`` hangs under one ``v``, and no ``v`` under another."""
+    hung = edges.groupBy("u").agg(F.count("*").alias("n")).coalesce(tasks)
+    return hung.filter("n > 1").select("u").union(hung.select("u").join(edges.select(F.col("v").alias("u")), "u", "left_semi").coalesce(tasks)).isEmpty()
+
+
+#: Links of one task.
+TASK_LINKS = 200_000
+
+
 def components(links: DataFrame, stage: Stage, name: str) -> DataFrame:
     """``id`` and ``root`` (the least id reachable) for every id in ``links`` (``a``, ``b``).
 
@@ -17,20 +27,17 @@ def components(links: DataFrame, stage: Stage, name: str) -> DataFrame:
     combined before it is shuffled and never gathered. Every round is a written table.
     """
     edges = stage.keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), f"{name}-0")
-    turn, before = 0, None
-    while True:
+    # every round has as many edges at most: no more tasks than they need
+    tasks = -(-edges.count() // TASK_LINKS) or 1
+    turn = 0
+    while not _stars(edges, tasks):
         turn += 1
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        edges = stage.keep(small.filter("u <> v").distinct(), f"{name}-{turn}")
+        edges = stage.keep(small.filter("u <> v").coalesce(tasks).distinct().coalesce(tasks), f"{name}-{turn}")
         stage.drop(f"{name}-{turn - 1}")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     roots = edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("id"), "root")
     return stage.keep(roots.union(edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()), name)

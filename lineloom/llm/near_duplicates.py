@@ -10,12 +10,16 @@ With three coordinates chosen at the root and two at every other node, a pair at
 0.85 meets in a tree with a chance of at least 0.994 at any depth; with three trees it is
 missed less than once in a million.
 
-Two steps keep large groups of near copies from being compared pair by pair. First every
-class is compared with the smallest class of one of its nodes, its best by minwise
-estimate, and verified links merge into components. Then a node counts only pairs from
-different components, and those outside its largest component are compared with the rest.
-All links are confirmed on full shingle sets. Nothing is capped: a node that stays large at
-``DEPTH`` is compared all the same.
+Three things keep large groups of near copies from being compared pair by pair. In one tree,
+the members of a large node are first compared with ``CENTRES`` of its classes, those that
+share their nodes with most others, and the ``NEAREST`` of them by minwise estimate are
+verified: verified links merge into components. Then a node counts only pairs from different
+components; where one component holds half of a node, the classes outside of it are compared
+with all at once, and only these. And of the members of one component that a class
+resembles, the ``NEAREST`` of a block are verified first; only if none of these is linked,
+the class is held against all members it resembles. Nodes are compared in blocks of classes
+by their minwise values. All links are confirmed on full shingle sets, and nothing is capped
+for good.
 
 Defined results: without words or text a document has no shingles and is linked with
 nothing; a row without id likewise, with a null component, and is kept; repeated rows share
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineloom.llm import texts
@@ -39,15 +43,23 @@ SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
 COORDINATES, TREES, AT_ROOT, AT_NODE = 64, 3, 3, 2
-#: Pairs of different components in a node that is compared at once.
-LEAF = 2000
-DEPTH = 10
-#: Pairs with fewer equal minwise values are not verified: a pair at 0.85 falls below
-#: with a chance of less than 1e-7.
-LEAST_EQUAL = 36
-
-_MULTIPLY = np.random.default_rng(85).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = np.random.default_rng(58).integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+#: Further minwise values of one byte each, for estimates only.
+SHORT = 128
+#: Bytes of a signature: four for each coordinate, one for each short value.
+SIGNATURE = 4 * COORDINATES + SHORT
+#: Pairs of different components in a node that is compared at once; largest depth.
+LEAF, DEPTH = 100_000, 6
+#: Nodes above this size have centres.
+SMALL, CENTRES = 64, 64
+#: Classes of a block, outside a component and in it.
+OUTSIDERS, MEMBERS = 256, 1024
+NEAREST = 3
+#: Pairs with fewer equal values, of all, are not verified: a pair at 0.85 falls below with
+#: a chance of less than 1e-4.
+LEAST_EQUAL = 144
+
+_MULTIPLY = np.random.default_rng(85).integers(0, 1 << 63, COORDINATES + SHORT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = np.random.default_rng(58).integers(0, 1 << 63, COORDINATES + SHORT, dtype=np.uint64)
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -72,19 +84,28 @@ def _fingerprint(shingles: np.ndarray) -> np.int64:
         return texts.mix(np.array([mixed.sum(dtype=np.uint64) + np.uint64(len(shingles))]))[0].astype(np.int64)
 
 
-def _minwise(sets: list[np.ndarray]) -> np.ndarray:
-    """The least value of each coordinate's permutation over each set."""
-    out = np.zeros((len(sets), COORDINATES), np.uint32)
+def _signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """The least value of each coordinate's permutation over each set, as bytes."""
+    out = np.zeros((len(sets), SIGNATURE), np.uint8)
     full = [i for i, s in enumerate(sets) if len(s)]
     if full:
         flat = np.concatenate([sets[i] for i in full])
         borders = np.concatenate([[0], np.cumsum([len(sets[i]) for i in full])[:-1]])
+        least = np.empty((len(full), COORDINATES + SHORT), np.uint32)
         with np.errstate(over="ignore"):
-            for c in range(COORDINATES):
-                out[full, c] = np.minimum.reduceat(flat * _MULTIPLY[c] + _ADD[c], borders) >> np.uint64(32)
+            for c in range(COORDINATES + SHORT):
+                least[:, c] = np.minimum.reduceat(flat * _MULTIPLY[c] + _ADD[c], borders) >> np.uint64(32)
+        out[full, : 4 * COORDINATES] = np.ascontiguousarray(least[:, :COORDINATES]).view(np.uint8)
+        out[full, 4 * COORDINATES :] = texts.mix(least[:, COORDINATES:]) & np.uint64(255)
     return out
 
 
+def _read(signatures: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates and short values of signatures."""
+    flat = np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, SIGNATURE)
+    return np.ascontiguousarray(flat[:, : 4 * COORDINATES]).view(np.uint32), flat[:, 4 * COORDINATES :]
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         held: list[np.ndarray] = []
@@ -92,7 +113,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         def flush():
             nonlocal waiting
-            signatures.extend(row.tobytes() for row in _minwise(held))
+            signatures.extend(row.tobytes() for row in _signatures(held))
             held.clear()
             waiting = 0
 
@@ -127,31 +148,23 @@ def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every tree down to depth two."""
     for batch in batches:
         ids = np.asarray(batch.column(0), np.int64)
-        values = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        values, _ = _read(batch.column(1).to_pylist())
         for tree in range(TREES):
             top = _children(np.full(len(ids), tree + 1, np.uint64), values, AT_ROOT)
             low = np.concatenate([_children(top[:, k], values, AT_NODE) for k in range(AT_ROOT)], 1)
-            yield pa.RecordBatch.from_arrays([pa.array(low.reshape(-1).astype(np.int64)), pa.array(np.repeat(ids, low.shape[1]))], ["node", "id"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(low.size, tree, np.int32)), pa.array(low.reshape(-1).astype(np.int64)), pa.array(np.repeat(ids, low.shape[1]))], ["tree", "node", "id"]
+            )
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            values = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, COORDINATES)
+            values, _ = _read(batch.column(2).to_pylist())
             low = _children(np.asarray(batch.column(0), np.int64).astype(np.uint64), values, AT_NODE)
             yield pa.RecordBatch.from_arrays([pa.array(low.reshape(-1).astype(np.int64)), pa.array(np.repeat(np.asarray(batch.column(1)), AT_NODE))], ["node", "id"])
 
 
-def _equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of equal minwise values of each pair; pairs below ``LEAST_EQUAL`` go."""
-    for batch in batches:
-        if batch.num_rows:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, COORDINATES) for c in (2, 3))
-            equal = (x == y).sum(1)
-            near = np.flatnonzero(equal >= LEAST_EQUAL)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(near)), batch.column(1).take(pa.array(near)), pa.array(equal[near].astype(np.int32))], ["a", "b", "equal"])
-
-
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -163,56 +176,145 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(sets, pa.binary())], ["id", "shingles"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are linked."""
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < percent * len(y):
+        return False
+    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _set(shingles: bytes) -> np.ndarray:
+    return np.frombuffer(shingles, np.uint64)
+
+
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for row, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= percent * (len(x) + len(y) - common):
-                    kept.append(row)
+            kept = [row for row, (x, y) in enumerate(zip(batch.column(2), batch.column(3))) if _similar(_set(x.as_buffer()), _set(y.as_buffer()), percent)]
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(kept, pa.int64())) for c in (0, 1)], ["a", "b"])
 
     return run
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    signatures = classes.select("id", "signature")
-    pairs = pairs.join(signatures.withColumnsRenamed({"id": "a", "signature": "x"}), "a")
-    pairs = pairs.join(signatures.withColumnsRenamed({"id": "b", "signature": "y"}), "b")
-    return pairs.select("a", "b", "x", "y").mapInArrow(_equal, "a long, b long, equal int")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "x"}), "a")
     pairs = pairs.join(sets.withColumnsRenamed({"id": "b", "shingles": "y"}), "b")
     return pairs.select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long")
 
 
-def _leaves(nodes: DataFrame, roots: DataFrame, classes: DataFrame, stage: Stage) -> DataFrame:
-    """Pairs of different components that meet in a leaf of a tree."""
-    leaves = None
+def _compared(nearest: int | None, percent: int = PERCENT):
+    """Near pairs between a block of outsiders and a block of members of a node: of a
+    class and another component the ``nearest``, and whether there are more. Without
+    ``nearest``, all of them that their full sets confirm."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                out, members = row["outsiders"], row["members"]
+                a, ra = (np.array([x[c] for x in out]) for c in ("id", "root"))
+                b, rb = (np.array([x[c] for x in members]) for c in ("id", "root"))
+                (x, x8), (y, y8) = (_read([m["signature"] for m in side]) for side in (out, members))
+                full = [_set(m["shingles"]) for m in members] if nearest is None else None
+                main = np.full(len(b), True) if row["largest"] is None else rb == row["largest"]
+                found = []
+                for i in range(len(a)):
+                    good = np.flatnonzero((rb != ra[i]) & (b != a[i]) & (main | (ra[i] < rb)))
+                    equal = (y[good] == x[i]).sum(1) + (y8[good] == x8[i]).sum(1)
+                    good, equal = good[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
+                    order = np.lexsort((b[good], -equal, rb[good]))
+                    good, equal = good[order], equal[order]
+                    if nearest is None:
+                        own = _set(out[i]["shingles"])
+                        keep = np.array([_similar(own, full[j], percent) for j in good], bool)
+                    else:
+                        keep = np.arange(len(good)) - np.searchsorted(rb[good], rb[good]) < nearest
+                    more = np.isin(rb[good], rb[good[~keep]])
+                    found.append((np.full(keep.sum(), a[i]), b[good[keep]], equal[keep], more[keep]))
+                columns = [np.concatenate(c) for c in zip(*found)]
+                kinds = (np.int64, np.int64, np.int32, bool)
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(columns, kinds)], ["a", "b", "equal", "more"])
+
+    return run
+
+
+NEAR = "a long, b long, equal int, more boolean"
+
+
+def _blocks(rows: DataFrame, n: F.Column, name: str) -> DataFrame:
+    """Rows of each node in ``n`` blocks."""
+    row = F.struct(*[c for c in ("id", "root", "signature", "shingles") if c in rows.columns])
+    return rows.groupBy("node", F.pmod(F.xxhash64("id"), n).alias("part")).agg(F.collect_list(row).alias(name), F.first("largest").alias("largest"))
+
+
+def _met(outsiders: DataFrame, members: DataFrame) -> DataFrame:
+    return outsiders.select("node", "outsiders").join(members.drop("part"), "node")
+
+
+def _stars(nodes: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Of each class in a large node of one tree, the nearest of the node's centres."""
+    # what a group of copies stems from shares most minwise values with the group
+    weight = nodes.groupBy("id").agg(F.sum("n").alias("weight")).filter(F.col("weight") > SMALL)
+    large = nodes.filter(f"tree = 0 AND n > {SMALL}").select("node", "n", "id").join(weight, "id").join(signatures, "id")
+    large = large.withColumns({"largest": F.lit(0).cast("long"), "root": F.col("id")})
+    first = Window.partitionBy("node").orderBy(F.col("weight").desc(), "id")
+    centres = large.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= CENTRES).withColumn("root", F.col("largest"))
+    met = _met(_blocks(large, F.ceil(F.col("n") / OUTSIDERS), "outsiders"), _blocks(centres, F.lit(1), "members"))
+    found = met.mapInArrow(_compared(NEAREST), NEAR).groupBy("a", "b").agg(F.first("equal").alias("equal"))
+    nearest = Window.partitionBy("a").orderBy(F.col("equal").desc(), "b")
+    return found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= NEAREST).select("a", "b")
+
+
+def _open(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the nodes that hold several components: how many rows, the largest
+    component and its rows, the pairs of different components."""
+    rows = nodes.join(roots, "id", "left").select("node", "id", F.coalesce("root", "id").alias("root"))
+    counts = rows.groupBy("node", "root").agg(F.count("*").alias("k")).groupBy("node")
+    counts = counts.agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("same"), F.max(F.struct("k", "root")).alias("most")).filter("n * n > same")
+    counts = counts.select("node", "n", F.col("most.root").alias("largest"), ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.col("most.k").alias("k"))
+    return rows.join(counts, "node")
+
+
+def _pairs(nodes: DataFrame, roots: DataFrame, signatures: DataFrame, stage: Stage) -> DataFrame:
+    """Near pairs of different components that meet in a leaf of a tree."""
+    pairs = None
     for depth in range(2, DEPTH + 1):
-        rows = nodes.join(roots, "id", "left").select("node", "id", F.coalesce("root", "id").alias("root"))
-        rows = stage.keep(rows, f"rows-{depth}")
-        counts = rows.groupBy("node", "root").agg(F.count("*").alias("k"))
-        counts = counts.groupBy("node").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("same"), F.max_by("root", F.struct("k", "root")).alias("largest"))
-        counts = counts.select("node", "largest", ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).filter("pairs > 0")
-        rows = stage.keep(rows.join(counts, "node"), f"open-{depth}")
-        ready = rows.filter((F.col("pairs") <= LEAF) if depth < DEPTH else F.lit(True))
-        outside = ready.filter("root <> largest").select("node", F.col("id").alias("a"), F.col("root").alias("ra"), "largest")
-        inside = ready.select("node", F.col("id").alias("b"), F.col("root").alias("rb"))
-        met = outside.join(inside, "node").filter("ra <> rb AND (rb = largest OR ra < rb)")
-        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        leaves = met if leaves is None else leaves.union(met)
-        large = rows.filter(F.col("pairs") > LEAF).select("node", "id")
+        ready = (F.col("pairs") <= LEAF) | (2 * F.col("k") >= F.col("n")) | F.lit(depth == DEPTH)
+        open_ = stage.keep(_open(nodes, roots).withColumn("ready", ready).join(signatures, "id"), f"open-{depth}")
+        compared = open_.filter("ready")
+        outsiders = _blocks(compared.filter("root <> largest"), F.ceil((F.col("n") - F.col("k")) / OUTSIDERS), "outsiders")
+        met = _met(outsiders, _blocks(compared, F.ceil(F.col("n") / MEMBERS), "members")).mapInArrow(_compared(NEAREST), NEAR)
+        met = stage.keep(met.groupBy("a", "b").agg(F.max("more").alias("more")), f"pairs-{depth}")
+        pairs = met if pairs is None else pairs.union(met)
+        large = open_.filter(~F.col("ready")).select("node", "id", "signature")
         if depth == DEPTH or large.isEmpty():
             break
-        nodes = stage.keep(large.join(classes.select("id", "signature"), "id").select("node", "id", "signature").mapInArrow(_branch, "node long, id long"), f"nodes-{depth + 1}")
-    return stage.keep(leaves.distinct(), "leaves")
+        nodes = stage.keep(large.mapInArrow(_branch, "node long, id long"), f"nodes-{depth + 1}")
+        stage.drop(f"open-{depth}", f"nodes-{depth}")
+    pairs = stage.keep(pairs.groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
+    stage.drop(f"open-{depth}", *(f"pairs-{d}" for d in range(2, depth + 1)))
+    return pairs
+
+
+def _rest(nodes: DataFrame, roots: DataFrame, left: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the classes ``left`` with all classes of other components in all their nodes."""
+    theirs = nodes.join(nodes.join(left, "id", "left_semi").select("node").distinct(), "node", "left_semi")
+    rows = _open(theirs, roots).join(signatures, "id").join(sets, "id")
+    mine = rows.join(left, "id", "left_semi")
+    small = OUTSIDERS // 4  # blocks hold sets as well
+    met = _met(_blocks(mine, F.ceil(F.col("n") / small), "outsiders"), _blocks(rows, F.ceil(F.col("n") / OUTSIDERS), "members"))
+    # the other side may be left as well: a pair counts from either
+    return met.withColumn("largest", F.lit(None).cast("long")).mapInArrow(_compared(None, percent), NEAR).select("a", "b").distinct()
+
+
+def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """``pairs`` with the components of both sides."""
+    for side in ("a", "b"):
+        named = roots.select(F.col("id").alias(side), F.col("root").alias("found"))
+        pairs = pairs.join(named, side, "left").withColumn(f"r{side}", F.coalesce("found", side)).drop("found")
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -223,25 +325,32 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sketches = stage.keep(docs.mapInArrow(_sketch, "doc_id long, id long, n_shingles long, signature binary"), "sketches")
     known = sketches.filter("doc_id IS NOT NULL AND id IS NOT NULL")
     classes = stage.keep(known.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")), "classes")
+    sketches = stage.keep(sketches.drop("signature"), "rows")
+    stage.drop("sketches")
 
-    nodes = stage.keep(classes.select("id", "signature").mapInArrow(_roots, "node long, id long"), "roots")
-    shared = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("centre")).filter("n > 1")
-    nodes = stage.keep(nodes.join(shared, "node").select("node", "id", "centre"), "nodes")
+    nodes = stage.keep(classes.select("id", "signature").mapInArrow(_roots, "tree int, node long, id long"), "roots")
+    shared = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
+    nodes = stage.keep(nodes.join(shared, "node"), "nodes")
     stage.drop("roots")
 
     wanted = nodes.select("id").distinct().join(classes.select("id", "doc_id"), "id")
     sets = docs.join(wanted, "doc_id").select("id", "text").mapInArrow(_full_sets, "id long, shingles binary")
     sets = stage.keep(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
 
-    stars = _estimated(nodes.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), classes)
-    stars = stars.groupBy("a").agg(F.max_by("b", F.struct("equal", "b")).alias("b"))
-    links = stage.keep(_verified(stars, sets, percent), "star-links")
+    signatures = classes.select("id", "signature")
+    links = stage.keep(_verified(_stars(nodes, signatures), sets, percent), "star-links")
     roots = components(links, stage, "star-components")
 
-    pairs = _leaves(nodes.select("node", "id"), roots, classes, stage)
-    more = stage.keep(_verified(_estimated(pairs, classes).select("a", "b"), sets, percent), "leaf-links")
-    stage.drop("sets", "leaves")
-    roots = components(links.union(more), stage, "components")
+    nodes = nodes.select("node", "id")
+    pairs = _pairs(nodes, roots, signatures, stage)
+    links = stage.keep(links.union(_verified(pairs.select("a", "b"), sets, percent)), "links")
+    roots = components(links, stage, "components")
+    left = _rooted(pairs.filter("more"), roots).filter("ra <> rb").select(F.col("a").alias("id")).distinct()
+    if not left.isEmpty():
+        rest = stage.keep(_rest(nodes, roots, stage.keep(left, "left"), signatures, sets, percent), "rest")
+        if not rest.isEmpty():
+            roots = components(links.union(rest), stage, "all-components")
+    stage.drop("sets", "pairs", "nodes")
 
     named = classes.join(roots, "id").groupBy("root").agg(F.min("doc_id").alias("least"))
     named = roots.join(named, "root").select("id", "least")
@@ -252,8 +361,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def distinct(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows that ``near_duplicates`` keeps, with the columns they came with; of rows that
-    repeat a kept id, one for each text."""
+    """The rows that ``near_duplicates`` keeps, with the columns they came with; rows that
+    repeat a kept id are the same document and stay."""
     verdicts = near_duplicates(docs, percent)
     dropped = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct()
     same = docs["doc_id"].cast("long") == F.col("__dropped")
