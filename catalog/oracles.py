@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from catalog import duck_inputs as D
-from catalog.queries import BATCH_LIMIT, COUNTED, SEARCH_TEXT, SMALL_LIMIT, SQL_TEXTS, TOKEN_LIMIT
+from catalog.queries import BATCH_LIMIT, COUNTED, SEARCH_TEXT, SMALL_LIMIT, SQL_TEXTS, TOKEN_LIMIT, WANTED_COUNTS
 
 TOKEN = r"[A-Za-z0-9_]+|[^\sA-Za-z0-9_]"
 NL = "chr(10)"
@@ -291,6 +291,13 @@ def _queries() -> dict[str, str]:
       dots AS (SELECT h.doc_id, sum(h.tf * qh.tf)::DOUBLE AS dot FROM hash h JOIN qh ON h.bucket = qh.bucket GROUP BY h.doc_id)
       SELECT n.doc_id, round(coalesce(d.dot, 0) / (n.size * (SELECT sqrt(sum(tf * tf)::DOUBLE) FROM qh)), 6) AS score
       FROM norms n LEFT JOIN dots d ON n.doc_id = d.doc_id ORDER BY score DESC, doc_id LIMIT 10"""
+    counts = ", ".join(f"length(source) - length(replace(source, '{c}', ''))" for c in COUNTED.values())
+    q["index_search"] = f"""WITH {java_pieces(80)},
+      c AS (SELECT *, [length(source), {counts}]::FLOAT[]::DOUBLE[] AS v, {WANTED_COUNTS}::DOUBLE[] AS w,
+        sha256(file_path || '|' || type || '|' || coalesce(name, '') || '|' || chunk_no || '|' || start_line || '|' || end_line || '|' || source) AS chunk_id FROM w1),
+      p AS (SELECT *, list_inner_product(v, v) AS size FROM c WHERE len(regexp_extract_all(source, '{TOKEN}')) <= 8192)
+      SELECT chunk_id, round(list_inner_product(v, w) / (sqrt(size) * sqrt(list_inner_product(w, w))), 6) AS score, {CHUNK} FROM p
+      WHERE size > 0 ORDER BY score DESC, chunk_id LIMIT 10"""
     q["retrieval_context"] = f"""WITH {HASH},
       qh AS (SELECT item_id, ('0x' || substr(md5(t), 1, 8))::BIGINT % 64 AS bucket, count(*) AS tf
         FROM (SELECT item_id, unnest(regexp_extract_all(text, '{TOKEN}')) AS t FROM benchmark) GROUP BY 1, 2),

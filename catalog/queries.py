@@ -429,6 +429,19 @@ def semantic_search(spark, sf):
     return query.semantic_search(document_points(spark, sf), SEARCH_TEXT, HASH_DIM, 10, key="doc_id")
 
 
+WANTED_COUNTS = [300.0, 80.0, 12.0, 6.0]
+
+
+@registered
+def index_search(spark, sf):
+    """The whole chain: chunk, validate, embed by a provider, load, search, payload."""
+    chunks = quality.validate(quality.with_ids(java.chunks(inputs.java_lines(spark, sf))))
+    embedded = embed.merge_results(chunks, embed.embed(chunks, counting_provider))
+    collection = vector_store.check_dim(vector_store.points(embedded), len(WANTED_COUNTS)).where(F.col("error").isNull()).drop("error")
+    hits = vector_store.search(collection, WANTED_COUNTS, 10)
+    return hits.select("chunk_id", "score", *query.payloads(hits).columns)
+
+
 @registered
 def retrieval_context(spark, sf):
     """The five best documents for every benchmark text."""
