@@ -2,7 +2,9 @@
 
 Spark's file sources skip names that begin with ``_`` or ``.``; a source tree has
 ``__init__.py``. So names come from a Python data source, and contents are read by
-tasks that each get an even share of the files.
+tasks that each get an even share of the files. A root is a path that every machine
+mounts, or an address of a store that Arrow reads (``s3://``, ``gs://``, ``hdfs://``, ``file://``).
+What cannot be listed or read becomes a row with the reason.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ import os
 from collections.abc import Collection, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -28,9 +31,30 @@ def _pruned(name: str, excluded: Collection[str]) -> bool:
     return name.startswith(".") or name.lower() in excluded
 
 
-class _Subtree(InputPartition):
-    def __init__(self, directory: str, deep: bool):
-        self.directory = directory
+def _opened(path: str) -> tuple[fs.FileSystem | None, str, str]:
+    """The store of an address, the part before the store's own paths, and its path there."""
+    if "://" not in path:
+        return None, "", path
+    store, inner = fs.FileSystem.from_uri(path)
+    return store, path[: len(path) - len(inner)] if path.endswith(inner) else "", inner
+
+
+def _entries(directory: str) -> tuple[list[str], list[tuple[str, int]]]:
+    """Directories and files (with sizes) of a directory; links to directories are not followed."""
+    store, before, inner = _opened(directory)
+    if store is None:
+        with os.scandir(directory) as entries:
+            found = list(entries)
+        below = [e.path for e in found if e.is_dir(follow_symlinks=False)]
+        return below, sorted((e.path, e.stat().st_size) for e in found if e.is_file())
+    listed = store.get_file_info(fs.FileSelector(inner))
+    below = [before + i.path for i in listed if i.type == fs.FileType.Directory]
+    return below, sorted((before + i.path, i.size) for i in listed if i.type == fs.FileType.File)
+
+
+class _Share(InputPartition):
+    def __init__(self, shallow: list[str], deep: list[str]):
+        self.shallow = shallow
         self.deep = deep
 
 
@@ -40,43 +64,55 @@ class _TreeReader(DataSourceReader):
         self.excluded = {d.lower() for d in options.get("exclude", "").split("\n") if d}
         self.wanted = int(options.get("partitions", "64"))
 
+    def _below(self, directories: list[str]) -> list[str]:
+        return [d for d in directories if not _pruned(d.rstrip("/").rsplit("/", 1)[-1], self.excluded)]
+
     def partitions(self):
-        """Open directories level by level until there are enough subtrees to share out.
+        """Open directories level by level until there are enough subtrees to share out, then
+        deal them to ``partitions`` tasks.
 
-        The driver lists only these upper levels; tasks walk what is below.
+        The driver lists only these upper levels; tasks walk what is below. A directory that
+        cannot be opened here is reported by its task.
         """
         shallow, open_dirs = [], [self.root]
         while open_dirs and len(open_dirs) < self.wanted:
             below = []
             for directory in open_dirs:
-                shallow.append(_Subtree(directory, False))
-                with os.scandir(directory) as entries:
-                    below += [
-                        e.path
-                        for e in entries
-                        if e.is_dir(follow_symlinks=False) and not _pruned(e.name, self.excluded)
-                    ]
+                shallow.append(directory)
+                try:
+                    below += self._below(_entries(directory)[0])
+                except OSError:
+                    pass
             open_dirs = below
-        return shallow + [_Subtree(d, True) for d in sorted(open_dirs)]
-
-    def read(self, partition: _Subtree) -> Iterator[tuple]:
-        for directory, dirs, names in os.walk(partition.directory, topdown=True):
-            dirs[:] = [d for d in dirs if not _pruned(d, self.excluded)] if partition.deep else []
-            for name in sorted(names):
-                path = os.path.join(directory, name)
-                if os.path.isfile(path):
-                    yield (path, os.path.getsize(path))
+        open_dirs.sort()
+        shares = [_Share(shallow[i :: self.wanted], open_dirs[i :: self.wanted]) for i in range(self.wanted)]
+        return [s for s in shares if s.shallow or s.deep]
+
+    def read(self, partition: _Share) -> Iterator[tuple]:
+        waiting = [(d, False) for d in partition.shallow] + [(d, True) for d in partition.deep]
+        while waiting:
+            directory, deep = waiting.pop()
+            try:
+                below, found = _entries(directory)
+            except OSError as failure:
+                yield (directory, None, str(failure))
+                continue
+            if deep:
+                waiting += [(d, True) for d in self._below(below)]
+            for path, size in found:
+                yield (path, size, None)
 
 
 class SourceTree(DataSource):
-    """``spark.read.format("sourcetree").option("path", root)``: ``file_path, size``."""
+    """``spark.read.format("sourcetree").option("path", root)``: ``file_path, size``, and
+    ``problem`` for a directory that cannot be listed."""
 
     @classmethod
     def name(cls) -> str:
         return "sourcetree"
 
     def schema(self) -> str:
-        return "file_path string, size bigint"
+        return "file_path string, size bigint, problem string"
 
     def reader(self, schema) -> DataSourceReader:
         return _TreeReader(self.options)
@@ -85,25 +121,25 @@ class SourceTree(DataSource):
 def list_files(
     spark: SparkSession, root: str, extensions: Collection[str], exclude_dirs: Collection[str] = ()
 ) -> DataFrame:
-    """``file_path, size`` of the files below ``root`` with one of the extensions."""
+    """``file_path, size`` of the files below ``root`` with one of the extensions, and
+    ``file_path, problem`` of the directories that cannot be listed."""
     wanted = wanted_extensions(extensions)
+    return _listed(spark, root, exclude_dirs).where(F.col("problem").isNotNull() | extension(F.col("file_path")).isin(wanted))
+
+
+def _listed(spark: SparkSession, root: str, exclude_dirs: Collection[str] = ()) -> DataFrame:
     spark.dataSource.register(SourceTree)
-    listed = (
-        spark.read.format("sourcetree")
-        .option("path", root)
-        .option("exclude", "\n".join(exclude_dirs))
-        .load()
-    )
-    return listed.where(extension(F.col("file_path")).isin(wanted))
+    return spark.read.format("sourcetree").option("path", root).option("exclude", "\n".join(exclude_dirs)).load()
 
 
 def read_contents(paths: DataFrame, partitions: int | None = None) -> DataFrame:
     """Add ``data`` (bytes) and ``problem`` to rows of ``file_path, size``.
 
-    Paths are spread first, so one directory with many files is not one task. The
-    paths may also come from a table, for stores without a directory to walk.
+    Paths are spread first, so one directory with many files is not one task. A row that
+    has a ``problem`` already keeps it.
     """
-    spread = paths.select("file_path", "size")
+    known = F.col("problem") if "problem" in paths.columns else F.lit(None).cast("string").alias("problem")
+    spread = paths.select("file_path", "size", known)
     spread = spread.repartition(partitions, "file_path") if partitions else spread.repartition("file_path")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,13 +150,14 @@ def read_contents(paths: DataFrame, partitions: int | None = None) -> DataFrame:
             return pa.RecordBatch.from_pylist(rows, schema=schema)
 
         for batch in batches:
-            for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data, problem = None, None
-                if size > MAX_FILE_BYTES:
+            for path, size, problem in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                data = None
+                if problem is None and (size or 0) > MAX_FILE_BYTES:
                     problem = f"{size} bytes are too many for one row"
-                else:
+                elif problem is None:
                     try:
-                        with open(path, "rb") as f:
+                        store, _, inner = _opened(path)
+                        with open(path, "rb") if store is None else store.open_input_stream(inner) as f:
                             data = f.read()
                     except OSError as failure:
                         problem = str(failure)
@@ -163,6 +200,8 @@ def read_tree(
 
 
 def read_traces(spark: SparkSession, path: str) -> DataFrame:
-    """Stack-trace files, one row per file: ``trace_id`` (path) and ``trace``."""
-    texts = spark.read.text(path, wholetext=True)
-    return texts.select(F.col("_metadata.file_path").alias("trace_id"), F.col("value").alias("trace"))
+    """Stack-trace files below ``path``, hidden ones too, one row per file: ``trace_id``
+    (path) and ``trace``. Files that cannot be read as UTF-8 are left out; ``decode`` tells them."""
+    text = F.col("data").cast("string")
+    read = read_contents(_listed(spark, path)).where(F.col("problem").isNull() & F.is_valid_utf8(text))
+    return read.select(F.col("file_path").alias("trace_id"), F.decode(F.col("data"), "UTF-8").alias("trace"))

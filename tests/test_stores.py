@@ -59,6 +59,30 @@ def test_trace_files(spark, tmp_path):
     assert [r.trace for r in tree.read_traces(spark, str(tmp_path / "t")).collect()] == ["E\n at a.B.c(B.java:1)\n"]
 
 
+def test_traces_with_hidden_names_and_addresses(spark, tmp_path):
+    for name in ("_x", ".y", "z.log"):
+        write(str(tmp_path / "t" / "deep" / name), name.encode())
+    write(str(tmp_path / "t" / "bad"), b"\xff")
+    for root in (str(tmp_path / "t"), f"file://{tmp_path}/t"):
+        got = tree.read_traces(spark, root)
+        assert sorted(r.trace for r in got.collect()) == [".y", "_x", "z.log"]
+        assert {r.trace_id for r in got.collect()} == {f"{root}/deep/{n}" for n in ("_x", ".y", "z.log")}
+
+
+def test_directories_that_cannot_be_listed_are_reported(spark, tmp_path):
+    missing = str(tmp_path / "none")
+    assert [(r.file_path, r.size) for r in tree.list_files(spark, missing, ["py"]).collect()] == [(missing, None)]
+    good, bad = tree.read_tree(spark, missing, ["py"])
+    assert good.count() == 0 and "No such file" in bad.first().reason
+
+
+def test_many_directories_share_few_tasks(spark, tmp_path):
+    for i in range(90):
+        write(str(tmp_path / "r" / f"d{i}" / "e" / "f.py"), b"x = 1\n")
+    listed = tree.list_files(spark, str(tmp_path / "r"), ["py"])
+    assert listed.count() == 90 and listed.rdd.getNumPartitions() <= 64
+
+
 def test_chunk_files_without_errors_read_as_clean(spark, tmp_path):
     one = {"type": "class", "name": "A", "chunk_no": 1, "start_line": 1, "end_line": 2, "file_path": "A.java", "source": "x", "chunk_id": "i"}
     write(str(tmp_path / "chunks" / "chunk_i.json"), json.dumps(one, indent=2).encode())
