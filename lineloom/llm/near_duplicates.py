@@ -29,10 +29,11 @@ their component, and each row of the smallest id is kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lineloom.llm import texts
@@ -53,6 +54,8 @@ LEAF, DEPTH = 100_000, 6
 SMALL, CENTRES = 64, 64
 #: Classes of a block, outside a component and in it.
 OUTSIDERS, MEMBERS = 256, 1024
+#: Pairs of blocks that go to a Python worker at once: of some 0.5 MB each.
+AT_ONCE = 16
 NEAREST = 3
 #: Pairs with fewer equal values, of all, are not verified: a pair at 0.85 falls below with
 #: a chance of less than 1e-4.
@@ -212,7 +215,8 @@ def _compared(nearest: int | None, percent: int = PERCENT):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 out, members = row["outsiders"], row["members"]
                 a, ra = (np.array([x[c] for x in out]) for c in ("id", "root"))
                 b, rb = (np.array([x[c] for x in members]) for c in ("id", "root"))
@@ -286,7 +290,8 @@ def _pairs(nodes: DataFrame, roots: DataFrame, signatures: DataFrame, stage: Sta
         compared = open_.filter("ready")
         outsiders = _blocks(compared.filter("root <> largest"), F.ceil((F.col("n") - F.col("k")) / OUTSIDERS), "outsiders")
         met = _met(outsiders, _blocks(compared, F.ceil(F.col("n") / MEMBERS), "members")).mapInArrow(_compared(NEAREST), NEAR)
-        met = stage.keep(met.groupBy("a", "b").agg(F.max("more").alias("more")), f"pairs-{depth}")
+        with _few_at_once(stage.spark):
+            met = stage.keep(met.groupBy("a", "b").agg(F.max("more").alias("more")), f"pairs-{depth}")
         pairs = met if pairs is None else pairs.union(met)
         large = open_.filter(~F.col("ready")).select("node", "id", "signature")
         if depth == DEPTH or large.isEmpty():
@@ -309,6 +314,18 @@ def _rest(nodes: DataFrame, roots: DataFrame, left: DataFrame, signatures: DataF
     return met.withColumn("largest", F.lit(None).cast("long")).mapInArrow(_compared(None, percent), NEAR).select("a", "b").distinct()
 
 
+@contextmanager
+def _few_at_once(spark: SparkSession) -> Iterator[None]:
+    """Rows that hold blocks are large: send a few of them to a worker at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """``pairs`` with the components of both sides."""
     for side in ("a", "b"):
@@ -338,7 +355,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = stage.keep(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
 
     signatures = classes.select("id", "signature")
-    links = stage.keep(_verified(_stars(nodes, signatures), sets, percent), "star-links")
+    with _few_at_once(spark):
+        stars = stage.keep(_stars(nodes, signatures), "stars")
+    links = stage.keep(_verified(stars, sets, percent), "star-links")
     roots = components(links, stage, "star-components")
 
     nodes = nodes.select("node", "id")
@@ -347,7 +366,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     roots = components(links, stage, "components")
     left = _rooted(pairs.filter("more"), roots).filter("ra <> rb").select(F.col("a").alias("id")).distinct()
     if not left.isEmpty():
-        rest = stage.keep(_rest(nodes, roots, stage.keep(left, "left"), signatures, sets, percent), "rest")
+        left = stage.keep(left, "left")
+        with _few_at_once(spark):
+            rest = stage.keep(_rest(nodes, roots, left, signatures, sets, percent), "rest")
         if not rest.isEmpty():
             roots = components(links.union(rest), stage, "all-components")
     stage.drop("sets", "pairs", "nodes")
