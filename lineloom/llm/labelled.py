@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Values of the hash that orders rows.
+TURNS = 1 << 40
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as an empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(folds))
@@ -21,8 +25,13 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     known = known.agg(F.min(label).cast("int").alias("label"), F.max(label).cast("int").alias("other")).filter("label = other")
-    known = known.filter(fold(F.col("doc_id"), folds) != held).select("doc_id", "label", F.xxhash64("doc_id").alias("turn"))
+    turn = F.pmod(F.xxhash64("doc_id"), F.lit(TURNS))
+    known = known.filter(fold(F.col("doc_id"), folds) != held).select("doc_id", "label", turn.alias("turn"))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    # the first rows by turn lie below this bound: half as many more than are asked for are
+    # expected there, so what is ranked is small whatever the number of rows
+    for number, n in counts.items():
+        known = known.filter((F.col("label") != number) | (F.col("turn") < int(TURNS * min(1.0, 1.5 * (each + 100) / n))))
     order = Window.partitionBy("label").orderBy("turn", "doc_id")
     chosen = known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each).select("doc_id", "label")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
