@@ -253,8 +253,10 @@ def main_text(field: Field, page: str | None) -> str:
 
 def learnt(pages: DataFrame) -> Field:
     """The field of a bounded sample of the pages that mark their article, chosen by a hash."""
-    said = F.col("html").rlike("(?i)<(article|main)[\\s>]")
-    chosen = pages.filter(said).select("html", F.xxhash64("html").alias("turn")).dropDuplicates(["turn"]).orderBy("turn").limit(PAGES)
+    marks = pages.filter(F.col("html").rlike("(?i)<(article|main)[\\s>]")).select("html", F.xxhash64("html").alias("turn"))
+    # the hashes are chosen first, so only the chosen pages move
+    turns = [row["turn"] for row in marks.select("turn").distinct().orderBy("turn").limit(PAGES).collect()]
+    chosen = marks.filter(F.col("turn").isin(turns)).groupBy("turn").agg(F.first("html").alias("html")).orderBy("turn")
     return trained(training_pages([row["html"] for row in chosen.collect()]))
 
 
