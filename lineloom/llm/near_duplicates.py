@@ -56,6 +56,8 @@ SMALL, CENTRES = 64, 64
 OUTSIDERS, MEMBERS = 256, 1024
 #: Pairs of blocks that go to a Python worker at once: of some 0.5 MB each.
 AT_ONCE = 16
+#: Rows with texts, signatures or sets that go to a Python worker at once.
+ROWS_AT_ONCE = 500
 NEAREST = 3
 #: Pairs with fewer equal values, of all, are not verified: a pair at 0.85 falls below with
 #: a chance of less than 1e-4.
@@ -315,11 +317,11 @@ def _rest(nodes: DataFrame, roots: DataFrame, left: DataFrame, signatures: DataF
 
 
 @contextmanager
-def _few_at_once(spark: SparkSession) -> Iterator[None]:
-    """Rows that hold blocks are large: send a few of them to a worker at a time."""
+def _few_at_once(spark: SparkSession, rows: int = AT_ONCE) -> Iterator[None]:
+    """Send large rows, such as those that hold blocks, to a worker a few at a time."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(AT_ONCE))
+    spark.conf.set(name, str(rows))
     try:
         yield
     finally:
@@ -334,11 +336,9 @@ def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """For each row its ``n_shingles``, ``component_id`` and whether it is ``kept``."""
+def _classes_and_roots(docs: DataFrame, stage: Stage, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their class, the classes, and the component of each linked class."""
     spark = docs.sparkSession
-    stage = Stage(spark, "near-duplicates")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = stage.keep(docs.mapInArrow(_sketch, "doc_id long, id long, n_shingles long, signature binary"), "sketches")
     known = sketches.filter("doc_id IS NOT NULL AND id IS NOT NULL")
     classes = stage.keep(known.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")), "classes")
@@ -372,6 +372,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         if not rest.isEmpty():
             roots = components(links.union(rest), stage, "all-components")
     stage.drop("sets", "pairs", "nodes")
+    return sketches, classes, roots
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """For each row its ``n_shingles``, ``component_id`` and whether it is ``kept``."""
+    stage = Stage(docs.sparkSession, "near-duplicates")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with _few_at_once(docs.sparkSession, ROWS_AT_ONCE):
+        sketches, classes, roots = _classes_and_roots(docs, stage, percent)
 
     named = classes.join(roots, "id").groupBy("root").agg(F.min("doc_id").alias("least"))
     named = roots.join(named, "root").select("id", "least")
