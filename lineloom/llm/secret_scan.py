@@ -50,9 +50,18 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
+# A private key runs from its header to its end line. Where another header or the end of the
+# text comes first, it runs over what follows in base64: long runs behind line breaks (also
+# spelt ones), quotes or comment marks, and a last short one that has its line to itself.
+_APART = r"""(?:\\[nrt]|[\s"'`+,;:.>#*|/\\-])"""
+_FIELDS = rf"(?:{_APART}*+(?:Proc-Type|DEK-Info|Comment|Version):[^\r\n\\]*+)*+"
+_RUNS = rf"(?:{_APART}*+[A-Za-z0-9+/]{{16,}}+={{0,2}})*+"
+_LAST = r"""(?:["'+\x20\t]*(?:\\[nr]|[\r\n])+["'>#*|\x20\t]*[A-Za-z0-9+/]{1,15}={0,2}(?=["'+\x20\t]*(?:\\[nr]|[\r\n]|\Z)))?"""
+_KEY = r"(?:[A-Z]+ )*PRIVATE KEY-----"
+_PRIVATE_KEY = rf"-----BEGIN {_KEY}(?:(?:(?!-----BEGIN )[\s\S])*?-----END {_KEY}|{_FIELDS}{_RUNS}{_LAST})"
 # Further kinds, with well-known forms of credentials.
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 0),
+    Rule("private_key", _PRIVATE_KEY, 0, 0),
     Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
     Rule("chat_token", r"xox[abprs]-[0-9A-Za-z-]{10,}", 0, 0),
     Rule("maps_key", r"AIza[0-9A-Za-z_-]{35}", 0, 0),
