@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from lineloom.llm import bpe, decontamination, near_duplicates, secret_scan, toxicity
 from lineloom.llm.stage import Stage
 
+#: Percent of shared shingles of five words from which documents are near copies.
+NEAR_PERCENT = 80
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -26,7 +29,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the smallest id. Rows
     that repeat its id are the same document and stay; rows without id are kept."""
-    return near_duplicates.distinct(docs)
+    return near_duplicates.distinct(docs, NEAR_PERCENT)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

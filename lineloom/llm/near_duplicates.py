@@ -7,8 +7,9 @@ and the minwise value there. Classes that agree on most values meet again and ag
 part soon. A node is compared once it is small, and branches further while it is not.
 
 With three coordinates chosen at the root and two at every other node, a pair at similarity
-0.85 meets in a tree with a chance of at least 0.994 at any depth; with three trees it is
-missed less than once in a million.
+0.85 meets in a tree with a chance of about 0.992 at the largest depth, one at 0.80 with 0.979.
+There are as many trees as bring the chance that a pair at the threshold meets in none below
+``UNMET``: three at 0.85, four at 0.80.
 
 Three things keep large groups of near copies from being compared pair by pair. In one tree,
 the members of a large node are first compared with ``CENTRES`` of its classes, those that
@@ -30,6 +31,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +46,7 @@ from lineloom.llm.stage import Stage
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
-COORDINATES, TREES, AT_ROOT, AT_NODE = 64, 3, 3, 2
+COORDINATES, AT_ROOT, AT_NODE = 64, 3, 2
 #: Further minwise values of one byte each, for estimates only.
 SHORT = 128
 #: Bytes of a signature: four for each coordinate, one for each short value.
@@ -59,14 +62,45 @@ AT_ONCE = 16
 #: Rows with texts, signatures or sets that go to a Python worker at once.
 ROWS_AT_ONCE = 500
 NEAREST = 3
-#: Pairs with fewer equal values, of all, are not verified: a pair at 0.85 falls below with
-#: a chance of less than 1e-4.
-LEAST_EQUAL = 144
+#: Largest chance that a pair at the threshold meets in no tree, and that its equal values
+#: are too few for it to be verified.
+UNMET, UNVERIFIED = 1e-5, 1e-4
+#: More trees than this are refused.
+MOST_TREES = 1000
 
 _MULTIPLY = np.random.default_rng(85).integers(0, 1 << 63, COORDINATES + SHORT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.default_rng(58).integers(0, 1 << 63, COORDINATES + SHORT, dtype=np.uint64)
 
 
+def _chances(n: int, share: float) -> np.ndarray:
+    """The chance of each number of equal values among ``n``, each equal with chance ``share``."""
+    return np.array([comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(n + 1)])
+
+
+@cache
+def trees(percent: int) -> int:
+    """The least number of trees in one of which a pair at ``percent`` meets."""
+    # given how many coordinates a pair agrees on, which all trees share
+    equal = np.arange(COORDINATES + 1) / COORDINATES
+    apart = np.zeros(COORDINATES + 1)
+    for choices in (AT_NODE,) * (DEPTH - 1) + (AT_ROOT,):
+        apart = (1 - equal * (1 - apart)) ** choices
+    chances = _chances(COORDINATES, percent / 100)
+    for n in range(1, MOST_TREES + 1):
+        if (chances * apart**n).sum() < UNMET:
+            return n
+    raise ValueError(f"pairs at {percent} percent need more than {MOST_TREES} trees")
+
+
+@cache
+def least_equal(percent: int) -> int:
+    """Pairs with fewer equal values, of all, are not verified."""
+    share = percent / 100
+    # bytes are also equal by chance
+    below = np.cumsum(np.convolve(_chances(COORDINATES, share), _chances(SHORT, share + (1 - share) / 256)))
+    return int(np.searchsorted(below, UNVERIFIED))
+
+
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     for first, last, data, offsets in texts.slices(column):
@@ -149,17 +183,21 @@ def _children(nodes: np.ndarray, values: np.ndarray, choices: int) -> np.ndarray
     return out
 
 
-def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every tree down to depth two."""
-    for batch in batches:
-        ids = np.asarray(batch.column(0), np.int64)
-        values, _ = _read(batch.column(1).to_pylist())
-        for tree in range(TREES):
-            top = _children(np.full(len(ids), tree + 1, np.uint64), values, AT_ROOT)
-            low = np.concatenate([_children(top[:, k], values, AT_NODE) for k in range(AT_ROOT)], 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(low.size, tree, np.int32)), pa.array(low.reshape(-1).astype(np.int64)), pa.array(np.repeat(ids, low.shape[1]))], ["tree", "node", "id"]
-            )
+def _roots(n: int):
+    """``n`` trees down to depth two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.asarray(batch.column(0), np.int64)
+            values, _ = _read(batch.column(1).to_pylist())
+            for tree in range(n):
+                top = _children(np.full(len(ids), tree + 1, np.uint64), values, AT_ROOT)
+                low = np.concatenate([_children(top[:, k], values, AT_NODE) for k in range(AT_ROOT)], 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(low.size, tree, np.int32)), pa.array(low.reshape(-1).astype(np.int64)), pa.array(np.repeat(ids, low.shape[1]))], ["tree", "node", "id"]
+                )
+
+    return run
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,10 +248,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long")
 
 
-def _compared(nearest: int | None, percent: int = PERCENT):
+def _compared(nearest: int | None, percent: int):
     """Near pairs between a block of outsiders and a block of members of a node: of a
     class and another component the ``nearest``, and whether there are more. Without
     ``nearest``, all of them that their full sets confirm."""
+    least = least_equal(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,7 +268,7 @@ def _compared(nearest: int | None, percent: int = PERCENT):
                 for i in range(len(a)):
                     good = np.flatnonzero((rb != ra[i]) & (b != a[i]) & (main | (ra[i] < rb)))
                     equal = (y[good] == x[i]).sum(1) + (y8[good] == x8[i]).sum(1)
-                    good, equal = good[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
+                    good, equal = good[equal >= least], equal[equal >= least]
                     order = np.lexsort((b[good], -equal, rb[good]))
                     good, equal = good[order], equal[order]
                     if nearest is None:
@@ -259,7 +298,7 @@ def _met(outsiders: DataFrame, members: DataFrame) -> DataFrame:
     return outsiders.select("node", "outsiders").join(members.drop("part"), "node")
 
 
-def _stars(nodes: DataFrame, signatures: DataFrame) -> DataFrame:
+def _stars(nodes: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """Of each class in a large node of one tree, the nearest of the node's centres."""
     # what a group of copies stems from shares most minwise values with the group
     weight = nodes.groupBy("id").agg(F.sum("n").alias("weight")).filter(F.col("weight") > SMALL)
@@ -268,7 +307,7 @@ def _stars(nodes: DataFrame, signatures: DataFrame) -> DataFrame:
     first = Window.partitionBy("node").orderBy(F.col("weight").desc(), "id")
     centres = large.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= CENTRES).withColumn("root", F.col("largest"))
     met = _met(_blocks(large, F.ceil(F.col("n") / OUTSIDERS), "outsiders"), _blocks(centres, F.lit(1), "members"))
-    found = met.mapInArrow(_compared(NEAREST), NEAR).groupBy("a", "b").agg(F.first("equal").alias("equal"))
+    found = met.mapInArrow(_compared(NEAREST, percent), NEAR).groupBy("a", "b").agg(F.first("equal").alias("equal"))
     nearest = Window.partitionBy("a").orderBy(F.col("equal").desc(), "b")
     return found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= NEAREST).select("a", "b")
 
@@ -283,7 +322,7 @@ def _open(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(counts, "node")
 
 
-def _pairs(nodes: DataFrame, roots: DataFrame, signatures: DataFrame, stage: Stage) -> DataFrame:
+def _pairs(nodes: DataFrame, roots: DataFrame, signatures: DataFrame, percent: int, stage: Stage) -> DataFrame:
     """Near pairs of different components that meet in a leaf of a tree."""
     pairs = None
     for depth in range(2, DEPTH + 1):
@@ -291,7 +330,7 @@ def _pairs(nodes: DataFrame, roots: DataFrame, signatures: DataFrame, stage: Sta
         open_ = stage.keep(_open(nodes, roots).withColumn("ready", ready).join(signatures, "id"), f"open-{depth}")
         compared = open_.filter("ready")
         outsiders = _blocks(compared.filter("root <> largest"), F.ceil((F.col("n") - F.col("k")) / OUTSIDERS), "outsiders")
-        met = _met(outsiders, _blocks(compared, F.ceil(F.col("n") / MEMBERS), "members")).mapInArrow(_compared(NEAREST), NEAR)
+        met = _met(outsiders, _blocks(compared, F.ceil(F.col("n") / MEMBERS), "members")).mapInArrow(_compared(NEAREST, percent), NEAR)
         with _few_at_once(stage.spark):
             met = stage.keep(met.groupBy("a", "b").agg(F.max("more").alias("more")), f"pairs-{depth}")
         pairs = met if pairs is None else pairs.union(met)
@@ -345,7 +384,7 @@ def _classes_and_roots(docs: DataFrame, stage: Stage, percent: int) -> tuple[Dat
     sketches = stage.keep(sketches.drop("signature"), "rows")
     stage.drop("sketches")
 
-    nodes = stage.keep(classes.select("id", "signature").mapInArrow(_roots, "tree int, node long, id long"), "roots")
+    nodes = stage.keep(classes.select("id", "signature").mapInArrow(_roots(trees(percent)), "tree int, node long, id long"), "roots")
     shared = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
     nodes = stage.keep(nodes.join(shared, "node"), "nodes")
     stage.drop("roots")
@@ -356,12 +395,12 @@ def _classes_and_roots(docs: DataFrame, stage: Stage, percent: int) -> tuple[Dat
 
     signatures = classes.select("id", "signature")
     with _few_at_once(spark):
-        stars = stage.keep(_stars(nodes, signatures), "stars")
+        stars = stage.keep(_stars(nodes, signatures, percent), "stars")
     links = stage.keep(_verified(stars, sets, percent), "star-links")
     roots = components(links, stage, "star-components")
 
     nodes = nodes.select("node", "id")
-    pairs = _pairs(nodes, roots, signatures, stage)
+    pairs = _pairs(nodes, roots, signatures, percent, stage)
     links = stage.keep(links.union(_verified(pairs.select("a", "b"), sets, percent)), "links")
     roots = components(links, stage, "components")
     left = _rooted(pairs.filter("more"), roots).filter("ra <> rb").select(F.col("a").alias("id")).distinct()

@@ -8,6 +8,7 @@ import duckdb
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from lineloom.llm import decontamination, license_scan, near_duplicates, secret_scan, vector_file
 from lineloom.llm.components import components
 from lineloom.llm.queries import ORACLES, QUERIES
@@ -74,6 +75,28 @@ def test_near_duplicates_equal_brute_force(spark):
     assert [got[i].n_shingles for i in range(len(texts))] == [len(shingles(t)) for t in texts]
 
 
+def test_near_duplicates_at_80_equal_brute_force(spark, monkeypatch):
+    assert (near_duplicates.trees(85), near_duplicates.least_equal(85)) == (3, 144)
+    assert near_duplicates.trees(80) == 4 and near_duplicates.least_equal(80) < 135
+    with pytest.raises(ValueError):
+        near_duplicates.trees(1)
+    generator = random.Random(80)
+    texts = []
+    for group in range(400):
+        # of 45 shingles, 35, 36 or 37 are shared: 0.78, 0.80 and 0.82
+        words = [f"w{generator.randrange(10**6)}" for _ in range(49)]
+        texts += [" ".join(words), " ".join(words[: 39 + group % 3])]
+    sets = [shingles(t) for t in texts]
+    near = [100 * len(sets[i] & sets[i + 1]) >= 80 * len(sets[i] | sets[i + 1]) for i in range(0, len(texts), 2)]
+    assert 100 < sum(near) < 300
+    percents = []
+    distinct = near_duplicates.distinct
+    monkeypatch.setattr(near_duplicates, "distinct", lambda docs, percent=85: percents.append(percent) or distinct(docs, percent))
+    got = by_id(corpus_pipeline.without_near_duplicates(spark, documents(spark, *texts), ""))
+    assert percents == [80]
+    assert sorted(got) == sorted([*range(0, len(texts), 2), *(2 * g + 1 for g, linked in enumerate(near) if not linked)])
+
+
 def test_one_large_group_of_near_copies(spark):
     """More copies than a block holds, edited so that few are linked directly."""
     draw = random.Random(9)
