@@ -356,7 +356,7 @@ def _queries() -> dict[str, str]:
             GROUP BY parent_type, parent_method) GROUP BY parent_type"""
     q["sql_recursive"] = f"""WITH RECURSIVE {D.JAVA}, up AS (
         SELECT file_path, span_start AS file_line_no, 0::BIGINT AS step FROM jspans WHERE name = 'x'
-        UNION ALL SELECT file_path, file_line_no // 2, step + 1 FROM up WHERE file_line_no > 1)
+        UNION ALL SELECT file_path, file_line_no - 1, step + 1 FROM up WHERE file_line_no > 1)
       SELECT * FROM up"""
     return q
 

@@ -676,15 +676,15 @@ def sql_listagg(spark, sf):
 
 @registered
 def sql_recursive(spark, sf):
-    """From each method of an inner class to the start of its file, by half the line number
-    each time: the steps grow with the logarithm of a file's length, so none is cut off."""
+    """From each method of an inner class line by line to the start of its file."""
     statement = """
         WITH RECURSIVE up(file_path, file_line_no, step) AS (
             SELECT file_path, file_line_no, 0 FROM lines WHERE source LIKE '%void x()%'
             UNION ALL
             SELECT l.file_path, l.file_line_no, u.step + 1 FROM up u JOIN lines l
-              ON l.file_path = u.file_path AND l.file_line_no = u.file_line_no DIV 2)
+              ON l.file_path = u.file_path AND l.file_line_no = u.file_line_no - 1)
         SELECT file_path, file_line_no, step FROM up"""
-    # as many rows as there are: the default limit is a million
+    # as many steps and rows as there are: the default limits are a hundred and a million
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     return query.sql_query(spark, statement, {"lines": inputs.line_table(spark, sf)})

@@ -27,6 +27,13 @@ def test_query_equals_counterpart(spark, name):
     assert rows_of(got, sorted(got.columns)) == rows_of(want, sorted(got.columns))
 
 
+def test_recursion_visits_every_line(spark):
+    found = entry.queries()["sql_recursive"](spark, SF).toPandas().groupby("file_path")
+    walks = [(sorted(w.file_line_no), sorted(w.step)) for _, w in found]
+    assert walks and all(lines == list(range(1, len(lines) + 1)) and steps == list(range(len(lines))) for lines, steps in walks)
+    assert max(len(lines) for lines, _ in walks) > 100
+
+
 def test_flagship_runs(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
