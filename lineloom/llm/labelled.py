@@ -15,9 +15,9 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(folds))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, each: int) -> tuple[list[tuple[str, int]], float]:
-    """At most ``each`` training rows of either label, as (text, label), and the share of
-    label 1 among all labelled training rows.
+def sampled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, each: int) -> tuple[DataFrame, float]:
+    """At most ``each`` training rows of either label, as ``text, label`` in a fixed order, and
+    the share of label 1 among all labelled training rows.
 
     Rows are taken in the order of a hash of their id and text, so the sample does not
     depend on how the input is dealt out. Ids are chosen first; only the texts of the chosen
@@ -36,6 +36,12 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int
     chosen = known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each).select("doc_id", "label")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     taken = rows.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", "text"))))
-    taken = taken.filter(F.col("place") <= each).orderBy("label", F.xxhash64("doc_id", "text")).select("text", "label").collect()
+    taken = taken.filter(F.col("place") <= each).orderBy("label", F.xxhash64("doc_id", "text")).select("text", "label")
     total = sum(counts.values())
-    return [(r["text"] or "", r["label"]) for r in taken], (counts.get(1, 0) / total if total else 0.5)
+    return taken, (counts.get(1, 0) / total if total else 0.5)
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, each: int) -> tuple[list[tuple[str, int]], float]:
+    """The rows of ``sampled``, as (text, label), and its share."""
+    taken, share = sampled(docs, labels, label, folds, held, each)
+    return [(r["text"] or "", r["label"]) for r in taken.collect()], share

@@ -6,8 +6,9 @@ nearby, distinct words. A layer encodes every passage; gated attention weighs th
 the score is a logistic function of the weighted sum. All weights are learnt together from
 document labels, so the attention finds the passages that tell.
 
-Training takes at most ``EACH`` labelled rows of either label; of these, only the passages'
-descriptions leave the executors. The model has a fixed size.
+Training takes at most ``EACH`` labelled rows of either label, each with all its passages;
+only the passages' descriptions, of some half of the texts' size, leave the executors.
+Gradients are summed over ``CHUNK`` passages at a time. The model has a fixed size.
 
 Defined results: a null or wordless text has no passages, and its score is that of an empty
 sum; repeated rows give a row each; without training rows of both labels every score is the
@@ -26,15 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineloom.llm import texts
-from lineloom.llm.labelled import fold, sample
+from lineloom.llm.labelled import fold, sampled
 
 PASSAGE = 50
 EACH = 2500
 THRESHOLD = 0.7
 FOLDS, HELD = 4, 2
 WIDTH, ROUNDS, BATCH, RATE = 16, 30, 64, 0.01
-#: Passages of one text that take part in training; scoring takes all.
-TRAINED_PASSAGES = 64
+#: Passages whose encodings are held at once in training.
+CHUNK = 1 << 15
 
 
 def _kinds() -> np.ndarray:
@@ -109,62 +110,103 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out.astype(np.float32), parts
 
 
-def _forward(w: dict[str, np.ndarray], x: np.ndarray, bags: np.ndarray, n: int) -> dict[str, np.ndarray]:
-    """All passages ``x`` of ``n`` texts; ``bags`` (sorted) says whose they are."""
+def _encoded(w: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Encodings of passages, gates, tones and attention before it is shared out."""
     h = np.tanh(x @ w["encode"] + w["encode0"])
     gate = 1 / (1 + np.exp(-(h @ w["gate"])))
     tone = np.tanh(h @ w["tone"])
-    e = np.clip((tone * gate) @ w["attend"], -30, 30)
-    a = np.exp(e)
-    total = np.bincount(bags, a, n)
-    a = a / total[bags]
-    z = np.stack([np.bincount(bags, a * h[:, k], n) for k in range(h.shape[1])], 1) if len(bags) else np.zeros((n, len(w["out"])))
-    p = 1 / (1 + np.exp(-np.clip(z @ w["out"] + w["out0"][0], -30, 30)))
-    return {"h": h, "gate": gate, "tone": tone, "a": a, "z": z, "p": p}
-
-
-def _gradient(w, x, bags, y, weight):
-    f = _forward(w, x, bags, len(y))
-    d = (f["p"] - y) * weight / weight.sum()
-    g = {"out": f["z"].T @ d, "out0": np.array([d.sum()])}
-    dz = np.outer(d, w["out"])[bags]
-    dh = f["a"][:, None] * dz
-    da = (dz * f["h"]).sum(1)
-    de = f["a"] * (da - np.bincount(bags, f["a"] * da, len(y))[bags])
-    g["attend"] = (f["tone"] * f["gate"]).T @ de
-    both = np.outer(de, w["attend"])
-    dtone = both * f["gate"] * (1 - f["tone"] ** 2)
-    dgate = both * f["tone"] * f["gate"] * (1 - f["gate"])
-    g["tone"], g["gate"] = f["h"].T @ dtone, f["h"].T @ dgate
-    dh += dtone @ w["tone"].T + dgate @ w["gate"].T
-    dx = dh * (1 - f["h"] ** 2)
-    g["encode"], g["encode0"] = x.T @ dx, dx.sum(0)
+    return h, gate, tone, np.exp(np.clip((tone * gate) @ w["attend"], -30, 30))
+
+
+def _sums(h: np.ndarray, a: np.ndarray, bags: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(bags, a * h[:, k], n) for k in range(h.shape[1])], 1) if len(bags) else np.zeros((n, h.shape[1]))
+
+
+def _scored(w: dict[str, np.ndarray], z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z @ w["out"] + w["out0"][0], -30, 30)))
+
+
+def _forward(w: dict[str, np.ndarray], x: np.ndarray, bags: np.ndarray, n: int) -> dict[str, np.ndarray]:
+    """All passages ``x`` of ``n`` texts; ``bags`` (sorted) says whose they are."""
+    h, _, _, a = _encoded(w, x)
+    z = _sums(h, a / np.bincount(bags, a, n)[bags], bags, n)
+    return {"z": z, "p": _scored(w, z)}
+
+
+def _gradient(w, x, bags, y, weight, rows=None):
+    """``rows``: the passages of ``x`` that are meant, all by default."""
+    rows = np.arange(len(bags)) if rows is None else rows
+    parts = [slice(at, at + CHUNK) for at in range(0, len(bags), CHUNK)]
+    n, held = len(y), None
+    total, z = np.zeros(n), np.zeros((n, len(w["out"])))
+    for part in parts:
+        own = x[rows[part]].astype(float)
+        held = own, *_encoded(w, own)
+        total += np.bincount(bags[part], held[4], n)
+        z += _sums(held[1], held[4], bags[part], n)
+    z /= np.where(total > 0, total, 1)[:, None]
+    d = (_scored(w, z) - y) * weight / weight.sum()
+    g = {k: np.zeros_like(v) for k, v in w.items()} | {"out": z.T @ d, "out0": np.array([d.sum()])}
+    mean = d * (z @ w["out"])
+    for part in parts:
+        if len(parts) > 1:
+            own = x[rows[part]].astype(float)
+            held = own, *_encoded(w, own)
+        own, h, gate, tone, a = held
+        a = a / total[bags[part]]
+        dz = np.outer(d, w["out"])[bags[part]]
+        dh = a[:, None] * dz
+        de = a * ((dz * h).sum(1) - mean[bags[part]])
+        g["attend"] += (tone * gate).T @ de
+        both = np.outer(de, w["attend"])
+        dtone = both * gate * (1 - tone**2)
+        dgate = both * tone * gate * (1 - gate)
+        g["tone"] += h.T @ dtone
+        g["gate"] += h.T @ dgate
+        dh += dtone @ w["tone"].T + dgate @ w["gate"].T
+        dx = dh * (1 - h**2)
+        g["encode"] += own.T @ dx
+        g["encode0"] += dx.sum(0)
     return g
 
 
-def fitted(rows: list[tuple[str, int]], share: float) -> Model:
-    """Adam over mini-batches of texts, by a fixed seed."""
+def described(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """All passages of the training rows, where those of each row begin (one more at the
+    end), the rows' labels, and the share of label 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for _, _, data, offsets in texts.slices(batch.column(0)):
+                x, parts = passages(data, offsets)
+                found += [own.tobytes() for own in np.split(x, np.cumsum(parts)[:-1])]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1)], ["passages", "label"])
+
+    taken, share = sampled(docs, labels, "quality", FOLDS, HELD, EACH)
+    table = taken.mapInArrow(run, "passages binary, label int").toArrow()
+    rows = [np.frombuffer(own.as_buffer(), np.float32).reshape(-1, FEATURES) for own in table.column("passages")]
+    borders = np.concatenate([[0], np.cumsum([len(own) for own in rows])]).astype(int)
+    x = np.concatenate([np.zeros((0, FEATURES), np.float32), *rows])
+    return x, borders, np.asarray(table.column("label"), float), share
+
+
+def fitted(x: np.ndarray, borders: np.ndarray, y: np.ndarray, share: float) -> Model:
+    """Adam over mini-batches of texts, by a fixed seed; ``x`` is overwritten."""
     draw = np.random.default_rng(8)
     w = {
         "encode": draw.normal(0, FEATURES**-0.5, (FEATURES, WIDTH)), "encode0": np.zeros(WIDTH),
         "gate": draw.normal(0, WIDTH**-0.5, (WIDTH, WIDTH)), "tone": draw.normal(0, WIDTH**-0.5, (WIDTH, WIDTH)),
         "attend": np.zeros(WIDTH), "out": draw.normal(0, WIDTH**-0.5, WIDTH), "out0": np.zeros(1),
     }
-    described = []
-    for text, _ in rows:
-        data = np.frombuffer(text.encode(), np.uint8)
-        x, _ = passages(data, np.array([0, len(data)]))
-        if len(x) > TRAINED_PASSAGES:
-            x = x[np.linspace(0, len(x) - 1, TRAINED_PASSAGES).astype(int)]
-        described.append(x)
-    y = np.array([label for _, label in rows], float)
     if not len(y) or y.min() == y.max():
         share = min(max(share, 1e-3), 1 - 1e-3)
         w |= {"out": np.zeros(WIDTH), "out0": np.array([np.log(share / (1 - share))])}
         return Model(np.zeros(FEATURES), np.ones(FEATURES), w)
-    flat = np.concatenate(described).astype(float)
-    mean, spread = flat.mean(0), np.maximum(flat.std(0), 1e-3)
-    described = [np.clip((x - mean) / spread, -8, 8) for x in described]
+    parts, n = [slice(at, at + CHUNK) for at in range(0, len(x), CHUNK)], max(len(x), 1)
+    mean = sum((x[part].sum(0, dtype=float) for part in parts), np.zeros(FEATURES)) / n
+    spread = np.maximum(np.sqrt(sum((((x[part] - mean) ** 2).sum(0) for part in parts), np.zeros(FEATURES)) / n), 1e-3)
+    for part in parts:
+        x[part] = np.clip((x[part] - mean) / spread, -8, 8)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())) ** 0.5
     first, second, step = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
     for turn in range(ROUNDS):
@@ -172,9 +214,9 @@ def fitted(rows: list[tuple[str, int]], share: float) -> Model:
         for at in range(0, len(y), BATCH):
             step += 1
             chosen = order[at : at + BATCH]
-            x = np.concatenate([described[i] for i in chosen])
-            bags = np.repeat(np.arange(len(chosen)), [len(described[i]) for i in chosen])
-            g = _gradient(w, x, bags, y[chosen], weight[chosen])
+            rows = np.concatenate([np.arange(borders[i], borders[i + 1]) for i in chosen])
+            bags = np.repeat(np.arange(len(chosen)), borders[chosen + 1] - borders[chosen])
+            g = _gradient(w, x, bags, y[chosen], weight[chosen], rows)
             rate = RATE * (1 - turn / ROUNDS)
             for k in w:
                 slope = g[k] + 1e-4 * w[k]
@@ -195,7 +237,7 @@ def scores(model: Model, column: pa.Array) -> np.ndarray:
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row."""
-    known = docs.sparkSession.sparkContext.broadcast(fitted(*sample(docs, labels, "quality", FOLDS, HELD, EACH)))
+    known = docs.sparkSession.sparkContext.broadcast(fitted(*described(docs, labels)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

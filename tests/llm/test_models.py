@@ -151,6 +151,21 @@ def test_attention_gradient():
         assert g[k][at] == pytest.approx((loss(up) - loss(down)) / 2e-5, abs=1e-6)
 
 
+def test_quality_learns_from_all_passages(spark, monkeypatch):
+    models, fitted = [], quality_mil.fitted
+    monkeypatch.setattr(quality_mil, "fitted", lambda *a: models.append(fitted(*a)) or models[-1])
+    long = "word " * 50 + "12345 " * 50 + "word " * 50 * 298
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % quality_mil.FOLDS != quality_mil.HELD][:2]
+    docs = documents(spark, long, "word " * 100, ids=ids)
+    labels = spark.createDataFrame([(ids[0], 1), (ids[1], 0)], "doc_id long, quality int")
+    quality_mil.quality(docs, labels).collect()
+    assert models[0].mean[2] == pytest.approx(250 / 299 / 302, rel=1e-4)
+    whole = models[0].weights
+    monkeypatch.setattr(quality_mil, "CHUNK", 7)
+    quality_mil.quality(docs, labels).collect()
+    assert all(np.allclose(whole[k], models[1].weights[k], atol=1e-4) for k in whole)
+
+
 PARAGRAPH = "This is one paragraph of the story, with a few sentences. They go on for a while."
 
 
