@@ -6,8 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from lineloom.llm import bpe, decontamination, license_scan, main_text, near_duplicates, quality_mil, secret_scan, suffix_tree, toxicity, vector_file
+from lineloom.llm import (
+    bpe,
+    decontamination,
+    fill_in_middle,
+    license_scan,
+    main_text,
+    near_duplicates,
+    quality_mil,
+    secret_scan,
+    source_mix,
+    spelling,
+    suffix_tree,
+    toxicity,
+    vector_file,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +113,27 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fill_in_middle_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.restored(fill_in_middle.transformed(_table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256")
+    )
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mixed(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -142,6 +176,60 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pair) WHERE rank <= 5
 """
 
+FILL_IN_MIDDLE = """
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+cut AS (SELECT doc_id, text, t, len(t) AS n, ('0x' || h[1:8])::BIGINT % (len(t) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(t) + 1) AS c2,
+               ('0x' || h[17:24])::BIGINT % 100 AS r3, ('0x' || h[25:32])::BIGINT % 100 AS r4
+        FROM (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t FROM doc)),
+part AS (SELECT doc_id, text, n, array_to_string(t[1 : least(c1, c2)], '') AS p, array_to_string(t[least(c1, c2) + 1 : greatest(c1, c2)], '') AS m,
+                array_to_string(t[greatest(c1, c2) + 1 : n], '') AS s,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r3 >= 90 THEN 'plain'
+                     WHEN r4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM part
+"""
+
+SPELLING = f"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) ORDER BY i) AS t
+                       FROM range(256) AS r(i)),
+run AS (SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS told, count(*) AS k
+        FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+byte AS (SELECT run, k, list_transform(range(1, strlen(told) * 2, 2), lambda i: ('0x' || substring(hex(encode(told)), i, 2))::BIGINT) AS b FROM run),
+hashed AS (SELECT run, k, xor(list_reduce(b, lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295), 4294967295) AS h FROM byte, crc),
+word AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n
+         FROM (SELECT k, CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+         WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+short AS MATERIALIZED (SELECT word, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest FROM word, unnest(range(1, length(word) + 1)) AS u(i)),
+less AS (SELECT DISTINCT w.word AS a, s.word AS b FROM word AS w JOIN short AS s ON w.word = s.rest),
+near AS (SELECT a.word AS a, b.word AS b FROM short AS a JOIN short AS b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+         UNION ALL SELECT a, b FROM less UNION ALL SELECT b, a FROM less),
+best AS (SELECT a AS word, b, m, row_number() OVER (PARTITION BY a ORDER BY m DESC, b) AS place, count(*) OVER (PARTITION BY a) AS n_near
+         FROM (SELECT near.a, near.b, word.n AS m FROM near JOIN word ON word.word = near.b)),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * w.n THEN b END AS form, CASE WHEN m >= 10 * w.n THEN m END AS form_n
+           FROM word AS w LEFT JOIN best ON best.word = w.word AND place = 1),
+walk(word, root, up) AS (SELECT word, word, form FROM formed UNION ALL SELECT k.word, f.word, f.form FROM walk AS k JOIN formed AS f ON f.word = k.up)
+SELECT f.word, f.form, k.root, f.n, f.n_near, f.form_n FROM formed AS f JOIN walk AS k ON k.word = f.word AND k.up IS NULL
+"""
+
+SOURCE_MIX = r"""
+WITH doc AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                    greatest(0.1, least(1.0, coalesce(CAST(length(regexp_replace(text, '[^\p{L}]+', '', 'g')) AS DOUBLE) / nullif(length(text), 0), 0) / 0.75)) AS weight,
+                    (('0x' || sha256('mix:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:13])::BIGINT + 0.5::DOUBLE) / 4503599627370496 AS u FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM doc GROUP BY source),
+filled AS (SELECT *, 150 * sum(source_size) OVER () - 100 * coalesce(sum(2 * source_size) OVER b, 0) AS left_, sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS sharing
+           FROM src WINDOW b AS (ORDER BY 2 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+first_open AS (SELECT left_, sharing FROM filled WHERE 200.0::DOUBLE * source_size * sharing > w * left_ ORDER BY 2 * source_size / w, source NULLS LAST LIMIT 1),
+aim AS (SELECT source, source_size, CAST(CASE WHEN 200.0::DOUBLE * source_size * f.sharing <= w * f.left_ OR o.left_ IS NULL THEN 2 * source_size
+               ELSE CAST(w * o.left_ AS DOUBLE) / CAST(100 * o.sharing AS DOUBLE) END AS DOUBLE) AS target FROM filled AS f LEFT JOIN first_open AS o ON true),
+goal AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS copies FROM aim),
+placed AS (SELECT doc_id, d.source, size, source_size, target, copies, CAST(floor(target - copies * source_size) AS BIGINT) AS rest,
+                  coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / weight, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+           FROM doc AS d JOIN goal AS g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, source, size, source_size, target, copies, CAST(copies * size + greatest(0, least(size, rest - earlier)) AS BIGINT) AS taken FROM placed
+"""
+
 QUERIES = {
     "op1_near_duplicates": near_duplicate_components,
     "op2_secret_scan": secrets,
@@ -153,6 +241,16 @@ QUERIES = {
     "op8_quality": quality_scores,
     "op9_exact_top_k": exact_top_k,
     "op10_license_scan": licenses,
-    "pipeline": corpus_pipeline.run,
+    "op11_fill_in_middle": fill_in_middle_texts,
+    "op12_spelling_variants": spelling_variants,
+    "op13_source_mix": source_mixture,
+    "pipeline": pipeline,
+}
+ORACLES = {
+    "op1_near_duplicates": NEAR_DUPLICATES,
+    "op3_decontamination": DECONTAMINATE,
+    "op9_exact_top_k": EXACT_TOP_K,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op12_spelling_variants": SPELLING,
+    "op13_source_mix": SOURCE_MIX,
 }
-ORACLES = {"op1_near_duplicates": NEAR_DUPLICATES, "op3_decontamination": DECONTAMINATE, "op9_exact_top_k": EXACT_TOP_K}
