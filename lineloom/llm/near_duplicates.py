@@ -11,20 +11,21 @@ With three coordinates chosen at the root and two at every other node, a pair at
 There are as many trees as bring the chance that a pair at the threshold meets in none below
 ``UNMET``: three at 0.85, four at 0.80.
 
-Three things keep large groups of near copies from being compared pair by pair. In one tree,
-the members of a large node are first compared with ``CENTRES`` of its classes, those that
-share their nodes with most others, and the ``NEAREST`` of them by minwise estimate are
-verified: verified links merge into components. Then a node counts only pairs from different
-components; where one component holds half of a node, the classes outside of it are compared
-with all at once, and only these. And of the members of one component that a class
-resembles, the ``NEAREST`` of a block are verified first; only if none of these is linked,
-the class is held against all members it resembles. Nodes are compared in blocks of classes
-by their minwise values. All links are confirmed on full shingle sets, and nothing is capped
-for good.
+Nodes are compared on full shingle sets, in pairs of blocks of bounded rows and bytes: the shingles
+that several sets of a block pair share become columns of a matrix, and one product has all the
+intersections. A block pair gives no more links than it takes to join the components that meet
+in it, so what comes out of a node grows with its classes and not with their pairs.
+
+Large groups of near copies are mostly joined before pairs are looked for: in one tree, all classes of
+a large node are compared with ``CENTRES`` of them, those that share their nodes with most
+others. Then a node counts only pairs of different components: the classes outside of its largest
+component are compared with all others, and only these. Small nodes with the same
+classes are compared once. Nothing is capped.
 
 Defined results: without words or text a document has no shingles and is linked with
 nothing; a row without id likewise, with a null component, and is kept; repeated rows share
-their component, and each row of the smallest id is kept.
+their component, and each row of the smallest id is kept. Classes are told apart by a hash of 64
+bits: two different sets fall together with a chance of 2 ** -64.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lineloom.llm import texts
@@ -47,34 +48,25 @@ SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
 COORDINATES, AT_ROOT, AT_NODE = 64, 3, 2
-#: Further minwise values of one byte each, for estimates only.
-SHORT = 128
-#: Bytes of a signature: four for each coordinate, one for each short value.
-SIGNATURE = 4 * COORDINATES + SHORT
-#: Pairs of different components in a node that is compared at once; largest depth.
-LEAF, DEPTH = 100_000, 6
+#: Pairs that are compared in a node that does not branch further; largest depth.
+LEAF, DEPTH = 1 << 24, 6
 #: Nodes above this size have centres.
 SMALL, CENTRES = 64, 64
-#: Classes of a block, outside a component and in it.
-OUTSIDERS, MEMBERS = 256, 1024
-#: Pairs of blocks that go to a Python worker at once: of some 0.5 MB each.
-AT_ONCE = 16
+#: Classes and bytes of shingles of a block, on average.
+BLOCK, BLOCK_BYTES = 2048, 4 << 20
+#: Numbers of a matrix of sets and shingles that are held at once.
+HELD = 1 << 22
 #: Rows with texts, signatures or sets that go to a Python worker at once.
 ROWS_AT_ONCE = 500
-NEAREST = 3
-#: Largest chance that a pair at the threshold meets in no tree, and that its equal values
-#: are too few for it to be verified.
-UNMET, UNVERIFIED = 1e-5, 1e-4
+#: Links that a worker gathers before it passes them on.
+LINKS_AT_ONCE = 4096
+#: Largest chance that a pair at the threshold meets in no tree.
+UNMET = 1e-5
 #: More trees than this are refused.
 MOST_TREES = 1000
 
-_MULTIPLY = np.random.default_rng(85).integers(0, 1 << 63, COORDINATES + SHORT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = np.random.default_rng(58).integers(0, 1 << 63, COORDINATES + SHORT, dtype=np.uint64)
-
-
-def _chances(n: int, share: float) -> np.ndarray:
-    """The chance of each number of equal values among ``n``, each equal with chance ``share``."""
-    return np.array([comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(n + 1)])
+_MULTIPLY = np.random.default_rng(85).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = np.random.default_rng(58).integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 
 
 @cache
@@ -85,22 +77,14 @@ def trees(percent: int) -> int:
     apart = np.zeros(COORDINATES + 1)
     for choices in (AT_NODE,) * (DEPTH - 1) + (AT_ROOT,):
         apart = (1 - equal * (1 - apart)) ** choices
-    chances = _chances(COORDINATES, percent / 100)
+    share = percent / 100
+    chances = np.array([comb(COORDINATES, k) * share**k * (1 - share) ** (COORDINATES - k) for k in range(COORDINATES + 1)])
     for n in range(1, MOST_TREES + 1):
         if (chances * apart**n).sum() < UNMET:
             return n
     raise ValueError(f"pairs at {percent} percent need more than {MOST_TREES} trees")
 
 
-@cache
-def least_equal(percent: int) -> int:
-    """Pairs with fewer equal values, of all, are not verified."""
-    share = percent / 100
-    # bytes are also equal by chance
-    below = np.cumsum(np.convolve(_chances(COORDINATES, share), _chances(SHORT, share + (1 - share) / 256)))
-    return int(np.searchsorted(below, UNVERIFIED))
-
-
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     for first, last, data, offsets in texts.slices(column):
@@ -125,24 +109,20 @@ def _fingerprint(shingles: np.ndarray) -> np.int64:
 
 def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     """The least value of each coordinate's permutation over each set, as bytes."""
-    out = np.zeros((len(sets), SIGNATURE), np.uint8)
+    out = np.zeros((len(sets), COORDINATES), np.uint32)
     full = [i for i, s in enumerate(sets) if len(s)]
     if full:
         flat = np.concatenate([sets[i] for i in full])
         borders = np.concatenate([[0], np.cumsum([len(sets[i]) for i in full])[:-1]])
-        least = np.empty((len(full), COORDINATES + SHORT), np.uint32)
         with np.errstate(over="ignore"):
-            for c in range(COORDINATES + SHORT):
-                least[:, c] = np.minimum.reduceat(flat * _MULTIPLY[c] + _ADD[c], borders) >> np.uint64(32)
-        out[full, : 4 * COORDINATES] = np.ascontiguousarray(least[:, :COORDINATES]).view(np.uint8)
-        out[full, 4 * COORDINATES :] = texts.mix(least[:, COORDINATES:]) & np.uint64(255)
+            for c in range(COORDINATES):
+                out[full, c] = np.minimum.reduceat(flat * _MULTIPLY[c] + _ADD[c], borders) >> np.uint64(32)
     return out
 
 
-def _read(signatures: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Coordinates and short values of signatures."""
-    flat = np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, SIGNATURE)
-    return np.ascontiguousarray(flat[:, : 4 * COORDINATES]).view(np.uint32), flat[:, 4 * COORDINATES :]
+def _read(signatures: list[bytes]) -> np.ndarray:
+    """Coordinates of signatures."""
+    return np.frombuffer(b"".join(signatures), np.uint32).reshape(-1, COORDINATES)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +169,7 @@ def _roots(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0), np.int64)
-            values, _ = _read(batch.column(1).to_pylist())
+            values = _read(batch.column(1).to_pylist())
             for tree in range(n):
                 top = _children(np.full(len(ids), tree + 1, np.uint64), values, AT_ROOT)
                 low = np.concatenate([_children(top[:, k], values, AT_NODE) for k in range(AT_ROOT)], 1)
@@ -203,7 +183,7 @@ def _roots(n: int):
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            values, _ = _read(batch.column(2).to_pylist())
+            values = _read(batch.column(2).to_pylist())
             low = _children(np.asarray(batch.column(0), np.int64).astype(np.uint64), values, AT_NODE)
             yield pa.RecordBatch.from_arrays([pa.array(low.reshape(-1).astype(np.int64)), pa.array(np.repeat(np.asarray(batch.column(1)), AT_NODE))], ["node", "id"])
 
@@ -219,145 +199,174 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(sets, pa.binary())], ["id", "shingles"])
 
 
-def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets are linked."""
-    if len(x) > len(y):
-        x, y = y, x
-    if 100 * len(x) < percent * len(y):
-        return False
-    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-    return 100 * common >= percent * (len(x) + len(y) - common)
-
-
-def _set(shingles: bytes) -> np.ndarray:
-    return np.frombuffer(shingles, np.uint64)
-
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a column of sets, one behind the other, and the size of each set."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint64, (offsets[-1] - offsets[0]) // 8, offsets[0]) if offsets[-1] > offsets[0] else np.zeros(0, np.uint64)
+    return flat, np.diff(offsets) // 8
+
+
+def intersections(flat: np.ndarray, sizes: np.ndarray, some: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of ``some`` sets with ``others``, of those in ``flat``."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, column, seen = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = seen > 1  # what one set has alone is in no intersection
+    column, owner = (np.cumsum(shared) - 1)[column[shared[column]]], owner[shared[column]]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    common = np.zeros((len(some), len(others)), np.float32)
+    width = max(1, min(int(shared.sum()), HELD // len(sizes)))
+    for at in range(0, int(shared.sum()), width):
+        first, last = np.searchsorted(column, (at, at + width))
+        held = np.zeros((len(sizes), width), np.float32)
+        held[owner[first:last], column[first:last] - at] = 1
+        common += held[some] @ held[others].T
+    return common
+
+
+def _spanning(ids: np.ndarray, roots: np.ndarray, out: np.ndarray, members: np.ndarray, near: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Of the ``near`` pairs of a row of ``out`` and one of ``members`` as many as join their components."""
+    _, label = np.unique(roots, return_inverse=True)
+    for i, row in zip(out, near):
+        hit = members[row]
+        labels, first = np.unique(label[hit], return_index=True)
+        own = label[i]
+        for other, at in zip(labels, first):
+            if other != own:
+                yield ids[i], ids[hit[at]]
+                label[label == other] = own
+
+
+#: How a row takes part in a pair of blocks.
+OUTSIDER, MEMBER, BOTH = range(3)
+
+
+def _links(held: list[pa.RecordBatch], percent: int) -> Iterator[tuple[int, int]]:
+    """Links in one pair of blocks that join components."""
+    ids, roots, sides = (np.concatenate([np.asarray(p.column(c), np.int64) for p in held]) for c in (3, 4, 5))
+    out, members = np.flatnonzero(sides != MEMBER), np.flatnonzero(sides != OUTSIDER)
+    if len(out) and len(np.unique(roots)) > 1:
+        flat, sizes = (np.concatenate(x) for x in zip(*(_flat(p.column(6)) for p in held)))
+        common = intersections(flat, sizes, out, members).astype(np.int64)
+        near = 100 * common >= percent * (sizes[out][:, None] + sizes[members] - common)
+        yield from _spanning(ids, roots, out, members, near & (ids[out][:, None] != ids[members]))
+
+
+def _compare(percent: int):
+    """Rows sorted by node and blocks to links that join components."""
 
-def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [row for row, (x, y) in enumerate(zip(batch.column(2), batch.column(3))) if _similar(_set(x.as_buffer()), _set(y.as_buffer()), percent)]
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(kept, pa.int64())) for c in (0, 1)], ["a", "b"])
-
-    return run
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    pairs = pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "x"}), "a")
-    pairs = pairs.join(sets.withColumnsRenamed({"id": "b", "shingles": "y"}), "b")
-    return pairs.select("a", "b", "x", "y").mapInArrow(_linked(percent), "a long, b long")
-
+        key, held, found = None, [], []
 
-def _compared(nearest: int | None, percent: int):
-    """Near pairs between a block of outsiders and a block of members of a node: of a
-    class and another component the ``nearest``, and whether there are more. Without
-    ``nearest``, all of them that their full sets confirm."""
-    least = least_equal(percent)
+        def out() -> pa.RecordBatch:
+            a, b = zip(*found)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                out, members = row["outsiders"], row["members"]
-                a, ra = (np.array([x[c] for x in out]) for c in ("id", "root"))
-                b, rb = (np.array([x[c] for x in members]) for c in ("id", "root"))
-                (x, x8), (y, y8) = (_read([m["signature"] for m in side]) for side in (out, members))
-                full = [_set(m["shingles"]) for m in members] if nearest is None else None
-                main = np.full(len(b), True) if row["largest"] is None else rb == row["largest"]
-                found = []
-                for i in range(len(a)):
-                    good = np.flatnonzero((rb != ra[i]) & (b != a[i]) & (main | (ra[i] < rb)))
-                    equal = (y[good] == x[i]).sum(1) + (y8[good] == x8[i]).sum(1)
-                    good, equal = good[equal >= least], equal[equal >= least]
-                    order = np.lexsort((b[good], -equal, rb[good]))
-                    good, equal = good[order], equal[order]
-                    if nearest is None:
-                        own = _set(out[i]["shingles"])
-                        keep = np.array([_similar(own, full[j], percent) for j in good], bool)
-                    else:
-                        keep = np.arange(len(good)) - np.searchsorted(rb[good], rb[good]) < nearest
-                    more = np.isin(rb[good], rb[good[~keep]])
-                    found.append((np.full(keep.sum(), a[i]), b[good[keep]], equal[keep], more[keep]))
-                columns = [np.concatenate(c) for c in zip(*found)]
-                kinds = (np.int64, np.int64, np.int32, bool)
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(columns, kinds)], ["a", "b", "equal", "more"])
+            keys = np.stack([np.asarray(batch.column(c), np.int64) for c in range(3)], 1)
+            borders = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            for first, last in zip([0, *borders], [*borders, len(keys)]):
+                if first == last:
+                    continue
+                if (here := tuple(keys[first])) != key:
+                    if held:
+                        found.extend(_links(held, percent))
+                    key, held = here, []
+                held.append(batch.slice(first, last - first))
+            if len(found) >= LINKS_AT_ONCE:
+                yield out()
+        if held:
+            found.extend(_links(held, percent))
+        if found:
+            yield out()
 
     return run
 
 
-NEAR = "a long, b long, equal int, more boolean"
-
+def _compared(rows: DataFrame, outside: Column, outsiders: Column, outsider_bytes: Column, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the rows ``outside`` with all rows of their node, as many as join components.
+    ``rows`` have ``node``, ``id``, ``root`` and the node's ``n`` rows and ``bytes``;
+    ``outsiders`` and ``outsider_bytes`` are those of the rows outside."""
 
-def _blocks(rows: DataFrame, n: F.Column, name: str) -> DataFrame:
-    """Rows of each node in ``n`` blocks."""
-    row = F.struct(*[c for c in ("id", "root", "signature", "shingles") if c in rows.columns])
-    return rows.groupBy("node", F.pmod(F.xxhash64("id"), n).alias("part")).agg(F.collect_list(row).alias(name), F.first("largest").alias("largest"))
+    def blocks(n: Column, size: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
 
+    def place(a, b, side) -> Column:
+        return F.struct(a.cast("int").alias("block"), b.cast("int").alias("other"), F.lit(side).alias("side"))
 
-def _met(outsiders: DataFrame, members: DataFrame) -> DataFrame:
-    return outsiders.select("node", "outsiders").join(members.drop("part"), "node")
+    rows = rows.select("node", "id", "root", outside.alias("outside"), blocks(outsiders, outsider_bytes).alias("x"), blocks(F.col("n"), F.col("bytes")).alias("y"))
+    rows = rows.withColumns({"px": F.pmod(F.xxhash64("id"), F.col("x")), "py": F.pmod(F.xxhash64("id"), F.col("y"))})
+    once = F.when(F.col("outside"), F.array(place(F.lit(0), F.lit(0), BOTH))).otherwise(F.array(place(F.lit(0), F.lit(0), MEMBER)))
+    inside = F.transform(F.sequence(F.lit(0), F.col("x") - 1), lambda k: place(k, F.col("py"), MEMBER))
+    against = F.transform(F.sequence(F.lit(0), F.col("y") - 1), lambda k: place(F.col("px"), k, OUTSIDER))
+    many = F.when(F.col("outside"), F.concat(inside, against)).otherwise(inside)
+    rows = rows.select("node", "id", "root", F.inline(F.when((F.col("x") == 1) & (F.col("y") == 1), once).otherwise(many)))
+    rows = rows.join(sets, "id").select("node", "block", "other", "id", "root", "side", "shingles")
+    rows = rows.repartition("node", "block", "other").sortWithinPartitions("node", "block", "other")
+    return rows.mapInArrow(_compare(percent), "a long, b long")
 
 
-def _stars(nodes: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Of each class in a large node of one tree, the nearest of the node's centres."""
+def _centred(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the classes in a large node of one tree with the node's centres."""
     # what a group of copies stems from shares most minwise values with the group
     weight = nodes.groupBy("id").agg(F.sum("n").alias("weight")).filter(F.col("weight") > SMALL)
-    large = nodes.filter(f"tree = 0 AND n > {SMALL}").select("node", "n", "id").join(weight, "id").join(signatures, "id")
-    large = large.withColumns({"largest": F.lit(0).cast("long"), "root": F.col("id")})
-    first = Window.partitionBy("node").orderBy(F.col("weight").desc(), "id")
-    centres = large.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= CENTRES).withColumn("root", F.col("largest"))
-    met = _met(_blocks(large, F.ceil(F.col("n") / OUTSIDERS), "outsiders"), _blocks(centres, F.lit(1), "members"))
-    found = met.mapInArrow(_compared(NEAREST, percent), NEAR).groupBy("a", "b").agg(F.first("equal").alias("equal"))
-    nearest = Window.partitionBy("a").orderBy(F.col("equal").desc(), "b")
-    return found.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= NEAREST).select("a", "b")
-
-
-def _open(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of the nodes that hold several components: how many rows, the largest
-    component and its rows, the pairs of different components."""
-    rows = nodes.join(roots, "id", "left").select("node", "id", F.coalesce("root", "id").alias("root"))
-    counts = rows.groupBy("node", "root").agg(F.count("*").alias("k")).groupBy("node")
-    counts = counts.agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("same"), F.max(F.struct("k", "root")).alias("most")).filter("n * n > same")
-    counts = counts.select("node", "n", F.col("most.root").alias("largest"), ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.col("most.k").alias("k"))
-    return rows.join(counts, "node")
-
-
-def _pairs(nodes: DataFrame, roots: DataFrame, signatures: DataFrame, percent: int, stage: Stage) -> DataFrame:
-    """Near pairs of different components that meet in a leaf of a tree."""
-    pairs = None
+    large = nodes.filter(f"tree = 0 AND n > {SMALL}").join(weight, "id")
+    heaviest = Window.partitionBy("node").orderBy(F.col("weight").desc(), "id")
+    centres = large.withColumn("at", F.row_number().over(heaviest)).filter(F.col("at") <= CENTRES).select("node", "id", F.lit(True).alias("centre"))
+    rows = large.join(centres, ["node", "id"], "left").withColumn("root", F.col("id"))
+    return _compared(rows, F.coalesce("centre", F.lit(False)), F.lit(CENTRES), CENTRES * F.col("bytes") / F.col("n"), sets, percent)
+
+
+def _open(nodes: DataFrame, roots: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """Rows of the nodes that hold several components: how many rows and bytes, the largest
+    component with its rows and bytes."""
+    rows = stage.keep(nodes.join(roots, "id", "left").select("node", "id", "size", F.coalesce("root", "id").alias("root")), f"rows-{name}")
+    counts = rows.groupBy("node", "root").agg(F.count("*").alias("k"), F.sum("size").alias("size")).groupBy("node")
+    counts = counts.agg(F.sum("k").alias("n"), F.sum("size").alias("size"), F.max(F.struct("k", "root", "size")).alias("most")).filter("n > most.k")
+    counts = counts.select(
+        "node", "n", (8 * F.col("size")).alias("bytes"), F.col("most.root").alias("largest"), F.col("most.k").alias("k"), (8 * (F.col("size") - F.col("most.size"))).alias("other_bytes")
+    )
+    # written, so that a node with very many rows can be split in the join
+    return rows.join(stage.keep(counts, f"counts-{name}"), "node")
+
+
+def _met(nodes: DataFrame, roots: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int, stage: Stage) -> DataFrame:
+    """Links between components that meet in a leaf of a tree."""
+    links = None
+    others = F.col("n") - F.col("k")
     for depth in range(2, DEPTH + 1):
-        ready = (F.col("pairs") <= LEAF) | (2 * F.col("k") >= F.col("n")) | F.lit(depth == DEPTH)
-        open_ = stage.keep(_open(nodes, roots).withColumn("ready", ready).join(signatures, "id"), f"open-{depth}")
-        compared = open_.filter("ready")
-        outsiders = _blocks(compared.filter("root <> largest"), F.ceil((F.col("n") - F.col("k")) / OUTSIDERS), "outsiders")
-        met = _met(outsiders, _blocks(compared, F.ceil(F.col("n") / MEMBERS), "members")).mapInArrow(_compared(NEAREST, percent), NEAR)
-        with _few_at_once(stage.spark):
-            met = stage.keep(met.groupBy("a", "b").agg(F.max("more").alias("more")), f"pairs-{depth}")
-        pairs = met if pairs is None else pairs.union(met)
-        large = open_.filter(~F.col("ready")).select("node", "id", "signature")
+        ready = (others * F.col("n") <= LEAF) | (2 * F.col("k") >= F.col("n")) | F.lit(depth == DEPTH)
+        rows = stage.keep(_open(nodes, roots, stage, str(depth)).withColumn("ready", ready), f"open-{depth}")
+        found = _compared(rows.filter("ready"), F.col("root") != F.col("largest"), others, F.col("other_bytes"), sets.select("id", "shingles"), percent)
+        found = stage.keep(found.distinct(), f"met-{depth}")
+        links = found if links is None else links.union(found)
+        large = rows.filter("NOT ready").select("node", "id")
+        stage.drop(f"rows-{depth}", f"counts-{depth}")
         if depth == DEPTH or large.isEmpty():
-            break
-        nodes = stage.keep(large.mapInArrow(_branch, "node long, id long"), f"nodes-{depth + 1}")
-        stage.drop(f"open-{depth}", f"nodes-{depth}")
-    pairs = stage.keep(pairs.groupBy("a", "b").agg(F.max("more").alias("more")), "pairs")
-    stage.drop(f"open-{depth}", *(f"pairs-{d}" for d in range(2, depth + 1)))
-    return pairs
+            return links
+        branched = large.join(signatures, "id").select("node", "id", "signature").mapInArrow(_branch, "node long, id long")
+        nodes = stage.keep(branched.join(sets.select("id", "size"), "id"), f"nodes-{depth + 1}")
 
 
-def _rest(nodes: DataFrame, roots: DataFrame, left: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of the classes ``left`` with all classes of other components in all their nodes."""
-    theirs = nodes.join(nodes.join(left, "id", "left_semi").select("node").distinct(), "node", "left_semi")
-    rows = _open(theirs, roots).join(signatures, "id").join(sets, "id")
-    mine = rows.join(left, "id", "left_semi")
-    small = OUTSIDERS // 4  # blocks hold sets as well
-    met = _met(_blocks(mine, F.ceil(F.col("n") / small), "outsiders"), _blocks(rows, F.ceil(F.col("n") / OUTSIDERS), "members"))
-    # the other side may be left as well: a pair counts from either
-    return met.withColumn("largest", F.lit(None).cast("long")).mapInArrow(_compared(None, percent), NEAR).select("a", "b").distinct()
+def _nodes(classes: DataFrame, percent: int, stage: Stage) -> DataFrame:
+    """Rows (``tree``, ``node``, ``id``) of the nodes that several classes meet in, with the
+    node's ``n``. Of small nodes with the same classes one is kept."""
+    rows = stage.keep(classes.select("id", "signature").mapInArrow(_roots(trees(percent)), "tree int, node long, id long"), "all-nodes")
+    met = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("tree").alias("tree"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.hash("id", F.lit(7))).alias("y"))
+    met = stage.keep(met.filter("n > 1"), "met-nodes")
+    same = met.filter(f"n <= {SMALL}").groupBy("n", "x", "y").agg(F.min(F.struct("tree", "node")).alias("one")).select("one.node", "n")
+    kept = stage.keep(same.union(met.filter(f"n > {SMALL}").select("node", "n")), "kept-nodes")
+    nodes = stage.keep(rows.join(kept, "node").select("tree", "node", "id", "n"), "nodes")
+    stage.drop("all-nodes", "met-nodes", "kept-nodes")
+    return nodes
 
 
 @contextmanager
-def _few_at_once(spark: SparkSession, rows: int = AT_ONCE) -> Iterator[None]:
-    """Send large rows, such as those that hold blocks, to a worker a few at a time."""
+def _few_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Send rows that hold texts or sets to a worker some at a time, while this operator's own steps run."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     spark.conf.set(name, str(rows))
@@ -367,50 +376,27 @@ def _few_at_once(spark: SparkSession, rows: int = AT_ONCE) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """``pairs`` with the components of both sides."""
-    for side in ("a", "b"):
-        named = roots.select(F.col("id").alias(side), F.col("root").alias("found"))
-        pairs = pairs.join(named, side, "left").withColumn(f"r{side}", F.coalesce("found", side)).drop("found")
-    return pairs
-
-
 def _classes_and_roots(docs: DataFrame, stage: Stage, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows with their class, the classes, and the component of each linked class."""
-    spark = docs.sparkSession
     sketches = stage.keep(docs.mapInArrow(_sketch, "doc_id long, id long, n_shingles long, signature binary"), "sketches")
     known = sketches.filter("doc_id IS NOT NULL AND id IS NOT NULL")
     classes = stage.keep(known.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")), "classes")
     sketches = stage.keep(sketches.drop("signature"), "rows")
     stage.drop("sketches")
 
-    nodes = stage.keep(classes.select("id", "signature").mapInArrow(_roots(trees(percent)), "tree int, node long, id long"), "roots")
-    shared = nodes.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-    nodes = stage.keep(nodes.join(shared, "node"), "nodes")
-    stage.drop("roots")
-
+    nodes = _nodes(classes, percent, stage)
     wanted = nodes.select("id").distinct().join(classes.select("id", "doc_id"), "id")
     sets = docs.join(wanted, "doc_id").select("id", "text").mapInArrow(_full_sets, "id long, shingles binary")
-    sets = stage.keep(sets.groupBy("id").agg(F.first("shingles").alias("shingles")), "sets")
-
-    signatures = classes.select("id", "signature")
-    with _few_at_once(spark):
-        stars = stage.keep(_stars(nodes, signatures, percent), "stars")
-    links = stage.keep(_verified(stars, sets, percent), "star-links")
-    roots = components(links, stage, "star-components")
-
-    nodes = nodes.select("node", "id")
-    pairs = _pairs(nodes, roots, signatures, percent, stage)
-    links = stage.keep(links.union(_verified(pairs.select("a", "b"), sets, percent)), "links")
-    roots = components(links, stage, "components")
-    left = _rooted(pairs.filter("more"), roots).filter("ra <> rb").select(F.col("a").alias("id")).distinct()
-    if not left.isEmpty():
-        left = stage.keep(left, "left")
-        with _few_at_once(spark):
-            rest = stage.keep(_rest(nodes, roots, left, signatures, sets, percent), "rest")
-        if not rest.isEmpty():
-            roots = components(links.union(rest), stage, "all-components")
-    stage.drop("sets", "pairs", "nodes")
+    sets = sets.groupBy("id").agg(F.first("shingles").alias("shingles")).withColumn("size", F.expr("octet_length(shingles) DIV 8"))
+    sets = stage.keep(sets, "sets")
+
+    sized = stage.keep(nodes.join(sets.select("id", "size"), "id"), "sized")
+    bytes_ = sized.filter(f"tree = 0 AND n > {SMALL}").groupBy("node").agg((8 * F.sum("size")).alias("bytes"))
+    links = stage.keep(_centred(sized.join(stage.keep(bytes_, "bytes"), "node", "left"), sets.drop("size"), percent), "centred")
+    roots = components(links, stage, "centred-components")
+    met = _met(sized.select("node", "id", "size"), roots, classes.select("id", "signature"), sets, percent, stage)
+    roots = components(links.union(met), stage, "components")
+    stage.drop("sets", "nodes", "sized")
     return sketches, classes, roots
 
 

@@ -218,7 +218,7 @@ def test_pipeline_equals_its_parts(spark):
         frame = corpus_pipeline.Stage(spark, "t").keep(after, name)
     clean = {r.doc_id for r in toxicity.toxicity(docs, table(spark, "labels", sf)).filter("predicted = 0").collect()}
     left = docs.filter(docs.doc_id.isin(list(clean)))
-    kept = {r.doc_id for r in near_duplicates.near_duplicates(left).filter("kept").collect()}
+    kept = {r.doc_id for r in near_duplicates.near_duplicates(left, corpus_pipeline.NEAR_PERCENT).filter("kept").collect()}
     hit = {r.doc_id for r in QUERIES["op3_decontamination"](spark, sf).filter("contaminated").collect()}
     texts = {r.doc_id: r.text for r in frame.collect()}
     assert set(texts) == kept - hit

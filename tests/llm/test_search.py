@@ -5,8 +5,10 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lineloom.llm import decontamination, license_scan, near_duplicates, secret_scan, vector_file
@@ -76,8 +78,7 @@ def test_near_duplicates_equal_brute_force(spark):
 
 
 def test_near_duplicates_at_80_equal_brute_force(spark, monkeypatch):
-    assert (near_duplicates.trees(85), near_duplicates.least_equal(85)) == (3, 144)
-    assert near_duplicates.trees(80) == 4 and near_duplicates.least_equal(80) < 135
+    assert (near_duplicates.trees(85), near_duplicates.trees(80)) == (3, 4)
     with pytest.raises(ValueError):
         near_duplicates.trees(1)
     generator = random.Random(80)
@@ -97,8 +98,36 @@ def test_near_duplicates_at_80_equal_brute_force(spark, monkeypatch):
     assert sorted(got) == sorted([*range(0, len(texts), 2), *(2 * g + 1 for g, linked in enumerate(near) if not linked)])
 
 
-def test_one_large_group_of_near_copies(spark):
+def test_intersections_in_narrow_matrices(monkeypatch):
+    monkeypatch.setattr(near_duplicates, "HELD", 64)
+    draw = random.Random(6)
+    sets = [sorted(draw.sample(range(60), draw.randrange(1, 40))) for _ in range(20)] + [[]]
+    flat, sizes = np.array([x for s in sets for x in s], np.uint64), np.array([len(s) for s in sets])
+    common = near_duplicates.intersections(flat, sizes, np.array([3, 20, 0]), np.arange(21))
+    assert common.tolist() == [[len({*sets[i]} & {*s}) if s else 0 for s in sets] for i in (3, 20, 0)]
+
+
+def test_blocks_give_spanning_links_only(spark):
+    rows = spark.range(200).selectExpr("7L AS node", "id", "id % 4 AS root", "200L AS n", "200L * 80 AS bytes")
+    sets = spark.createDataFrame([(i, np.arange(10, dtype=np.uint64).tobytes()) for i in range(200)], "id long, shingles binary")
+    outside = rows.filter("root <> 0").count()
+    for size in (2048, 64):
+        near_duplicates.BLOCK, before = size, near_duplicates.BLOCK
+        try:
+            links = near_duplicates._compared(rows, F.col("root") != 0, F.lit(outside), F.lit(outside * 80), sets, 85).collect()
+        finally:
+            near_duplicates.BLOCK = before
+        pairs = -(-outside // size) * -(-200 // size)
+        assert 3 <= len(links) <= 3 * pairs and all(r.a % 4 != r.b % 4 for r in links)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_one_large_group_of_near_copies(spark, monkeypatch, small):
     """More copies than a block holds, edited so that few are linked directly."""
+    if small:  # deep trees, many pairs of blocks
+        monkeypatch.setattr(near_duplicates, "LEAF", 500)
+        monkeypatch.setattr(near_duplicates, "BLOCK", 40)
+        monkeypatch.setattr(near_duplicates, "DEPTH", 4)
     draw = random.Random(9)
     one = [f"w{draw.randrange(5000)}" for _ in range(120)]
     texts = [" ".join(one)]
