@@ -37,7 +37,7 @@ PATTERN = regex.compile(
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 )
 #: Words that a worker remembers; beyond, it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Longer words are merged one by one with a heap.
 LONG = 64
 NONE = 1 << 30
@@ -212,6 +212,21 @@ class Words:
         return ids, np.diff(total[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)])
 
 
+class Decoder:
+    """The bytes of all entries, one behind the other."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.lengths = np.array([len(b) for b in vocabulary.bytes], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(vocabulary.bytes), np.uint8)
+
+    def text(self, ids: np.ndarray) -> str:
+        size = self.lengths[ids]
+        total = np.cumsum(size)
+        places = np.repeat(self.starts[ids] - total + size, size) + np.arange(total[-1] if len(total) else 0)
+        return self.flat[places].tobytes().decode(errors="replace")
+
+
 class Tokenizer:
     """A vocabulary and its lexicon, ready for the workers of one Spark session."""
 
@@ -224,36 +239,39 @@ class Tokenizer:
 
     def encode(self, docs: DataFrame) -> DataFrame:
         """``doc_id`` and ``ids`` of every text."""
+        return self._passed(docs, False)
+
+    def round_trip(self, docs: DataFrame) -> DataFrame:
+        """``doc_id``, ``ids`` and the ``text`` that they decode to, in one pass of one worker."""
+        return self._passed(docs, True)
+
+    def _passed(self, docs: DataFrame, decoded: bool) -> DataFrame:
         name, vocabulary = self.name, self.vocabulary
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = Words(vocabulary.value, Lexicon(SparkFiles.get(name)))
+            decoder = Decoder(vocabulary.value) if decoded else None
             for batch in batches:
                 for first, last, data, offsets in texts.slices(batch.column(1)):
                     raw = data.tobytes()
                     ids, sizes = known.encode([raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:])])
-                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], lists], ["doc_id", "ids"])
+                    borders = np.concatenate([[0], np.cumsum(sizes)])
+                    columns = [batch.column(0)[first:last], pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids, pa.int32()))]
+                    if decoder:
+                        columns.append(pa.array([decoder.text(ids[a:b]) for a, b in zip(borders, borders[1:])], pa.string()))
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"][: len(columns)])
 
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+        schema = "doc_id long, ids array<int>" + ", text string" * decoded
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
     def decode(self, encoded: DataFrame) -> DataFrame:
         """``doc_id``, ``ids`` and their ``text``; bytes that are not UTF-8 become U+FFFD."""
         vocabulary = self.vocabulary
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tokens = vocabulary.value.bytes
-            lengths = np.array([len(b) for b in tokens], np.int64)
-            starts = np.cumsum(lengths) - lengths
-            flat = np.frombuffer(b"".join(tokens), np.uint8)
+            decoder = Decoder(vocabulary.value)
             for batch in batches:
-                out = []
-                for row in batch.column(1):
-                    ids = np.asarray(row.values, np.int64) if row.is_valid else np.zeros(0, np.int64)
-                    size = lengths[ids]
-                    total = np.cumsum(size)
-                    places = np.repeat(starts[ids] - total + size, size) + np.arange(total[-1] if len(total) else 0)
-                    out.append(flat[places].tobytes().decode(errors="replace"))
+                out = [decoder.text(np.asarray(row.values, np.int64) if row.is_valid else np.zeros(0, np.int64)) for row in batch.column(1)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["doc_id", "ids", "text"])
 
         return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,25 +49,26 @@ def windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
     return rows.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def _automata(items: DataFrame, n: int) -> list[list[tuple[str, list[str]]]]:
-    """The patterns in groups of at most ``AUTOMATON_BYTES``; a group is collected at a time."""
-    stage = Stage(items.sparkSession, "windows")
+def _automata(items: DataFrame, n: int) -> Iterator[Broadcast]:
+    """The patterns with their items, in groups of at most ``AUTOMATON_BYTES``, items counted as
+    well; a group is collected at a time and left to the machines before the next is."""
+    spark = items.sparkSession
+    stage = Stage(spark, "windows")
     table = stage.keep(windows(items, n), "patterns")
-    total = table.agg(F.sum(F.octet_length("pattern"))).first()[0] or 0
+    bytes_ = F.octet_length("pattern") + F.octet_length(F.array_join("items", ","))
+    total = table.agg(F.sum(bytes_.cast("long"))).first()[0] or 0
     parts = -(-2 * total // AUTOMATON_BYTES) or 1
-    groups = [
-        [(r.pattern, list(r.items)) for r in table.filter(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == part).collect()]
-        for part in range(parts)
-    ]
+    for part in range(parts):
+        rows = table.filter(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == part).collect()
+        yield spark.sparkContext.broadcast([(r.pattern, list(r["items"])) for r in rows])
     stage.drop("")
-    return groups
 
 
 def _merged(spans: list[tuple[int, int]]) -> np.ndarray:
-    """Sorted disjoint intervals that cover the same words."""
+    """Sorted disjoint intervals that cover the same words; those that only touch stay apart."""
     out: list[list[int]] = []
     for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
+        if out and start < out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
             out.append([start, end])
@@ -130,7 +132,6 @@ def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     """For each document its words, the words inside windows of ``items``, the ids of
     those items (as sorted strings) and the hit spans in code points of the original."""
-    spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
@@ -139,7 +140,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFra
         F.array().cast("array<string>").alias("items"),
     )
     for patterns in _automata(items, n):
-        rows = rows.mapInArrow(_scan(spark.sparkContext.broadcast(patterns)), FOUND)
+        rows = rows.mapInArrow(_scan(patterns), FOUND)
     return rows.mapInArrow(_offsets, "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>")
 
 
@@ -149,10 +150,9 @@ def clean(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     The scan runs beside the row and is joined to nothing: text goes through it and comes
     back with the verdict. A document is kept or dropped by its own text alone.
     """
-    spark = docs.sparkSession
     rows = docs
     for patterns in _automata(items, n):
-        rows = rows.mapInArrow(_drop(spark.sparkContext.broadcast(patterns), docs.columns.index("text")), docs.schema)
+        rows = rows.mapInArrow(_drop(patterns, docs.columns.index("text")), docs.schema)
     return rows
 
 
@@ -163,7 +163,7 @@ def _drop(patterns, column: int):
             machine.add_word(pattern, 1)
         machine.make_automaton()
         some = len(machine) > 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in texts.parts(whole, column)):
             kept = []
             for text in batch.column(column):
                 plain = texts.normal(text.as_buffer().to_pybytes()).decode() if text.is_valid else ""

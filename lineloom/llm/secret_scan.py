@@ -239,7 +239,7 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     length = names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in texts.parts(whole, at)):
             columns = list(batch.columns)
             spans = spans_of(columns[at])
             changed = columns[at].to_pylist()

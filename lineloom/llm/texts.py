@@ -62,6 +62,12 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         row = last
 
 
+def parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of the texts in column ``at``, so that what is made of it stays small."""
+    for first, last, _, _ in slices(batch.column(at)):
+        yield batch.slice(first, last - first)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and for each row the number of its first word (one more entry at the end)."""
     if not len(data):

@@ -204,7 +204,7 @@ def kept(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _machine(known.value.patterns)
-        for batch in batches:
+        for batch in (part for whole in batches for part in texts.parts(whole, at)):
             yield batch.filter(pa.array(_scores(machine, known.value, batch.column(at)) < THRESHOLD, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
