@@ -22,7 +22,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject; labels teach it, nothing else."""
+    """Documents that the toxicity model does not reject; labels teach it, nothing else. Null
+    and empty texts are scored as empty ones, repeated rows alike, rows without id too."""
     return toxicity.kept(docs, toxicity.learnt(docs, _table(spark, sf_dir, "labels")))
 
 
@@ -33,19 +34,22 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item. Null and empty texts hold none and
+    stay, repeated rows alike; an empty benchmark keeps all."""
     return decontamination.clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with found secrets replaced by a mark."""
+    """All documents, with found secrets replaced by a mark. A null text stays null, an empty
+    one empty; other columns are not changed."""
     return secret_scan.redacted(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids`` and the text that the ids decode to."""
+    """``doc_id``, ``n_tokens``, ``ids`` and the text that the ids decode to. Null and empty texts
+    have no ids and decode to an empty text; repeated rows stay."""
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    return tokenizer.decode(tokenizer.encode(docs)).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
+    return tokenizer.round_trip(docs).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 
 STAGES = [
