@@ -16,11 +16,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from catalog import inputs  # noqa: E402
 from catalog.queries import QUERIES  # noqa: E402
-from lineloom.session import local_session  # noqa: E402
+from lineloom.session import local_session, unstage  # noqa: E402
 
 HEADLINE = (
     "chunk_java chunk_py chunk_sql chunk_markup chunk_merge chunk_all line_context trace_explain chunk_validate_summary "
-    "embed_hash embed_batches semantic_search retrieval_context vector_search vector_search_batch graph_build graph_reach sql_group_by sql_window"
+    "embed_hash embed_batches semantic_search retrieval_context vector_search vector_search_batch graph_build graph_reach sql_group_by sql_window "
+    "sql_recursive"
 ).split()
 
 
@@ -52,6 +53,7 @@ def main() -> None:
             }
         )
     )
+    unstage(spark)
     spark.stop()
 
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and the bench; clusters bring their own."""
-    return (
+def local_session(cores: str = "8", shuffle_partitions: int = 8, shared: str | None = None) -> SparkSession:
+    """A local session for tests and the bench; clusters bring their own. ``shared`` is the
+    folder for staged tables; without it the one the machine's defaults name is used."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("lineloom")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -20,19 +22,24 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LINELOOM_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
     )
+    if shared is not None:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of this application in that of ``spark.checkpoint.dir``, or of the context's
+    checkpoints. A session of one machine that has neither is given one there; a
+    cluster must name a folder that all its machines share."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="lineloom-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lineloom-"))
+        folder = context.getCheckpointDir()
+    return f"{folder.rstrip('/')}/{context.applicationId}"
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -40,7 +47,7 @@ def staged(df: DataFrame) -> DataFrame:
 
     Used where several later branches read one costly result: they then scan a
     columnar table, with only their columns, instead of repeating the work, and a
-    lost executor costs one file read.
+    lost executor costs one file read. ``unstage`` deletes the tables.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
@@ -48,6 +55,12 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(spark: SparkSession) -> None:
+    """Delete what this application has staged; frames that read it cannot be used any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows out to all cores where the input comes in fewer splits than there are cores.
 

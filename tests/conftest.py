@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from lineloom.session import local_session  # noqa: E402
+from lineloom.session import local_session, unstage  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,6 +13,7 @@ def spark():
     session = local_session("4", shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    unstage(session)
     session.stop()
 
 
