@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from lineloom.functions import text, vectors
 from lineloom.operators.quality import is_clean, put_error
 from lineloom.plans.scan import BLOCK, with_running
 from lineloom.schemas import MAX_TOKENS
+from lineloom.session import staged
 
 # What a failed provider call waits for before the next, in units of ``wait`` seconds.
 PAUSES = (1, 2)
@@ -37,6 +39,38 @@ def running_tokens(df: DataFrame, position: str, tokens: str, block: int = BLOCK
     return before.withColumn("running_total", F.col("_before") + F.col(tokens)).drop("_before")
 
 
+def _exits(sizes: np.ndarray, limit: int, carry_reset: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What a block of rows does to a batch that is open before it, for every row that may be
+    the first to open another: the tokens up to it, the batches opened from it on, and the
+    tokens of the last. Only rows up to the first that opens one after an empty batch count."""
+    upto = np.cumsum(sizes)
+    n = len(sizes)
+    before = upto - sizes
+    rows = np.arange(n)
+    if carry_reset:
+        after = np.searchsorted(upto, limit + upto, "right")
+    else:
+        after = np.maximum(np.searchsorted(upto, limit + before, "right"), rows + 1)
+        alone = (after < n) & (before[np.minimum(after, n - 1)] == before)
+        after = np.where(alone, after + 1, after)  # a row that is too large by itself stays in an empty batch
+    opened, left = np.ones(n, np.int64), upto[-1] - (upto if carry_reset else before)
+    for i in range(n - 1, -1, -1):
+        if after[i] < n:
+            opened[i] += opened[after[i]]
+            left[i] = left[after[i]]
+    first = int(np.searchsorted(upto, limit, "right"))
+    return upto[: first + 2], opened[: first + 2], left[: first + 2]
+
+
+def _entered(total: int, sizes: np.ndarray, upto: np.ndarray, limit: int, carry_reset: bool) -> int:
+    """The first row that opens a batch if ``total`` tokens are in the batch before the block; as
+    many as ``upto`` has if none does."""
+    k = int(np.searchsorted(upto, limit - total, "right"))
+    if not carry_reset and k < len(upto) and total + upto[k] - sizes[k] == 0:
+        k += 1
+    return k
+
+
 def pack_batches(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,33 +79,71 @@ def pack_batches(
     *,
     limit: int = MAX_TOKENS,
     carry_reset: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Greedy packing of the rows of each key, in the order of ``position``: a row that
     would exceed ``limit`` opens the next batch. Adds ``batch_no`` to keys and position.
-
-    Where a batch begins depends on all rows of its key before it, so a key is one walk.
-    Only numbers are sorted and streamed for it; a task holds one batch of rows of a key
-    however long. With ``carry_reset`` the row that opens a batch is not counted in it.
+    With ``carry_reset`` the row that opens a batch is not counted in it.
+
+    Where a batch begins depends on all rows of its key before it, yet a key is not one task:
+    rows are dealt to blocks by key and position. What was packed before a block only decides
+    which row is the first to open a batch in it; from there on the block is known. So each
+    block tells, for every row that may be the first, how many batches follow and what is left
+    in the last. A walk over these short tables, one row a block, gives every block the batch
+    it begins in, and then all blocks number their rows at once.
     """
     names = [*keys, position]
     rows = df.select(*names, F.coalesce(tokens, F.lit(0)).cast("bigint").alias("_tokens"))
+    spread = rows.repartitionByRange(partitions, *names) if partitions else rows.repartitionByRange(*names)
+    # written, so that the blocks are the same in both passes
+    rows = staged(spread.withColumn("_block", F.spark_partition_id()))
+    owner = F.to_json(F.struct(*keys)) if keys else F.lit("")
+    rows = rows.withColumn("_owner", owner)
+
+    def told(frame: pd.DataFrame) -> pd.DataFrame:
+        sizes = frame.sort_values([position])["_tokens"].to_numpy()
+        upto, opened, left = _exits(sizes, limit, carry_reset)
+        head = {"_owner": [frame["_owner"].iloc[0]], "_block": [frame["_block"].iloc[0]], "all": [int(sizes.sum())]}
+        return pd.DataFrame(head | {"sizes": [sizes[: len(upto)]], "upto": [upto], "opened": [opened], "left": [left]})
+
+    known = "_owner string, _block int, all long, sizes array<long>, upto array<long>, opened array<long>, left array<long>"
+    blocks = rows.groupBy("_owner", "_block").applyInPandas(told, known)
+
+    def enter(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, batch, total = None, 1, 0
+        for frame in frames:
+            begins = []
+            for block in frame.itertuples(index=False):
+                if block[0] != at:
+                    at, batch, total = block[0], 1, 0
+                begins.append((batch, total))
+                k = _entered(total, block.sizes, block.upto, limit, carry_reset)
+                if k < len(block.upto):
+                    batch, total = batch + int(block.opened[k]), int(block.left[k])
+                else:
+                    total += block.all
+            batches, totals = zip(*begins) if begins else ((), ())
+            yield frame[["_owner", "_block"]].assign(_batch=list(batches), _total=list(totals))
+
+    begins = blocks.repartition("_owner").sortWithinPartitions("_owner", "_block")
+    begins = begins.mapInPandas(enter, "_owner string, _block int, _batch long, _total long")
     schema = T.StructType([*(rows.schema[n] for n in names), T.StructField("batch_no", T.LongType())])
 
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, batch, total = None, 1, 0
         for frame in frames:
             numbers = []
-            owners = zip(*(frame[k].astype(object).where(frame[k].notna(), None) for k in keys))
-            for owner, size in zip(owners, frame["_tokens"]):
-                if owner != at:
-                    at, batch, total = owner, 1, 0
+            for place, begin, size in zip(zip(frame["_owner"], frame["_block"]), zip(frame["_batch"], frame["_total"]), frame["_tokens"]):
+                if place != at:
+                    at, (batch, total) = place, begin
                 total += size
                 if total > limit and (carry_reset or total > size):
                     batch, total = batch + 1, 0 if carry_reset else size
                 numbers.append(batch)
             yield frame[names].assign(batch_no=numbers)
 
-    return rows.repartition(*keys).sortWithinPartitions(*names).mapInPandas(walk, schema)
+    walked = rows.join(begins, ["_owner", "_block"]).repartition("_owner", "_block").sortWithinPartitions("_owner", "_block", position)
+    return walked.mapInPandas(number, schema)
 
 
 def hash_buckets(df: DataFrame, id_column: str, source: str, dim: int) -> DataFrame:

@@ -29,6 +29,18 @@ def test_packing_matches_the_walk(spark, reset):
     assert rows(got) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("reset", [False, True])
+def test_one_key_is_packed_by_many_tasks(spark, reset):
+    draw = random.Random(12)
+    for choices in ([0, 1, 3, 10, 30, 50], [0, 0, 0, 21], [1], [25, 0]):
+        sizes = [draw.choice(choices) for _ in range(400)]
+        df = spark.createDataFrame([("a", i, t) for i, t in enumerate(sizes)], "key string, id bigint, tokens int")
+        got = embed.pack_batches(df, ["key"], "id", "tokens", limit=20, carry_reset=reset, partitions=16)
+        assert [r.batch_no for r in got.orderBy("id").collect()] == packed_by_hand(sizes, 20, reset)
+    spread = got.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert spread > 1 or got.rdd.getNumPartitions() == 1
+
+
 def test_running_total_goes_over_all_blocks(spark):
     df = spark.range(200).select("id", (F.col("id") % 5).alias("tokens")).repartition(3)
     got = embed.running_tokens(df, "id", "tokens", block=16).orderBy("id").collect()
