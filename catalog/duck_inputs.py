@@ -25,24 +25,27 @@ jraw AS (
   UNION ALL SELECT k, 1, j, 3, 0, '    }' FROM jm2
   UNION ALL SELECT k, 1, j, 4, 0, '' FROM jm2 WHERE (k + j) % 3 = 0
   UNION ALL SELECT c_custkey, 2, 0, 0, t.i, CASE t.i WHEN 0 THEN '    static class In {' WHEN 1 THEN '        void x() {'
-      WHEN 2 THEN '            run();' WHEN 3 THEN '        }' ELSE '    }' END
-    FROM customer, (SELECT unnest(range(0, 5)) AS i) t WHERE c_custkey % 4 = 0
-  UNION ALL SELECT c_custkey, 3, 0, 0, 0, '}' FROM customer),
+      WHEN 2 THEN '            run();' WHEN 3 THEN '            send(first(1),' WHEN 4 THEN '                second("(", 2));'
+      WHEN 5 THEN '            l0(l1(l2(l3(l4(l5(l6(l7(l8(l9(1))))))))));' WHEN 6 THEN '        }' ELSE '    }' END
+    FROM customer, (SELECT unnest(range(0, 8)) AS i) t WHERE c_custkey % 4 = 0
+  UNION ALL SELECT c_custkey, 3, 0, 0, 0, '}' FROM customer
+  UNION ALL SELECT c_custkey, 4, 0, 0, t.i, CASE t.i WHEN 0 THEN '@interface Mark {' WHEN 1 THEN '    String value() default "";'
+      WHEN 2 THEN '    int size();' ELSE '}' END FROM customer, (SELECT unnest(range(0, 4)) AS i) t WHERE c_custkey % 4 = 1),
 jlines AS (SELECT 'src/C' || k || '.java' AS file_path,
     row_number() OVER (PARTITION BY k ORDER BY sec, j, sub, i) AS line_no, * FROM jraw),
 jspans AS (
-  SELECT file_path, k, 'class' AS type, 'C' || k AS name, min(line_no) FILTER (sec = 0 AND sub = 3) AS span_start, max(line_no) AS span_end
+  SELECT file_path, k, 'class' AS type, 'C' || k AS name, min(line_no) FILTER (sec = 0 AND sub = 3) AS span_start, max(line_no) FILTER (sec < 4) AS span_end
     FROM jlines GROUP BY file_path, k
   UNION ALL SELECT file_path, k, 'function', 'm' || j, min(line_no) FILTER (sub = 1), max(line_no) FILTER (sub = 3)
     FROM jlines WHERE sec = 1 GROUP BY file_path, k, j
   UNION ALL SELECT file_path, k, 'class', 'In', min(line_no), max(line_no) FROM jlines WHERE sec = 2 GROUP BY file_path, k
-  UNION ALL SELECT file_path, k, 'function', 'x', min(line_no) FILTER (i = 1), max(line_no) FILTER (i = 3)
+  UNION ALL SELECT file_path, k, 'function', 'x', min(line_no) FILTER (i = 1), max(line_no) FILTER (i = 6)
     FROM jlines WHERE sec = 2 GROUP BY file_path, k),
 jctx AS (SELECT file_path, line_no, source, sec, sub, i, j, k,
-    CASE WHEN sec = 0 AND sub < 2 THEN NULL
+    CASE WHEN sec = 0 AND sub < 2 OR sec = 4 THEN NULL
          WHEN sec = 2 THEN 'app.g' || (k % 25) || '.C' || k || '.In'
          ELSE 'app.g' || (k % 25) || '.C' || k END AS parent_type,
-    CASE WHEN sec = 1 AND sub < 4 THEN 'm' || j WHEN sec = 2 AND i BETWEEN 1 AND 3 THEN 'x' END AS parent_method
+    CASE WHEN sec = 1 AND sub < 4 THEN 'm' || j WHEN sec = 2 AND i BETWEEN 1 AND 6 THEN 'x' END AS parent_method
   FROM jlines),
 lines AS (SELECT parent_type, parent_method, line_no AS file_line_no, file_path, source FROM jctx)
 """

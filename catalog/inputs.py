@@ -25,7 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def java_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A Java file per customer: a class, methods with comments, some long, an inner class."""
+    """A Java file per customer: a class, methods with comments, some long, an inner class
+    with calls over two lines and ten levels, an annotation type."""
     head = """array(
         concat('package app.g', k % 25, ';'), '', concat('/** Customer ', k, '. */'),
         concat('public class C', k, ' {'))"""
@@ -43,7 +44,11 @@ def java_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         transform(sequence(1L, {size}), i -> {line}),
         array('    }}'), if((k + j) % 3 = 0, array(''), array()))"""
     inner = """if(k % 4 = 0, array('    static class In {', '        void x() {',
-        '            run();', '        }', '    }'), array())"""
+        '            run();', '            send(first(1),',
+        '                second("(", 2));', '            l0(l1(l2(l3(l4(l5(l6(l7(l8(l9(1))))))))));',
+        '        }', '    }'), array())"""
+    marks = """if(k % 4 = 1, array('@interface Mark {', '    String value() default "";',
+        '    int size();', '}'), array())"""
     return (
         table(spark, sf_dir, "customer")
         .select(
@@ -55,7 +60,7 @@ def java_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("src/C"), "k", F.lit(".java")).alias("file_path"),
             F.expr(
                 f"""array_join(concat({head}, flatten(transform(sequence(0L, nm - 1), j -> {method})),
-                {inner}, array('}}')), '\n')"""
+                {inner}, array('}}'), {marks}), '\n')"""
             ).alias("content"),
         )
     )
@@ -63,13 +68,16 @@ def java_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def service_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Java file per supplier: calls in a field, a static block and a constructor, an
-    overload, and calls into the next supplier's class."""
+    overload, calls into the next supplier's class, and locals outside methods."""
     lines = """array(concat('package svc.p', k % 10, ';'), concat('public class S', k, ' {'),
         concat('    private int start = seed(', k, ');'), '    static { boot(); }', concat('    S', k, '() {'),
         concat('        prepare(a(b(c(d(', k, ')))));'), '    }', '    void open(int a) {',
         concat('        new S', k + 1, '().serve(a);'), '    }', '    void open(long b) {', '        close();', '    }',
         '    void serve(int a) {', '        open(a);', concat('        only', k + 1, '();'), '    }',
-        concat('    void only', k, '() {'), '    }', '    void close() {', '    }', '}')"""
+        concat('    void only', k, '() {'), '    }', '    void close() {', '    }',
+        concat('    S', k, '(int a) {'), '        int kept = a;', '        if (a > 0) { long more = a; }', '    }',
+        '    static {', '        String once = "}";', '    }', '    int field = 1;',
+        '    Runnable later = () -> { int inner = 1; };', '}')"""
     return (
         table(spark, sf_dir, "supplier")
         .select(F.col("s_suppkey").alias("k"))

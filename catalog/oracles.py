@@ -157,7 +157,11 @@ CALLS = """jcalls AS (
   SELECT file_path, k, j, 'm' || j AS method, line_no, replace(trim(source), ';', '') AS code,
     regexp_extract(source, '([A-Za-z0-9]+)\\(', 1) AS name FROM jlines
     WHERE sec = 1 AND sub = 2 AND regexp_matches(source, '^ *(use|m[0-9])')
-  UNION ALL SELECT file_path, k, 0, 'x', line_no, 'run()', 'run' FROM jlines WHERE sec = 2 AND i = 2)"""
+  UNION ALL SELECT file_path, k, 0, 'x', line_no, code, regexp_extract(code, '([a-z0-9]+)', 1) FROM jlines,
+    (VALUES (2, 'run()'), (3, 'send(first(1),' || chr(10) || '                second("(", 2))'), (3, 'first(1)'), (4, 'second("(", 2)')) AS t(place, code)
+    WHERE sec = 2 AND i = place
+  UNION ALL SELECT file_path, k, 0, 'x', line_no, string_agg('l' || v, '(' ORDER BY v) || '(1' || repeat(')', 10 - u), 'l' || u FROM jlines,
+    range(10) AS a(u), range(10) AS b(v) WHERE sec = 2 AND i = 5 AND v >= u GROUP BY ALL)"""
 GRAPH = f"""{D.JAVA}, {CALLS},
 jlocals AS (SELECT file_path, 'm' || j AS method, line_no, 'v' || i AS name, trim(source) AS code FROM jlines
   WHERE sec = 1 AND sub = 2 AND regexp_matches(source, '^ *int v')),
@@ -340,6 +344,9 @@ def _queries() -> dict[str, str]:
     q["graph_outside_calls"] = """SELECT 'svc/S' || s_suppkey || '.java' AS file_path, name, replace(code, 'K', s_suppkey::VARCHAR) AS code, line_number::BIGINT AS line_number
       FROM supplier, (VALUES ('seed', 'seed(K)', 3), ('boot', 'boot()', 4), ('prepare', 'prepare(a(b(c(d(K)))))', 6), ('a', 'a(b(c(d(K))))', 6),
         ('b', 'b(c(d(K)))', 6), ('c', 'c(d(K))', 6), ('d', 'd(K)', 6)) AS t(name, code, line_number)"""
+    q["graph_outside_locals"] = """SELECT 'svc/S' || s_suppkey || '.java' AS file_path, name, code, line_number::BIGINT AS line_number, parent
+      FROM supplier, (VALUES ('kept', 'int kept = a;', 23, '<init>'), ('more', 'if (a > 0) { long more = a; }', 24, '<init>'),
+        ('once', 'String once = "}";', 27, '<init>'), ('inner', 'Runnable later = () -> { int inner = 1; };', 30, '<init>')) AS t(name, code, line_number, parent)"""
     q["graph_cross_calls"] = f"WITH {SERVICES} SELECT * FROM spairs"
     q["ansi_strip"] = "SELECT page_id, url || ' ' || html AS reply FROM pages"
 
@@ -351,6 +358,10 @@ def _queries() -> dict[str, str]:
     for name, statement in SQL_TEXTS.items():
         # read more than once by some: worked out once
         q[name] = f"WITH {D.JAVA.replace('lines AS (SELECT parent_type', 'lines AS MATERIALIZED (SELECT parent_type')} SELECT * FROM ({statement})"
+    # apart from the query's text: the method of the next line by a window
+    q["sql_join_self"] = f"""WITH {D.JAVA} SELECT file_path, file_line_no, here, after FROM (
+      SELECT file_path, file_line_no, parent_method AS here, lead(parent_method) OVER (PARTITION BY file_path ORDER BY file_line_no) AS after FROM lines)
+      WHERE here <> after"""
     q["sql_listagg"] = f"""WITH {D.JAVA} SELECT parent_type, string_agg(parent_method, ',' ORDER BY first_line) AS methods
       FROM (SELECT parent_type, parent_method, min(file_line_no) AS first_line FROM lines WHERE parent_method IS NOT NULL
             GROUP BY parent_type, parent_method) GROUP BY parent_type"""

@@ -561,6 +561,14 @@ def graph_outside_calls(spark, sf):
     return elements.where("kind = 'call'").join(starts, "parent_id", "left_semi").select("file_path", "name", "code", "line_number")
 
 
+@registered
+def graph_outside_locals(spark, sf):
+    """Locals of constructors, static blocks and lambdas in fields, under the ``<init>`` of their type."""
+    elements = inputs.service_elements(spark, sf)
+    names = elements.where("kind = 'method'").select(F.col("node_id").alias("parent_id"), F.col("name").alias("parent"))
+    return elements.where("kind = 'local'").join(names, "parent_id").select("file_path", "name", "code", "line_number", "parent")
+
+
 @registered
 def graph_cross_calls(spark, sf):
     """Each method, and the methods its calls may go to, in whatever file."""
@@ -677,14 +685,9 @@ def sql_listagg(spark, sf):
 @registered
 def sql_recursive(spark, sf):
     """From each method of an inner class line by line to the start of its file."""
-    statement = """
-        WITH RECURSIVE up(file_path, file_line_no, step) AS (
-            SELECT file_path, file_line_no, 0 FROM lines WHERE source LIKE '%void x()%'
-            UNION ALL
-            SELECT l.file_path, l.file_line_no, u.step + 1 FROM up u JOIN lines l
-              ON l.file_path = u.file_path AND l.file_line_no = u.file_line_no - 1)
-        SELECT file_path, file_line_no, step FROM up"""
-    # as many steps and rows as there are: the default limits are a hundred and a million
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", "-1")
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    return query.sql_query(spark, statement, {"lines": inputs.line_table(spark, sf)})
+    lines = inputs.line_table(spark, sf)
+    seeds = lines.where("source LIKE '%void x()%'").select("file_path", F.struct("file_path", "file_line_no").alias("node"))
+    before = F.struct("file_path", (F.col("file_line_no") - 1).alias("file_line_no"))
+    links = lines.where("file_line_no > 1").join(seeds.select("file_path").distinct(), "file_path", "left_semi")
+    found = graph.chains(links.select(F.struct("file_path", "file_line_no").alias("node"), before.alias("next")), seeds)
+    return found.select("node.file_path", "node.file_line_no", "step")

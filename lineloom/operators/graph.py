@@ -1,6 +1,6 @@
 """The code graph as node and edge tables, and questions over it.
 
-Nodes: ``file``, ``typeDecl``, ``method``, ``call``, ``local``. Calls outside methods, in
+Nodes: ``file``, ``typeDecl``, ``method``, ``call``, ``local``. Calls and locals outside methods, in
 constructors, field initialisers and static blocks, belong to a method ``<init>`` of their
 type. Edges: ``AST`` from an element to the elements directly inside it; ``CALL`` from a call
 to a symbol; ``TARGET`` from a symbol to every method it may stand for. A symbol is a name in
@@ -15,26 +15,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineloom.functions import text
+from lineloom.operators.spans import match_closes
 from lineloom.plans.ranges import join_covering
+from lineloom.plans.scan import block_for, with_running
 from lineloom.session import staged
 
 # Words that look like calls and are not.
 NOT_CALLS = ("if", "for", "while", "switch", "catch", "synchronized", "return", "try", "super", "this", "new", "assert")
 
-_CALL = r"([A-Za-z_$][\w$]*)\s*\("
-# Levels of parentheses inside a call's own whose text is taken whole.
-NESTING = 8
-_INNER = r"[^()]*+"
-for _ in range(NESTING):
-    _INNER = rf"[^()]*+(?:\({_INNER}\)[^()]*+)*+"
-# Looking ahead lets calls inside calls be found as well.
-_CALL_CODE = rf"(?<![\w$@])(?=([A-Za-z_$][\w$]*\s*\({_INNER}\)?))"
+# Text up to each parenthesis, and the name of a call that one opens.
+_PAREN = r"[^()]*[()]"
+_OPENS = r"(?<![\w$@])([A-Za-z_$][\w$]*)\s*\($"
 # What stands before a call: ``new``, an annotation, or a type as its receiver.
 _NEW = r"\bnew\s+(?:[\w$]+\s*\.\s*)*$"
 _ANNOTATION = r"@[\w$.]*$"
 _RECEIVER = r"\b([A-Z][\w$]*)\s*(?:\([^()]*\)\s*)?\.\s*$"
+_STATEMENT = r"[^{};]*[{};]|[^{};]+"
 _LOCAL = (
-    r"(?:^|[;{}])\s*(?:final\s+)?(?!(?:return|throw|new|else|case|package|import|goto|assert|yield)\b)"
+    r"^\s*(?:final\s+)?(?!(?:return|throw|new|else|case|package|import|goto|assert|yield)\b)"
     r"[A-Za-z_$][\w.$]*(?:<[^=;()]*>)?(?:\[\])*\s+([A-Za-z_$][\w$]*)(?=\s*(?:=[^=]|;))"
 )
 
@@ -43,13 +41,112 @@ def node_id(kind: str, *parts: str) -> Column:
     return F.concat_ws("|", F.lit(kind), *[F.col(p).cast("string") for p in parts])
 
 
-def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
+def _calls(lines: DataFrame, block: int) -> DataFrame:
+    """Every name before a parenthesis, with the text from it to the matching parenthesis:
+    ``file_path, line_no, item`` and ``kind, name, code, receiver, fresh, level``.
+
+    Parentheses are counted along the file's blanked code, through all lines and at any
+    depth. A parenthesis that is never closed ends with its line.
+    """
+    pieces = F.regexp_extract_all("code", F.lit(_PAREN), F.lit(0))
+    ends = F.aggregate(
+        "pieces",
+        F.array().cast("array<int>"),
+        lambda acc, p: F.array_append(acc, F.coalesce(F.get(acc, F.size(acc) - 1), F.lit(0)) + F.length(p)),
+    )
+
+    def event(p: Column, i: Column) -> Column:
+        called = F.regexp_extract(p, _OPENS, 0)
+        # what stands before the name, from two parentheses before it on
+        near = [F.coalesce(F.get("pieces", i - k), F.lit("")) for k in (2, 1)]
+        before = F.concat(*near, F.substr(p, F.lit(1), F.length(p) - F.length(called)))
+        end, name = F.get("ends", i), F.regexp_extract(p, _OPENS, 1)
+        is_call = (called != "") & ~name.isin(*NOT_CALLS) & ~before.rlike(_ANNOTATION)
+        call = F.struct(
+            name.alias("name"),
+            (end - F.length(called) + 1).alias("begin"),
+            F.regexp_extract(before, _RECEIVER, 1).alias("receiver"),
+            before.rlike(_NEW).alias("fresh"),
+        )
+        return F.struct(p.endswith("(").alias("opens"), end.alias("end"), F.when(is_call, call).alias("call"))
+
+    events = (
+        lines.where(F.col("code").contains("(") | F.col("code").contains(")"))
+        .select("file_path", "n_lines", "line_no", pieces.alias("pieces"))
+        .withColumn("ends", ends)
+        .select("file_path", "n_lines", "line_no", F.posexplode(F.transform("pieces", event)).alias("place", "e"))
+        .select("file_path", "n_lines", "line_no", "place", "e.*")
+    )
+    step = F.when(F.col("opens"), 1).otherwise(-1)
+    events = with_running(
+        events, ["file_path"], ["line_no", "place"], sums={"depth": step}, block=block, spans_blocks=F.col("n_lines") >= block
+    )
+    opened = F.when(F.col("call").isNotNull(), F.struct("line_no", "place", "call.*"))
+    closed = F.when(~F.col("opens"), F.struct(F.col("line_no").alias("line"), "end"))
+    events = events.select(
+        "file_path",
+        "n_lines",
+        F.when(F.col("opens"), F.col("depth")).otherwise(F.col("depth") - 1).alias("level"),
+        "line_no",
+        "place",
+        opened.alias("opened"),
+        closed.alias("closed_at"),
+    ).where(F.col("opened").isNotNull() | F.col("closed_at").isNotNull())
+    calls = match_closes(events, block).withColumn("last_line", F.coalesce("close.line", "line_no"))
+
+    def part(at: Column) -> Column:
+        first = F.when(at == F.col("line_no"), F.col("begin")).otherwise(F.lit(1))
+        last = F.when(at == F.col("last_line"), F.col("close.end"))
+        return F.substr(F.col("source"), first, F.coalesce(last, F.length("source")) - first + 1)
+
+    texts = lines.select("file_path", F.col("line_no").alias("at"), "source")
+    own = ["file_path", "line_no", "place", "name", "receiver", "fresh"]
+    short = calls.where(F.col("last_line") == F.col("line_no")).withColumn("at", F.col("line_no"))
+    short = short.join(texts, ["file_path", "at"]).select(*own, part(F.col("at")).alias("code"))
+    # A call over several lines is one text, as long as the call.
+    over = calls.where(F.col("last_line") > F.col("line_no")).withColumn("at", F.explode(F.sequence("line_no", "last_line")))
+    over = over.join(texts, ["file_path", "at"]).groupBy(*own).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", part(F.col("at")).alias("t")))), lambda p: p["t"]), "\n").alias("code")
+    )
+    return short.unionByName(over).select(
+        "file_path",
+        "line_no",
+        F.col("place").alias("item"),
+        F.struct(F.lit("call").alias("kind"), "name", "code", "receiver", "fresh", F.lit(0).cast("bigint").alias("level")).alias("e"),
+    )
+
+
+def _locals(lines: DataFrame, block: int) -> DataFrame:
+    """What looks like the declaration of a variable, as rows like those of ``_calls``; ``level``
+    is the depth of braces around it."""
+    pieces = F.regexp_extract_all("code", F.lit(_STATEMENT), F.lit(0))
+    step = F.when(F.col("piece").endswith("{"), 1).when(F.col("piece").endswith("}"), -1).otherwise(0)
+    found = (
+        lines.select("file_path", "n_lines", "line_no", "source", F.posexplode(pieces).alias("item", "piece"))
+        .withColumns({"name": F.regexp_extract("piece", _LOCAL, 1), "step": step})
+        .where((F.col("name") != "") | (F.col("step") != 0))
+        .select("file_path", "n_lines", "line_no", "item", "name", "step", F.when(F.col("name") != "", text.strip(F.col("source"))).alias("code"))
+    )
+    found = with_running(
+        found, ["file_path"], ["line_no", "item"], sums={"level": F.col("step")}, block=block, spans_blocks=F.col("n_lines") >= block
+    )
+    return found.where(F.col("name") != "").select(
+        "file_path",
+        "line_no",
+        "item",
+        F.struct(F.lit("local").alias("kind"), "name", "code", F.lit("").alias("receiver"), F.lit(False).alias("fresh"), F.col("level").cast("bigint").alias("level")).alias("e"),
+    )
+
+
+def build(lines: DataFrame, spans: DataFrame, block: int | None = None) -> DataFrame:
     """Elements of the code with the element around each: one row per node.
 
     ``node_id, kind, name, code, file_path, line_number, line_end, parent_id``, and of
-    calls the ``receiver`` type, of all the ``package``; locals are those inside methods.
-    ``lines`` carries ``code``; ``spans`` are the declarations of the same lines.
+    calls the ``receiver`` type, of all the ``package``; locals are those inside methods,
+    constructors and initialisers. ``lines`` carries ``code``; ``spans`` are the
+    declarations of the same lines.
     """
+    block = block_for(lines, block=block)
     declared = spans.where(F.col("kind") != "package").select(
         "file_path",
         F.when(F.col("kind") == "method", "method").otherwise("typeDecl").alias("kind"),
@@ -58,6 +155,7 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
         "place",
         "span_end",
         "end_place",
+        "level",
     ).withColumn(
         "node_id",
         F.concat_ws("|", "kind", "file_path", F.col("span_start").cast("string"), F.col("place").cast("string"), "name"),
@@ -72,6 +170,7 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
             F.col("node_id").alias("id"),
             F.col("kind").alias("k"),
             F.col("name").alias("n"),
+            F.col("level").alias("l"),
         ).alias("a"),
     )
     file_id = node_id("file", "file_path")
@@ -92,52 +191,8 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
         F.coalesce("outer_id", file_id).alias("parent_id"),
     )
 
-    # Calls and locals of a line, each with the innermost declaration around the line.
-    code = F.col("code")
-    # Literals are blanked place by place in ``code``: the text of a call is read at
-    # its place in ``source``.
-    placed_calls = F.aggregate(
-        F.regexp_extract_all(code, F.lit(_CALL_CODE), F.lit(1)),
-        F.array().cast("array<struct<at:int,code:string>>"),
-        lambda acc, c: F.array_append(
-            acc,
-            F.struct(
-                F.call_function(
-                    "locate", c, code, F.coalesce(F.get(acc, F.size(acc) - 1)["at"], F.lit(0)) + 1
-                ).alias("at"),
-                c.alias("code"),
-            ),
-        ),
-    )
-    def before(c: Column) -> Column:
-        return F.substr(code, F.lit(1), c["at"] - 1)
-
-    calls = F.transform(
-        F.filter(
-            placed_calls,
-            lambda c: ~F.regexp_extract(c["code"], _CALL, 1).isin(*NOT_CALLS) & ~before(c).rlike(_ANNOTATION),
-        ),
-        lambda c: F.struct(
-            F.lit("call").alias("kind"),
-            F.regexp_extract(c["code"], _CALL, 1).alias("name"),
-            F.substr(F.col("source"), c["at"], F.length(c["code"])).alias("code"),
-            F.regexp_extract(before(c), _RECEIVER, 1).alias("receiver"),
-            before(c).rlike(_NEW).alias("fresh"),
-        ),
-    )
-    locals_ = F.transform(
-        F.regexp_extract_all(code, F.lit(_LOCAL), F.lit(1)),
-        lambda n: F.struct(
-            F.lit("local").alias("kind"),
-            n.alias("name"),
-            text.strip(F.col("source")).alias("code"),
-            F.lit("").alias("receiver"),
-            F.lit(False).alias("fresh"),
-        ),
-    )
-    found = lines.select(
-        "file_path", "line_no", F.posexplode(F.concat(calls, locals_)).alias("item", "e")
-    )
+    # Calls and locals, each with the innermost declaration around their line.
+    found = _calls(lines, block).unionByName(_locals(lines, block))
     placed = join_covering(found, around, ["file_path"], "line_no", "a_start", "a_end")
     outside = F.col("a.k") != "method"
     call = F.col("e.kind") == "call"
@@ -149,7 +204,8 @@ def build(lines: DataFrame, spans: DataFrame) -> DataFrame:
     inner = (
         placed.groupBy("file_path", "_at", "line_no", "item", "e")
         .agg(F.max(F.struct("a.*", "a_end")).alias("a"))
-        .where((call & ~header) | (~call & ~outside))
+        # In a type's own body a declaration is a field; deeper, it is a constructor's or initialiser's.
+        .where((call & ~header) | (~call & (~outside | (F.col("e.level") > F.col("a.l") + 1))))
     )
     elements = inner.select(
         F.concat_ws("|", F.col("e.kind"), "file_path", F.col("line_no").cast("string"), F.col("item").cast("string"), F.col("e.name")).alias("node_id"),
@@ -335,3 +391,26 @@ def reach(pairs: DataFrame, seeds: DataFrame, max_depth: int | None = None, per_
             break
         seen = seen.unionByName(frontier)
     return seen
+
+
+def chains(links: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Every node on the way from each seed: ``seed, node, step``.
+
+    ``links`` holds ``node, next``, at most one row for a node; ``seeds`` holds ``node``. Steps are
+    doubled: a round carries all found so far as far ahead as they reach, so rounds grow
+    with the logarithm of the longest way. On a circle it stops after as many steps as there
+    are links.
+    """
+    jump = staged(links.select("node", "next"))
+    most = jump.count()
+    found = staged(seeds.select(F.col("node").alias("seed"), "node").distinct().withColumn("step", F.lit(0).cast("bigint")))
+    reached = 1
+    while reached <= most:
+        ahead = staged(found.join(jump, "node").select("seed", F.col("next").alias("node"), (F.col("step") + reached).alias("step")))
+        if ahead.isEmpty():
+            break
+        found = found.unionByName(ahead)
+        further = jump.select(F.col("node").alias("next"), F.col("next").alias("beyond"))
+        jump = staged(jump.join(further, "next").select("node", F.col("beyond").alias("next")))
+        reached *= 2
+    return found

@@ -24,6 +24,8 @@ from lineloom.schemas import MAX_CHUNK_LINES
 _ANNOTATION_ARGUMENTS = r"@[\w.]+\s*\([^()]*\)"
 _PIECES = r"[^{};]*[{};]|[^{};]+"
 _TYPE = r"(?:^|[^\w$.@])(class|interface|enum)\s+([A-Za-z_$][\w$]*)"
+# An annotation type; what its body declares looks like methods and is none.
+_MARK_TYPE = r"(?:^|[^\w$.])@\s*interface\s+([A-Za-z_$][\w$]*)"
 _METHOD = (
     r"^\s*(?:@[\w.]+\s+)*+"
     r"(?:(?:public|protected|private|static|final|abstract|synchronized|native|default|strictfp)\s+)*+"
@@ -43,7 +45,8 @@ def _named(part: Column) -> Column:
 
     may_be_type = part.contains("class") | part.contains("interface") | part.contains("enum")
     return (
-        F.when(may_be_type & part.rlike(_TYPE), found(F.regexp_extract(part, _TYPE, 1), F.regexp_extract(part, _TYPE, 2)))
+        F.when(part.contains("@") & part.rlike(_MARK_TYPE), found(F.lit("annotation"), F.regexp_extract(part, _MARK_TYPE, 1)))
+        .when(may_be_type & part.rlike(_TYPE), found(F.regexp_extract(part, _TYPE, 1), F.regexp_extract(part, _TYPE, 2)))
         .when(part.contains("(") & part.rlike(_METHOD), found(F.lit("method"), F.regexp_extract(part, _METHOD, 1)))
         .when(part.contains("package") & part.rlike(_PACKAGE), found(F.lit("package"), F.regexp_extract(part, _PACKAGE, 1)))
     )
@@ -120,9 +123,10 @@ def _statement_pieces(lines: DataFrame, block: int) -> DataFrame:
 def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
     """Packages, types and methods of each file.
 
-    ``file_path, n_lines, kind, name, span_start, place, span_end, end_place,
-    doc_start, doc_end``; ``place`` tells apart what shares a line, the doc columns
-    are null without a documentation comment. A package spans the rest of its file.
+    ``file_path, n_lines, kind, name, span_start, place, span_end, end_place, level,
+    doc_start, doc_end``; ``place`` tells apart what shares a line, ``level`` is the depth of
+    braces around it, the doc columns are null without a documentation comment. A package
+    spans the rest of its file. Annotation types and what stands in their bodies declare nothing.
     """
     block = block_for(lines, block=block)
     pieces = _statement_pieces(lines, block)
@@ -139,16 +143,25 @@ def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
         F.when(end.isNotNull(), F.struct(end.alias("line"), end_place.alias("place"))).alias("ends"),
         F.when(is_doc, F.col("head.comment.at")).alias("doc_start"),
         F.when(is_doc, F.least(F.col("head.marked_line"), F.col("head.line_no") - 1)).alias("doc_end"),
+        F.col("head.depth").alias("level"),
+    )
+    level = F.when(mark == "}", F.col("depth") - 1).otherwise(F.col("head.depth"))
+    closed = F.when(mark == "}", F.struct(F.col("line_no").alias("line"), F.col("piece").alias("place")))
+    own = F.struct(level.alias("level"), F.when(opens, opened).alias("opened"), closed.alias("closed_at"), F.lit(None).cast("boolean").alias("in_marks"))
+    # Told to the level inside: from here on, its statements are elements of an annotation type, or no more.
+    scope = F.struct((level + 1).alias("level"), F.lit(None).alias("opened"), F.lit(None).alias("closed_at"), (mark == "{").alias("in_marks"))
+    bounds = opens & (kind == "annotation") | (mark == "}")
+    events = (
+        pieces.where(opens | (mark == "}"))
+        .select("file_path", "n_lines", "line_no", F.col("piece").alias("place"), F.inline(F.when(bounds, F.array(own, scope)).otherwise(F.array(own))))
+    )
+    inside = with_running(
+        events, ["file_path", "level"], ["line_no", "place"], lasts={"among_marks": F.col("in_marks")}, block=block, spans_blocks=F.col("n_lines") >= block
+    )
+    no_declaration = (F.col("opened.kind") == "annotation") | (F.col("opened.kind") == "method") & F.coalesce("among_marks", F.lit(False))
+    events = inside.withColumn("opened", F.when(~F.coalesce(no_declaration, F.lit(True)), F.col("opened"))).where(
+        F.col("opened").isNotNull() | F.col("closed_at").isNotNull()
     )
-    events = pieces.select(
-        "file_path",
-        "n_lines",
-        F.when(mark == "}", F.col("depth") - 1).otherwise(F.col("head.depth")).alias("level"),
-        "line_no",
-        F.col("piece").alias("place"),
-        F.when(opens, opened).alias("opened"),
-        F.when(mark == "}", F.struct(F.col("line_no").alias("line"), F.col("piece").alias("place"))).alias("closed_at"),
-    ).where(F.col("opened").isNotNull() | F.col("closed_at").isNotNull())
     end_of_file = F.struct(F.col("n_lines").alias("line"), F.lit(2**31 - 1).alias("place"))
     return (
         match_closes(events, block)
@@ -162,6 +175,7 @@ def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:
             "place",
             F.col("end.line").alias("span_end"),
             F.col("end.place").alias("end_place"),
+            "level",
             "doc_start",
             "doc_end",
         )

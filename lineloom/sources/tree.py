@@ -199,9 +199,12 @@ def read_tree(
     return decode(read_contents(list_files(spark, root, extensions, exclude_dirs), partitions), project_root)
 
 
-def read_traces(spark: SparkSession, path: str) -> DataFrame:
-    """Stack-trace files below ``path``, hidden ones too, one row per file: ``trace_id``
-    (path) and ``trace``. Files that cannot be read as UTF-8 are left out; ``decode`` tells them."""
+def read_traces(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(traces, quarantined)`` of the stack-trace files below ``path``, hidden ones too: one
+    row per file with ``trace_id`` (path) and ``trace``, and ``file_path, reason`` of the files
+    and directories that cannot be read as UTF-8."""
+    contents = read_contents(_listed(spark, path))
     text = F.col("data").cast("string")
-    read = read_contents(_listed(spark, path)).where(F.col("problem").isNull() & F.is_valid_utf8(text))
-    return read.select(F.col("file_path").alias("trace_id"), F.decode(F.col("data"), "UTF-8").alias("trace"))
+    reason = F.coalesce("problem", F.when(~F.is_valid_utf8(text), F.lit("not valid UTF-8")))
+    traces = contents.where(reason.isNull()).select(F.col("file_path").alias("trace_id"), F.decode(F.col("data"), "UTF-8").alias("trace"))
+    return traces, contents.where(reason.isNotNull()).select("file_path", reason.alias("reason"))

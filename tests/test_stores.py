@@ -1,5 +1,7 @@
 import json
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.errors import PySparkException
@@ -56,7 +58,7 @@ def test_missing_file_is_quarantined(spark, tmp_path):
 
 def test_trace_files(spark, tmp_path):
     write(str(tmp_path / "t" / "one.txt"), b"E\n at a.B.c(B.java:1)\n")
-    assert [r.trace for r in tree.read_traces(spark, str(tmp_path / "t")).collect()] == ["E\n at a.B.c(B.java:1)\n"]
+    assert [r.trace for r in tree.read_traces(spark, str(tmp_path / "t"))[0].collect()] == ["E\n at a.B.c(B.java:1)\n"]
 
 
 def test_traces_with_hidden_names_and_addresses(spark, tmp_path):
@@ -64,7 +66,8 @@ def test_traces_with_hidden_names_and_addresses(spark, tmp_path):
         write(str(tmp_path / "t" / "deep" / name), name.encode())
     write(str(tmp_path / "t" / "bad"), b"\xff")
     for root in (str(tmp_path / "t"), f"file://{tmp_path}/t"):
-        got = tree.read_traces(spark, root)
+        got, refused = tree.read_traces(spark, root)
+        assert [(r.file_path, r.reason) for r in refused.collect()] == [(f"{root}/bad", "not valid UTF-8")]
         assert sorted(r.trace for r in got.collect()) == [".y", "_x", "z.log"]
         assert {r.trace_id for r in got.collect()} == {f"{root}/deep/{n}" for n in ("_x", ".y", "z.log")}
 
@@ -179,6 +182,76 @@ def test_graph_elements(spark):
     assert [r.code for r in graph.ast_of(nodes, roots, "call").collect()] == ["c(i)"]
 
 
+WIDE = """package p;
+@interface Mark { String value() default "";
+    int size();
+}
+class A {
+    int field = one(1);
+    A(int a) {
+        int kept = a;
+        if (a > 0) { long more = a; }
+    }
+    static { String once = "}"; }
+    void wide() {
+        send(first(1),
+            // a comment (
+            second("(", 2));
+        l0(l1(l2(l3(l4(l5(l6(l7(l8(l9(1))))))))));
+        new B()
+            .with(3)
+            .done();
+        open(4,
+    }
+}
+interface I { int size(); }
+"""
+
+
+@pytest.mark.parametrize("block", [None, 3])
+def test_calls_of_any_depth_over_lines_and_locals_outside_methods(spark, block):
+    lines = numbered_lines(texts(spark, A__java=WIDE), "java")
+    spans = java.declarations(lines, block)
+    # the constructor is a method in none of the tables; elements of annotations are no methods
+    assert {(r.kind, r.name) for r in spans.collect()} == {
+        ("package", "p"), ("class", "A"), ("method", "wide"), ("interface", "I"), ("method", "size")}
+    found = graph.build(lines, spans, block).collect()
+    deep = {f"l{k}": "".join(f"l{i}(" for i in range(k, 10)) + "1" + ")" * (10 - k) for k in range(10)}
+    send = 'send(first(1),\n            // a comment (\n            second("(", 2))'
+    want = deep | {"one": "one(1)", "send": send, "first": "first(1)", "second": 'second("(", 2)', "B": "B()", "with": "with(3)", "done": "done()", "open": "open(4,"}
+    assert {r.name: r.code for r in found if r.kind == "call"} == want
+    names = {r.node_id: r.name for r in found}
+    assert {(r.name, names[r.parent_id]) for r in found if r.kind == "local"} == {("kept", "<init>"), ("more", "<init>"), ("once", "<init>")}
+    assert {names[r.parent_id] for r in found if r.kind == "call"} == {"<init>", "wide"}
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    links = spark.range(1, 10_001).select(F.col("id").alias("node"), (F.col("id") - 1).alias("next"))
+    rounds, stage = [], graph.staged
+    monkeypatch.setattr(graph, "staged", lambda df: rounds.append(1) or stage(df))
+    found = graph.chains(links, spark.createDataFrame([(10_000,), (3,), (0,)], "node bigint"))
+    assert len(rounds) <= 2 * 20
+    assert found.groupBy("seed").agg(F.count("*").alias("n"), F.max("step").alias("s"), F.min("node").alias("l")).orderBy("seed").collect() == [
+        (0, 1, 0, 0), (3, 4, 3, 0), (10_000, 10_001, 10_000, 0)]
+    circle = spark.createDataFrame([(1, 2), (2, 1)], "node bigint, next bigint")
+    assert graph.chains(circle, spark.createDataFrame([(1,)], "node bigint")).count() <= 4
+
+
+def test_a_session_without_a_preset_folder_stages(tmp_path):
+    script = (
+        "from lineloom.session import local_session, shared_folder, staged, unstage; import os, sys\n"
+        "spark = local_session('1', 1, *sys.argv[1:])\n"
+        "df = staged(spark.range(3)); folder = shared_folder(spark)\n"
+        "print('ROWS', df.count(), folder.startswith(sys.argv[1]) if sys.argv[1:] else True)\n"
+        "unstage(spark); print('LEFT', os.path.exists(folder.removeprefix('file:')))"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for shared in ([], [str(tmp_path)]):
+        env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": root}
+        said = subprocess.run([sys.executable, "-c", script, *shared], env=env, capture_output=True, text=True, timeout=120).stdout
+        assert "ROWS 3 True" in said and "LEFT False" in said
+
+
 def test_callers_callees_and_reach(spark):
     found = elements(spark)
     names = {r.node_id: r.name for r in graph.of_kind(found, "method").collect()}
