@@ -161,7 +161,7 @@ CALLS = """jcalls AS (
     (VALUES (2, 'run()'), (3, 'send(first(1),' || chr(10) || '                second("(", 2))'), (3, 'first(1)'), (4, 'second("(", 2)')) AS t(place, code)
     WHERE sec = 2 AND i = place
   UNION ALL SELECT file_path, k, 0, 'x', line_no, string_agg('l' || v, '(' ORDER BY v) || '(1' || repeat(')', 10 - u), 'l' || u FROM jlines,
-    range(10) AS a(u), range(10) AS b(v) WHERE sec = 2 AND i = 5 AND v >= u GROUP BY ALL)"""
+    range(10) AS a(u), range(10) AS b(v) WHERE sec = 2 AND i = 5 AND v >= u GROUP BY file_path, k, line_no, u)"""
 GRAPH = f"""{D.JAVA}, {CALLS},
 jlocals AS (SELECT file_path, 'm' || j AS method, line_no, 'v' || i AS name, trim(source) AS code FROM jlines
   WHERE sec = 1 AND sub = 2 AND regexp_matches(source, '^ *int v')),
