@@ -13,10 +13,12 @@ score 0; repeated rows give a row each. Other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,9 +119,7 @@ CLAUSES = (
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
     ("zlib", "this software is provided as is without any express or implied warranty in no event", "as is"),
     ("public-domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain", "public domain"),
-    ("all-rights-reserved", "all rights reserved", "all rights reserved"),
     ("proprietary", "proprietary and confidential", "proprietary"),
-    ("copyright", r"copyright (?:c )?\d{4}", "copyright"),
 )
 
 #: Kinds of signature, strongest first: wording around a license's name, its weight, and
@@ -172,22 +172,37 @@ def detections(plain: bytes) -> list[tuple[str, str, int, int, int]]:
         for rule in group:
             if all(k in plain for k in rule.keywords[1:]):
                 found += [(rule.priority, m.start(), m.end(), rule.label, rule.kind) for m in rule.pattern.finditer(plain)]
-    kept: list[tuple[int, int, int, str, str]] = []
-    reach: list[tuple[int, int]] = []  # taken intervals, by start
+    kept, starts, ends = [], [], []  # taken intervals that no other holds, by start and so by end
     for one in sorted(found, key=lambda d: (-d[0], d[1] - d[2], d[1], d[3])):
-        if not any(a <= one[1] and one[2] <= b for a, b in reach):
-            kept.append(one)
-            reach.append(one[1:3])
-    return [(label, kind, priority, plain.count(b" ", 0, a), plain.count(b" ", 0, b)) for priority, a, b, label, kind in sorted(kept, key=lambda d: d[1:4])]
+        first, last = one[1:3]
+        at = bisect_right(starts, first)
+        if at and last <= ends[at - 1]:
+            continue
+        kept.append(one)
+        # those the new interval holds
+        low, high = bisect_left(starts, first), bisect_right(ends, last)
+        starts[low : max(low, high)], ends[low : max(low, high)] = [first], [last]
+    numbers = _words_before(plain, [place for one in kept for place in one[1:3]])
+    spans = [(label, kind, priority, numbers[2 * i], numbers[2 * i + 1], a, b) for i, (priority, a, b, label, kind) in enumerate(kept)]
+    return [one[:5] for one in sorted(spans, key=lambda d: (d[5], d[6], d[0], d[1]))]
+
+
+def _words_before(plain: bytes, places: list[int]) -> list[int]:
+    """How many blanks stand before each place."""
+    if not places:
+        return []
+    blanks = np.flatnonzero(np.frombuffer(plain, np.uint8) == 32)
+    return np.searchsorted(blanks, places).tolist()
 
 
 def _base(plain: bytes) -> list[tuple[int, str]]:
-    out = []
+    places, labels = [], []
     for phrase, label in BASE:
         wanted, at = f" {phrase} ".encode(), -1
         while (at := plain.find(wanted, at + 1)) >= 0:
-            out.append((plain.count(b" ", 0, at), label))
-    return out
+            places.append(at)
+            labels.append(label)
+    return list(zip(_words_before(plain, places), labels))
 
 
 _DETECTION = pa.struct([("label", pa.string()), ("kind", pa.string()), ("priority", pa.int32()), ("first", pa.int64()), ("end", pa.int64())])

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -259,6 +260,25 @@ def test_license_rules(spark):
     assert [d.kind for d in got[1].detections if d.label == "apache-2"] == ["notice"]
 
 
+def test_license_detections_hold_no_other_and_take_time_in_proportion():
+    draw = random.Random(10)
+    parts = ["licensed under the mit license", "SPDX-License-Identifier: MIT", "the Apache License, Version 2.0", "cc by nc license", "gpl", "copyright 2020, all rights reserved", "words", "license"]
+    for _ in range(200):
+        plain = license_scan.texts.normal(" ".join(draw.choices(parts, k=draw.randrange(1, 12))).encode())
+        found = [(r.priority, m.start(), m.end(), r.label, r.kind) for r in license_scan.rules() for m in r.pattern.finditer(plain) if all(k in plain for k in r.keywords)]
+        want = []
+        for one in sorted(found, key=lambda d: (-d[0], d[1] - d[2], d[1], d[3])):
+            if not any(a <= one[1] and one[2] <= b for _, a, b, _, _ in want):
+                want.append(one)
+        got = license_scan.detections(plain)
+        assert sorted(got) == sorted((label, kind, p, plain.count(b" ", 0, a), plain.count(b" ", 0, b)) for p, a, b, label, kind in want)
+        assert not {"copyright", "all-rights-reserved"} & {d[0] for d in got}
+    long = license_scan.texts.normal(b"licensed under the mit license, or the gpl license " * 20_000)
+    begin = time.perf_counter()
+    assert len(license_scan.detections(long)) >= 20_000 and len(license_scan._base(long)) == 20_000
+    assert time.perf_counter() - begin < 30
+
+
 def test_license_keywords_are_necessary():
     """No rule finds what its keywords would have kept from it."""
     for text in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").df().text:
