@@ -13,6 +13,7 @@ COMMENT_MARKS = {"python": "#", "java": "//", "sql": "--"}
 CONTENT_CLASSES = ("empty", "brace", "trivial_comment", "tiny", "normal")
 
 TOKEN = r"[A-Za-z0-9_]+|[^\sA-Za-z0-9_]"
+# Fixed value: colour codes of a terminal.
 ANSI_CODE = r"\x1b\[[0-9;]*m"
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from lineloom.functions import text, vectors
 from lineloom.operators.quality import is_clean, put_error
-from lineloom.plans.scan import BLOCK, with_running
+from lineloom.plans.scan import with_running
 from lineloom.schemas import MAX_TOKENS
 from lineloom.session import staged
 
@@ -33,10 +33,17 @@ _RESULT = T.StructType(
 )
 
 
-def running_tokens(df: DataFrame, position: str, tokens: str, block: int = BLOCK) -> DataFrame:
-    """Total of ``tokens`` up to and including each row, over all rows in the order of ``position``."""
-    before = with_running(df, [], [position], sums={"_before": F.col(tokens)}, block=block)
-    return before.withColumn("running_total", F.col("_before") + F.col(tokens)).drop("_before")
+def running_tokens(df: DataFrame, position: str, tokens: str, partitions: int | None = None) -> DataFrame:
+    """Total of ``tokens`` up to and including each row, over all rows in the order of ``position``.
+
+    Rows are dealt to ranges of positions by a sample of them, so sparse or hashed positions fill
+    ranges as evenly as dense ones; a range adds up its own rows and gets the total of those before it.
+    """
+    spread = df.repartitionByRange(partitions, position) if partitions else df.repartitionByRange(position)
+    # written, so that a row's range is the same wherever it is read
+    ranges = staged(spread.withColumn("_block", F.spark_partition_id()))
+    before = with_running(ranges, [], [position], sums={"_before": F.col(tokens)})
+    return before.withColumn("running_total", F.col("_before") + F.col(tokens)).select(*df.columns, "running_total")
 
 
 def _exits(sizes: np.ndarray, limit: int, carry_reset: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -61,6 +61,7 @@ def validate(
     """
     counted = chunks if "errors" in chunks.columns else chunks.withColumn("errors", no_errors())
     counted = counted.withColumn("token_count", tokenizer(F.col("source")))
+    # Fixed value: the wording of the message.
     message = F.concat(
         F.lit("chunk "),
         F.col("chunk_id"),

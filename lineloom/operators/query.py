@@ -9,6 +9,7 @@ from lineloom.functions import vectors as V
 from lineloom.operators import vector_store
 from lineloom.schemas import PAYLOAD, TOP_K
 
+# What stands for no context, and between snippets.
 NO_CONTEXT = "No initial context found."
 CONTEXT_SEPARATOR = "\n---\n"
 CONTEXT_SNIPPETS = 5

@@ -43,10 +43,24 @@ def test_one_key_is_packed_by_many_tasks(spark, reset):
 
 def test_running_total_goes_over_all_blocks(spark):
     df = spark.range(200).select("id", (F.col("id") % 5).alias("tokens")).repartition(3)
-    got = embed.running_tokens(df, "id", "tokens", block=16).orderBy("id").collect()
+    got = embed.running_tokens(df, "id", "tokens", partitions=9).orderBy("id").collect()
     assert [r.running_total for r in got] == [sum(i % 5 for i in range(n + 1)) for n in range(200)]
 
 
+def test_running_total_over_hashed_positions(spark, monkeypatch):
+    kept, stage = [], embed.staged
+    monkeypatch.setattr(embed, "staged", lambda df: kept.append(stage(df)) or kept[-1])
+    df = spark.range(500).select(F.xxhash64("id").alias("id"), (F.col("id") % 5).alias("tokens"))
+    got = embed.running_tokens(df, "id", "tokens", partitions=8)
+    sizes = [r["count"] for r in kept[0].groupBy("_block").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 200, "no range holds all rows"
+    want, total = [], 0
+    for r in df.orderBy("id").collect():
+        total += r.tokens
+        want.append((r.id, r.tokens, total))
+    assert [tuple(r) for r in got.orderBy("id").collect()] == want
+
+
 def chunk_rows(spark, n=30):
     base = spark.range(n).select(
         F.col("id").cast("string").alias("chunk_id"), F.concat_ws(" ", F.lit("word"), F.col("id")).alias("source")
