@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # Prefix of a line that begins inside a multi-line string.
 INSIDE = "\x01"
 
+# What may be open where a line ends, by state: nothing, or a token that begins with the text.
+OPEN = {"java": ("", "/*", "/**", '"""'), "python": ("", '"""', "'''")}
+
 _ESCAPES = r"\\[\\\"']"
 _JAVA = (
     r"(?s)/\*.*?(?:\*/|\z)|//[^\n]*|\"\"\".*?(?:\"\"\"|\z)"
@@ -29,6 +32,19 @@ def _tokens(content: Column, pattern: str) -> Column:
     return F.regexp_extract_all(plain, F.lit(pattern), F.lit(0))
 
 
+def open_after(content: Column, language: str, state: int) -> Column:
+    """The state after whole lines of text that begin in ``state`` (a place in ``OPEN``)."""
+    opener = OPEN[language][state]
+    text = F.concat(F.lit(opener + "\n"), content) if opener else content
+    last = F.try_element_at(_tokens(text, _JAVA if language == "java" else _PYTHON), F.lit(-1))
+    out = F.lit(0)
+    # Only an open token ends with the line; a longer opening is the more exact one.
+    for number, begin in enumerate(OPEN[language]):
+        if begin:
+            out = F.when(last.startswith(begin) & last.endswith("\n"), number).otherwise(out)
+    return F.coalesce(out, F.lit(0))
+
+
 def _is_literal(t: Column) -> Column:
     return t.startswith('"') | t.startswith("'")
 

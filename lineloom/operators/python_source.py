@@ -9,11 +9,12 @@ Limit: a tab counts as eight columns whatever its position.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineloom.functions import lexing, text
-from lineloom.operators.segment import span_pieces
+from lineloom.operators.lines import numbered_lines
+from lineloom.operators.segment import joined_lines, span_pieces
 from lineloom.operators.spans import match_closes
 from lineloom.plans.scan import block_for, with_running
 from lineloom.schemas import MAX_CHUNK_LINES
@@ -26,8 +27,11 @@ def docstrings(files: DataFrame) -> DataFrame:
     """The module docstring of each file that has a non-empty one, as a chunk.
 
     Worked out inside the file's row: the first code line must be a string, and
-    the lines that continue it are marked by the lexer.
+    the lines that continue it are marked by the lexer. For files in parts
+    (``sources.tree``) the same is worked out from their lines.
     """
+    if "parts" in files.columns:
+        return docstrings(files.where("parts = 1").drop("part", "parts")).unionByName(_cut_docstrings(files.where("parts > 1")))
     content = F.regexp_replace(text.unify_newlines(F.col("content")), r"\n\z", "")
     parsed = F.struct(
         F.split("content", "\n").alias("lines"),
@@ -51,23 +55,44 @@ def docstrings(files: DataFrame) -> DataFrame:
     rows = rows.withColumn("more", F.when(stays == 0, F.size(rest)).otherwise(stays - 1))
     head = F.get("code", F.col("first") - 1)
     tail = F.get("code", F.col("first") + F.col("more") - 1)
-    alone = F.when(F.col("more") == 0, head.rlike(r"^[uUrR]?_\s*(;|\z)")).otherwise(
+    source = F.array_join(F.slice("lines", F.col("first"), F.col("more") + 1), "\n")
+    end = F.col("first") + F.col("more")
+    return _docstring_rows(rows.where(_alone(F.col("more") == 0, head, tail)), F.col("first"), end, source)
+
+
+def _alone(one_line: Column, head: Column, tail: Column) -> Column:
+    """Whether a string that begins the code ``head`` and ends the code ``tail`` is a statement."""
+    return F.when(one_line, head.rlike(r"^[uUrR]?_\s*(;|\z)")).otherwise(
         head.rlike(r"^[uUrR]?_\s*\z") & tail.rlike("^" + lexing.INSIDE + r"_?\s*(;|\z)")
     )
-    source = F.array_join(F.slice("lines", F.col("first"), F.col("more") + 1), "\n")
-    return (
-        rows.where(alone)
-        .select(
-            "file_path",
-            F.lit("docstring").alias("type"),
-            F.lit(None).cast("string").alias("name"),
-            F.lit(1).alias("chunk_no"),
-            F.col("first").alias("start_line"),
-            (F.col("first") + F.col("more")).alias("end_line"),
-            source.alias("source"),
-        )
-        .where(~F.col("source").rlike(_EMPTY_STRING))
+
+
+def _docstring_rows(rows: DataFrame, start: Column, end: Column, source: Column) -> DataFrame:
+    found = rows.select(
+        "file_path",
+        F.lit("docstring").alias("type"),
+        F.lit(None).cast("string").alias("name"),
+        F.lit(1).alias("chunk_no"),
+        start.alias("start_line"),
+        end.alias("end_line"),
+        source.alias("source"),
+    )
+    return found.where(~F.col("source").rlike(_EMPTY_STRING))
+
+
+def _cut_docstrings(files: DataFrame) -> DataFrame:
+    lines = numbered_lines(files, "python").select("file_path", "n_lines", "line_no", "source", "code")
+    first = F.min(F.when(~text.is_blank(F.col("code")), F.col("line_no")))
+    heads = lines.groupBy("file_path").agg(first.alias("first"), F.max("n_lines").alias("n")).where("first IS NOT NULL")
+    below = lines.join(heads, "file_path").where("line_no > first")
+    stops = below.where(~F.col("code").startswith(lexing.INSIDE)).groupBy("file_path").agg(F.min("line_no").alias("stop"))
+    spans = heads.join(stops, "file_path", "left").select("file_path", "first", (F.coalesce("stop", F.col("n") + 1) - 1).alias("end"))
+    inside = lines.join(spans, "file_path").where("line_no BETWEEN first AND end")
+    found = inside.groupBy("file_path", "first", "end").agg(
+        F.min_by("code", "line_no").alias("head"), F.max_by("code", "line_no").alias("tail"), joined_lines().alias("source")
     )
+    whole = found.where(_alone(F.col("first") == F.col("end"), F.col("head"), F.col("tail")))
+    return _docstring_rows(whole, F.col("first"), F.col("end"), F.col("source"))
 
 
 def declarations(lines: DataFrame, block: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lineloom.operators import files, graph, java, query
+from lineloom.operators import all_chunks, files, graph, java, lines, markup, python_source, query, sql_source
 from lineloom.operators.lines import numbered_lines
 from lineloom.schemas import LINE, STORED_LINE
 from lineloom.sources import stores, tree
@@ -263,3 +263,53 @@ def test_callers_callees_and_reach(spark):
     seeds = method("b").select(F.col("node_id").alias("node"))
     assert {(names[r.node], r.depth) for r in graph.reach(pairs, seeds).collect()} == {("b", 0), ("c", 1), ("a", 2)}
     assert graph.reach(pairs, seeds, max_depth=1).count() == 2
+
+
+CUT_SOURCES = {
+    "A.java": "package p;\n/** Doc of\n *\n * A. */\nclass A {\n  /* open { \" '\n\n  /** not new } */\n  String t = \"\"\"\n  }{ /* not one\n \"\"\";\n  int f(int a) { // it's {\n    return g(\"}\", '\"');\n  }\n}\n\n",
+    "b.py": "# first\n\n'''Module\n# not \"\"\" one\n\nend'''\nimport os\n\nclass B:\n    \"\"\"It's\n    def no(self):\n    \"\"\"\n\n    def f(self):\n        return '''x\ny''' + \"it's\"\n\n\ndef g():\n    return 1\n",
+    "c.py": '"""Docs that never end\n\n  here',
+    "d.sql": "select 1\n  from a;  \n\n\nselect ';'\n;\n  -- note;\nupdate b\nset c = 1;;\n\n select 2;",
+    "e.jsp": "<html>\n\n\n<%@ page %>\r\n text\n  <script>\n\n \nx\n</script>\n<jsp:a/>",
+    "f.sql": "\n\n \n",
+    "g.java": "x" * 90,
+}
+
+
+@pytest.mark.parametrize("part_bytes", [7, 40])
+def test_files_in_parts_give_what_whole_files_give(spark, tmp_path, part_bytes):
+    base = str(tmp_path / "cut")
+    for name, content in CUT_SOURCES.items():
+        write(f"{base}/{name}", content.encode())
+    write(f"{base}/bad.py", b"x = 1\ny = 2\n" * 9 + b"\xff\n" + b"z\n" * 30)
+    whole, refused = tree.read_tree(spark, base, ["java", "py", "sql", "jsp"], project_root=base)
+    cut, refused_too = tree.read_tree(spark, base, ["java", "py", "sql", "jsp"], project_root=base, part_bytes=part_bytes)
+    large = {name for name, content in CUT_SOURCES.items() if len(content) > part_bytes}
+    assert {r.file_path for r in cut.where("parts > 1").select("file_path").distinct().collect()} == large
+    assert rows(refused) == rows(refused_too) == [("bad.py", "not valid UTF-8")]
+    texts = {}
+    for r in sorted(cut.collect(), key=lambda r: (r.file_path, r.part)):
+        texts[r.file_path] = texts.get(r.file_path, "") + r.content
+    assert texts == {name: content.replace("\r\n", "\n") for name, content in CUT_SOURCES.items()}
+    for language in (None, "java", "python"):
+        of = {"java": "file_path LIKE '%.java'", "python": "file_path LIKE '%.py'"}.get(language, "file_path != 'f.sql'")
+        assert rows(lines.numbered_lines(cut.where(of), language)) == rows(lines.numbered_lines(whole.where(of), language))
+    for block in (None,) if part_bytes == 7 else (4,):
+        for chunked, of in ((sql_source.statements, "sql"), (sql_source.chunks, "sql"), (markup.chunks, "jsp")):
+            of = f"file_path LIKE '%.{of}'"
+            assert rows(chunked(cut.where(of), block=block)) == rows(chunked(whole.where(of))) != []
+    assert rows(python_source.docstrings(cut.where("file_path LIKE '%.py'"))) == rows(python_source.docstrings(whole.where("file_path LIKE '%.py'"))) != []
+
+
+def test_all_chunks_of_files_in_parts(spark, tmp_path):
+    base = str(tmp_path / "cut")
+    for name, content in CUT_SOURCES.items():
+        write(f"{base}/{name}", content.encode())
+    whole, cut = (tree.read_tree(spark, base, ["java", "py", "sql", "jsp"], project_root=base, part_bytes=b)[0] for b in (None, 11))
+    assert rows(all_chunks.chunk_files(cut)[0]) == rows(all_chunks.chunk_files(whole)[0]) != []
+
+
+def test_a_line_longer_than_parts_is_one_line(spark, tmp_path):
+    write(str(tmp_path / "l" / "a.py"), b"a = '" + b"x" * 5000 + b"'\nb = 2\n\n" + b"y" * 3000)
+    got, _ = tree.read_tree(spark, str(tmp_path / "l"), ["py"], part_bytes=100)
+    assert [len(r.source) for r in lines.numbered_lines(got).orderBy("line_no").collect()] == [5006, 5, 0, 3000]
