@@ -1,5 +1,6 @@
 import json
 import os
+import re
 import subprocess
 import sys
 
@@ -11,9 +12,10 @@ from lineloom.operators import all_chunks, files, graph, java, lines, markup, py
 from lineloom.operators.lines import numbered_lines
 from lineloom.schemas import LINE, STORED_LINE
 from lineloom.sources import stores, tree
+from lineloom.streaming import ingest
 from lineloom.streaming.ingest import ingest_lines
 from tests.conftest import files as texts
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def write(path, data):
@@ -134,6 +136,42 @@ def test_spool_is_loaded_once(spark, tmp_path):
     assert set(LINE.fieldNames()) <= set(stored.columns)
 
 
+def test_many_batches_keep_few_files_and_read_their_buckets(spark, tmp_path):
+    spool, table, state = (str(tmp_path / n) for n in ("spool", "table", "state"))
+    # id i comes in batches i // 2 and i // 2 + 1, the second time with another text
+    for number in range(19):
+        ids = range(max(0, 2 * number - 2), 2 * number + 2)
+        entries = [{"line_id": f"l{i}", "file_line_no": i, "file_path": "A", "source": f"{i // 2 == number}"} for i in ids]
+        write(f"{spool}/lines_{number:02}.json", json.dumps(entries).encode())
+        os.utime(f"{spool}/lines_{number:02}.json", (1_700_000_000 + number,) * 2)
+    ingest_lines(spark, spool, table, state, buckets=3, tier=3, files_per_batch=1).awaitTermination()
+    got = ingest.stored(spark, table)
+    assert rows(got.select("line_id", "source")) == sorted(((f"l{i}", "True") for i in range(38)), key=repr)
+    assert got.where(F.col("bucket") != ingest.bucket_of("line_id", 3)).count() == 0
+    # 19 batches: two merged nine at a time, one more
+    assert {r.batch for r in got.select("batch").distinct().collect()} == {8, 17, 18}
+    data = [os.path.join(d, n) for d, _, names in os.walk(table) for n in names if n.endswith(".parquet")]
+    assert len(data) <= 3 * 3
+    assert re.search(r"PartitionFilters: \[[^]]*bucket", plan(got.where(F.col("bucket").isin([1]))))
+    write(f"{tmp_path}/old/batch=0/x.parquet", b"")
+    with pytest.raises(Exception, match="laid out by batch alone"):
+        ingest_lines(spark, spool, str(tmp_path / "old"), str(tmp_path / "other")).awaitTermination()
+
+
+def test_a_replayed_merge_gives_the_same(spark, tmp_path):
+    table = str(tmp_path / "table")
+    for batch in range(3):
+        part = stores.stamped(lines_of(spark, 5, 5 * batch)).withColumn("bucket", ingest.bucket_of("line_id", 2))
+        ingest._write(part.withColumn("batch", F.lit(batch).cast("bigint")), table)
+    before = rows(ingest.stored(spark, table).drop("batch"))
+    ingest._compact(spark, table, 3, 3)
+    # as if stopped between writing and deleting
+    ingest._write(ingest.stored(spark, table).where("file_line_no < 5").withColumn("batch", F.lit(0).cast("bigint")), table)
+    ingest._compact(spark, table, 3, 3)
+    assert rows(ingest.stored(spark, table).drop("batch")) == before
+    assert {r.batch for r in ingest.stored(spark, table).collect()} == {2}
+
+
 def test_sql_takes_queries_only(spark, tmp_path):
     views = {"lines": lines_of(spark, 5)}
     assert query.sql_query(spark, "SELECT count(*) AS n FROM lines;", views).first().n == 5
