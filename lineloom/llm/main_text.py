@@ -19,7 +19,8 @@ of placeholder blocks alone. Other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -27,9 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineloom.llm.page_blocks import Block, blocks
+from lineloom.llm.page_blocks import Block, Place, blocks
 
 PAGES, VARIANTS = 400, 3
+#: Features, those of all ancestors counted for each block, beyond which a page of the
+#: sample is no training page: it nests without end. Scoring has no such bound.
+TRAINED_FEATURES = 1 << 20
 BITS = 14
 ROUNDS, RATE = 12, 0.3
 
@@ -48,7 +52,6 @@ OTHER_NAMES = {
 }
 NOT_ARTICLE = frozenset("nav aside footer form button select textarea dialog menu".split())
 ARTICLE = frozenset(["article", "main"])
-BOXES = frozenset("article main section div nav header footer aside form body".split())
 
 
 class Field(NamedTuple):
@@ -56,63 +59,133 @@ class Field(NamedTuple):
     moves: np.ndarray  # from label to label
 
 
+@lru_cache(1 << 16)
 def _feature(name: str) -> int:
     return zlib.crc32(name.encode()) & ((1 << BITS) - 1)
 
 
-def features(page: list[Block]) -> list[list[int]]:
-    """Hashed features of every block of a page."""
-    out, n = [], len(page)
-    seen: dict[str, int] = {}
+def _named(place: Place) -> set[str]:
+    """What an element tells about all blocks in it."""
+    return {f"in {place.tag}", *(f"word {w}" for w in place.words), *(f"word {w[:-1]}" for w in place.words if w.endswith("s"))}
+
+
+def _walk(page: list[Block], enter: Callable[[list[str]], None], leave: Callable[[list[str]], None]) -> Iterator[Block]:
+    """The blocks in order; before each, elements are entered and left until its own are
+    open. An element tells of itself only what none around it has told."""
+    told: set[str] = set()
+    path: list[tuple[Place, list[str]]] = []
     for block in page:
-        seen[block.text] = seen.get(block.text, 0) + 1
-    for i, block in enumerate(page):
-        names = {"bias"}
-        for depth, (tag, words) in enumerate(reversed(block.ancestors)):
-            names.add(f"in {tag}")
-            if depth == 0:
-                names.add(f"own {tag}")
-            names.update(f"word {w}" for w in words)
-            names.update(f"word {w[:-1]}" for w in words if w.endswith("s"))
-        box = next(((tag, words) for tag, words in reversed(block.ancestors) if tag in BOXES), ("", ()))
-        own = block.ancestors[-1][0] if block.ancestors else ""
-        names.update((f"box {box[0]}", f"box {box[0]} own {own}", f"box {box[0]} {' '.join(box[1])}"))
-        text = block.text
-        size = len(text)
-        names.add(f"size {min(int(np.log2(size + 1)), 10)}")
-        words = text.count(" ") + 1
-        names.add(f"words {min(int(np.log2(words)), 8)}")
-        names.add(f"linked {int(4 * block.linked / size)}")
-        names.add(f"ends {text[-1] if text[-1] in '.!?:;,' else 'else'}")
-        if "©" in text or "copyright" in text.lower():
-            names.add("copyright")
-        names.add(f"place {int(5 * i / n)}")
-        if i == 0:
-            names.add("first")
-        if i == n - 1:
-            names.add("last")
-        if not block.ancestors:
-            names.add("no ancestors")
-        out.append([_feature(name) for name in sorted(names)])
+        depth = block.place.depth if block.place else 0
+        ahead: list[Place] = []
+        here = block.place
+        while here and (here.depth > len(path) or path[here.depth - 1][0] is not here):
+            ahead.append(here)
+            here = here.parent
+        while len(path) > depth - len(ahead):
+            own = path.pop()[1]
+            told.difference_update(own)
+            leave(own)
+        for place in reversed(ahead):
+            own = sorted(_named(place) - told)
+            told.update(own)
+            path.append((place, own))
+            enter(own)
+        yield block
+
+
+def _shape(block: Block, i: int, n: int) -> set[str]:
+    """What a block tells of itself: its innermost elements, its text, its place on the page."""
+    own, box = (block.place.tag, block.place.box) if block.place else ("", None)
+    tag, words = (box.tag, box.words) if box else ("", ())
+    text = block.text
+    size = len(text)
+    names = {
+        "bias", f"box {tag}", f"box {tag} own {own}", f"box {tag} {' '.join(words)}",
+        f"size {min(int(np.log2(size + 1)), 10)}", f"words {min(int(np.log2(text.count(' ') + 1)), 8)}",
+        f"linked {int(4 * block.linked / size)}", f"ends {text[-1] if text[-1] in '.!?:;,' else 'else'}", f"place {int(5 * i / n)}",
+        f"own {own}" if block.place else "no ancestors",
+    }
+    if "©" in text or "copyright" in text.lower():
+        names.add("copyright")
+    if i == 0:
+        names.add("first")
+    if i == n - 1:
+        names.add("last")
+    return names
+
+
+def features(page: list[Block], most: int | None = None) -> list[list[int]] | None:
+    """Hashed features of every block of a page, none where they are more than ``most``."""
+    out: list[list[int]] = []
+    opened: dict[str, None] = {}
+    size = 0
+
+    def leave(names: list[str]) -> None:
+        for name in names:
+            del opened[name]
+
+    for i, block in enumerate(_walk(page, lambda names: opened.update(dict.fromkeys(names)), leave)):
+        size += len(opened)
+        if most is not None and size > most:
+            return None
+        out.append([_feature(name) for name in sorted({*opened, *_shape(block, i, len(page))})])
     return out
 
 
+def scored(field: Field, page: list[Block]) -> np.ndarray:
+    """The emission scores of every block: those of its elements, summed once an element,
+    and of its own features."""
+    flat: list[int] = []
+    ends = [0]  # of each element's or block's features
+    around = [0]  # the element that an element, or a block, stands in; 0: none
+    path = [0]
+
+    def add(names: Iterable[str]) -> None:
+        flat.extend(map(_feature, names))
+        ends.append(len(flat))
+        around.append(path[-1])
+
+    def enter(names: list[str]) -> None:
+        add(names)
+        path.append(len(ends) - 1)
+
+    rows = []
+    for i, block in enumerate(_walk(page, enter, lambda _: path.pop())):
+        add(_shape(block, i, len(page)))
+        rows.append(len(ends) - 1)
+    own = np.diff(np.concatenate([np.zeros((1, 2)), np.cumsum(field.weights[flat], 0)])[ends], axis=0, prepend=0).tolist()
+    for number, (outer, (s, t)) in enumerate(zip(around, own)):
+        if outer:
+            own[number] = [s + own[outer][0], t + own[outer][1]]
+    return np.array(own)[rows]
+
+
 def marked(page: list[Block]) -> list[int] | None:
     """Labels that a page's own markup gives, if it marks its article."""
-    tags = [[tag for tag, _ in b.ancestors] for b in page]
-    if not any(ARTICLE.intersection(t) for t in tags):
-        return None
-    wanted = "article" if any("article" in t for t in tags) else "main"
     aside = set().union(*OTHER_NAMES.values()) - {"banner", "top", "links", "text", "meta", "message", "header", "title"}
 
-    def inside(block: Block) -> bool:
-        names = [tag for tag, _ in block.ancestors]
-        if wanted not in names:
-            return False
-        below = block.ancestors[names.index(wanted) + 1 :]
-        return not any(tag in NOT_ARTICLE or aside.intersection(words) for tag, words in below)
-
-    return [int(inside(b)) for b in page]
+    def inside(wanted: str) -> list[int | None]:
+        """For each block: none outside of the wanted element, 1 in its article, 0 in what stands beside it."""
+        known: dict[Place | None, int | None] = {None: None}
+        for block in page:
+            ahead, here = [], block.place
+            while here not in known:
+                ahead.append(here)
+                here = here.parent
+            for place in reversed(ahead):
+                state = known[place.parent]
+                if state is None:
+                    state = 1 if place.tag == wanted else None
+                elif place.tag in NOT_ARTICLE or aside.intersection(place.words):
+                    state = 0
+                known[place] = state
+        return [known[b.place] for b in page]
+
+    for wanted in ("article", "main"):
+        states = inside(wanted)
+        if any(s is not None for s in states):
+            return [int(s == 1) for s in states]
+    return None
 
 
 def _variant(draw: np.random.Generator, page: list[Block], labels: list[int], others: list[Block]) -> tuple[list[Block], list[int]]:
@@ -136,7 +209,7 @@ def _variant(draw: np.random.Generator, page: list[Block], labels: list[int], ot
             tag = pick({"nav": ["li", "a"], "form": ["label", "button", "p"], "comments": ["p", "li", "div", "p"]}.get(kind, ["p", "div", "li", "span"]))
             short = source.text[: int(draw.integers(8, 60))] if kind in ("nav", "form", "share") or draw.random() < 0.4 else source.text
             linked = len(short) if kind == "nav" or draw.random() < 0.2 else 0
-            out.append((Block(short.strip() or "x", (*around, (tag, ())), linked), 0))
+            out.append((Block(short.strip() or "x", Place.of((*around, (tag, ()))), linked), 0))
         return out
 
     tag = pick(["article", "main", "div", "div", "div", "section"])
@@ -148,13 +221,13 @@ def _variant(draw: np.random.Generator, page: list[Block], labels: list[int], ot
             out += surrounding(kind, int(draw.integers(1, 6 if kind == "nav" else 3)))
     body = [b for b, y in zip(page, labels) if y]
     for number, block in enumerate(body):
-        own = block.ancestors[-1] if block.ancestors else ("p", ())
+        own = (block.place.tag, block.place.words) if block.place else ("p", ())
         own = own if own[0] in ("p", "h1", "h2", "h3", "li", "blockquote", "pre") else ("p", ())
         inner: tuple = (own,)
         if number and draw.random() < 0.3:
             inner = pick([(("ul", ()), ("li", ())), (("ol", ()), ("li", ())), (("blockquote", ()),), (("h2", ()),), (("pre", ()),), (("table", ()), ("td", ())), (("div", ()),)])
         text = block.text.split(" ")[0] if number and draw.random() < 0.08 else block.text  # articles hold very short blocks too
-        out.append((Block(text, (*article, *inner), min(block.linked, len(text))), 1))
+        out.append((Block(text, Place.of((*article, *inner)), min(block.linked, len(text))), 1))
         if draw.random() < 0.05:
             out += surrounding(pick(["ad", "share", "aside"]), 1, article[2:])
     for kind in ("share", "comments", "aside", "form", "footer"):
@@ -173,8 +246,8 @@ def training_pages(pages: list[str]) -> list[tuple[list[Block], list[int]]]:
         if labels is not None:
             out.append((found, labels))
     others = [b for found, labels in out for b, y in zip(found, labels) if not y or draw.random() < 0.3]
-    filler = [Block("some words of a sentence that stands here.", (), 0), Block("home", (), 4)]
-    own = out or [([Block("a paragraph of some length that tells a story, and goes on for a while.", (("p", ()),), 0)] * 4, [1] * 4)]
+    filler = [Block("some words of a sentence that stands here.", None, 0), Block("home", None, 4)]
+    own = out or [([Block("a paragraph of some length that tells a story, and goes on for a while.", Place.of([("p", ())]), 0)] * 4, [1] * 4)]
     return out + [_variant(draw, found, labels, others or filler) for found, labels in own for _ in range(VARIANTS)]
 
 
@@ -200,8 +273,8 @@ def trained(pages: list[tuple[list[Block], list[int]]]) -> Field:
     average, average_moves, steps = np.zeros_like(weights), np.zeros_like(moves), 0
     given = []
     for page, labels in pages:
-        if page:
-            f = features(page)
+        f = features(page, TRAINED_FEATURES)
+        if f:
             given.append((np.concatenate(f), np.repeat(np.arange(len(f)), [len(x) for x in f]), np.array(labels)))
     draw = np.random.default_rng(77)
     for turn in range(ROUNDS):
@@ -228,9 +301,7 @@ def decoded(field: Field, page: list[Block]) -> np.ndarray:
     """The likeliest labels of a page's blocks (Viterbi)."""
     if not page:
         return np.zeros(0, int)
-    f = features(page)
-    weights = field.weights[np.concatenate(f)]
-    scores = np.add.reduceat(weights, np.concatenate([[0], np.cumsum([len(x) for x in f])[:-1]]))
+    scores = scored(field, page)
     (m00, m01), (m10, m11) = field.moves.tolist()
     a, b = scores[0].tolist()
     back = []

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -10,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -45,6 +47,31 @@ def test_bpe_equals_the_tokenizer_and_round_trips(spark):
     assert got[1].text == reference.decode([126, 200, 50256], skip_special_tokens=False) and got[2].text == ""
 
 
+def test_page_scores_are_sums_over_features_and_deep_pages_are_linear():
+    field = main_text.Field(np.random.default_rng(3).normal(size=(1 << main_text.BITS, 2)), np.zeros((2, 2)))
+    draw = random.Random(5)
+    tags = ["<p>", "</p>", '<div class="nav a">', "</div>", "<b>", "</b>", "<a>", "</a>", "x ", "<li>", "<svg>", "<article>", "<ul id=bs>", "</ul>"]
+    for _ in range(50):
+        page = blocks("".join(draw.choice(tags) for _ in range(60)))
+        expected = [field.weights[f].sum(0) for f in main_text.features(page)]
+        assert not page or main_text.scored(field, page) == pytest.approx(np.array(expected))
+    deep = [f"<div class={''.join(chr(97 + int(c)) for c in str(i))}>x </p>" for i in range(100_000)]
+    start = time.perf_counter()
+    assert len(blocks("".join(deep[:10_000]))) == 10_000 and main_text.main_text(field, "".join(deep[:10_000])) is not None
+    middle = time.perf_counter()
+    assert main_text.main_text(field, "".join(deep)) is not None
+    # in proportion it is ten times as long, by the square a hundred times
+    assert time.perf_counter() - middle < 40 * (middle - start)
+    assert main_text.features(blocks("".join(deep)), main_text.TRAINED_FEATURES) is None
+
+
+def test_page_texts_of_no_pages_and_of_clashing_columns(spark):
+    pages = table(spark, "pages").withColumns({c: F.lit("other") for c in ("text", "n_chars", "turn")})
+    assert main_text.extracted(pages.limit(0)).collect() == []
+    got = {r.page_id: r.text for r in main_text.extracted(pages).collect()}
+    assert got == {r.page_id: r.text for r in main_text.extracted(table(spark, "pages")).collect()}
+
+
 def test_lexicon_is_exact_and_shares_suffixes(tmp_path):
     words = {w.encode(): [i, i + 1] for i, w in enumerate("walking talking stalking walk é éé a aa".split())}
     path = tmp_path / "words.fsa"
@@ -172,7 +199,8 @@ PARAGRAPH = "This is one paragraph of the story, with a few sentences. They go o
 def test_page_blocks():
     page = '<p>a<b>b</b>&amp;c<p>d<br>e<script>var x="<p>no</p>"</script><div class="Ad-box x">f</div><!-- <p>g --> tail<ul><li><a href=q>h</a></ul>'
     assert [b.text for b in blocks(page)] == ["ab&c", "d e", "f", "tail", "h"]
-    assert blocks(page)[2].ancestors[-1] == ("div", ("ad", "box", "x")) and blocks(page)[4].linked == 1
+    place = blocks(page)[2].place
+    assert (place.tag, place.words) == ("div", ("ad", "box", "x")) and blocks(page)[4].linked == 1
     assert blocks("") == [] and [b.text for b in blocks("just <text & more")] == ["just"]
 
 
