@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineloom.functions import text
@@ -56,15 +56,31 @@ def merge_small(
     """
     classed = chunks.withColumn("content_class", text.content_class(F.col("source"))["class"])
     grouped = merge_groups(classed, keys, order, block=block)
+    # First the text of each run of pieces within one block of lines of a span, in tasks by
+    # block, then the runs of a merged chunk; so one class that fills a huge file is many tasks' work.
+    *spans, piece = order
+    run = F.floor(F.col(piece) / F.lit(block or BLOCK)).alias("_run")
     rank = F.struct(*order)
-    parts = F.array_sort(F.collect_list(F.struct(rank.alias("o"), F.col("source").alias("s"))))
-    last = F.size(parts) - 1
-    joined = F.array_join(
-        F.transform(parts, lambda p, i: F.when(i < last, text.rstrip(p["s"])).otherwise(p["s"])), "\n"
+    runs = grouped.groupBy(*keys, "merged_no", *spans, run).agg(
+        F.min(rank).alias("_rank"),
+        F.min_by(F.struct("type", "name", "chunk_no", "start_line"), rank).alias("first"),
+        F.max("end_line").alias("end_line"),
+        joined_parts(rank, F.col("source")).alias("source"),
     )
-    first = F.min_by(F.struct("type", "name", "chunk_no", "start_line"), rank)
     return (
-        grouped.groupBy(*keys, "merged_no")
-        .agg(first.alias("first"), F.max("end_line").alias("end_line"), joined.alias("source"))
+        runs.groupBy(*keys, "merged_no")
+        .agg(
+            F.min_by("first", "_rank").alias("first"),
+            F.max("end_line").alias("end_line"),
+            joined_parts(F.col("_rank"), F.col("source")).alias("source"),
+        )
         .select(*keys, "first.*", "end_line", "source")
     )
+
+
+def joined_parts(rank: Column, source: Column) -> Column:
+    """Texts of a group in order, all but the last right-stripped. None of them is blank, so
+    texts put together so far can be put together again."""
+    parts = F.array_sort(F.collect_list(F.struct(rank.alias("o"), source.alias("s"))))
+    last = F.size(parts) - 1
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i < last, text.rstrip(p["s"])).otherwise(p["s"])), "\n")

@@ -98,11 +98,18 @@ def method_context(
     )
     near = F.col("file_line_no").between(F.col("line") - context_lines, F.col("line") + context_lines)
     met = probes.join(code, ["parent_type", "parent_method", "at"]).where(near)
-    around = F.array_sort(
-        F.collect_list(F.struct(F.col("file_line_no").alias("line_no"), F.col("source"), F.col("file_path")))
+    # Files that hold the same line are counted before lines are put together, in tasks by
+    # line and text, so a method that very many files declare is not one task's work.
+    owner_keys = ["class", "method", "line", "parent_type", "parent_method"]
+    each = met.groupBy(*owner_keys, F.col("file_line_no").alias("line_no"), "source").agg(
+        F.min("file_path").alias("file_path"), F.count("*").cast("int").alias("copies")
+    )
+    around = F.array_sort(F.collect_list(F.struct("line_no", "source", "file_path", "copies")))
+    shown = F.transform(
+        "found", lambda r: F.array_repeat(F.struct(r["line_no"].alias("line_no"), r["source"].alias("source")), r["copies"])
     )
     return (
-        met.groupBy("class", "method", "line", "parent_type", "parent_method")
+        each.groupBy(*owner_keys)
         .agg(around.alias("found"))
         .select(
             "class",
@@ -112,7 +119,7 @@ def method_context(
                 F.get("found", 0)["file_path"].alias("file_path"),
                 "parent_method",
                 "parent_type",
-                F.transform("found", lambda r: F.struct(r["line_no"], r["source"])).alias("lines"),
+                F.flatten(shown).alias("lines"),
             ).alias("context"),
         )
     )

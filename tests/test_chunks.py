@@ -1,5 +1,6 @@
 import ast
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from lineloom.functions import text
 from lineloom.operators import all_chunks, java, markup, merge, python_source, segment, sql_source
 from lineloom.operators.lines import numbered_lines
-from tests.conftest import files, rows
+from tests.conftest import files, plan, rows
 
 LONG_PYTHON = (
     "def tally(rows):\n    seen = {}\n"
@@ -266,6 +267,25 @@ def test_merge_matches_the_walk(spark, block):
     assert rows(merge.merge_small(df, block=block).select("file_path", "source")) == sorted(want, key=repr)
 
 
+def test_one_huge_class_is_merged_by_many_tasks(spark):
+    draw = random.Random(3)
+    texts = {"brace": "}", "tiny": "a;\nb;  ", "normal": "a;\nb;\nc;\n ", "trivial_comment": "// c"}
+    kinds = ["normal"] + [draw.choice(["tiny", "brace", "tiny", "trivial_comment"]) for _ in range(900)] + ["normal"] * 3
+    sources = [texts[k].replace("a", f"a{i}") for i, k in enumerate(kinds)]
+    # all pieces of one span, but for a span inside it that begins at its start, too
+    data = [("f", "class", "N", i, 2 * i, 2 * i + 1, s, 1, int(i > 700)) for i, s in enumerate(sources)]
+    df = spark.createDataFrame(
+        data,
+        "file_path string, type string, name string, chunk_no int, start_line int, end_line int, source string, span_start int, place int",
+    ).repartition(4)
+    got = merge.merge_small(df, block=8).orderBy("start_line").collect()
+    assert [r.source for r in got] == merged_by_hand(list(zip(kinds, sources)))
+    assert (got[0].start_line, got[0].chunk_no, got[1].start_line) == (0, 0, 2 * 901)
+    assert got[0].end_line == 2 * max(i for i, k in enumerate(kinds[:901]) if k != "trivial_comment") + 1
+    # texts are joined by block of lines first, and only then by merged chunk
+    assert re.search(r"hashpartitioning\([^)]*merged_no[^)]*place[^)]*_groupingexpression", plan(merge.merge_small(df, block=8)))
+
+
 @pytest.mark.parametrize(
     "source, expected",
     [

@@ -62,3 +62,17 @@ def test_context_join_is_an_equi_join(spark):
     lookups = spark.createDataFrame([("p.A.In", "m", 58)], "class string, method string, line int")
     text = plan(trace.method_context(lookups, stored(spark)))
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_a_method_that_many_files_declare(spark):
+    data = [(f"F{i:03}.java", "p.A", "m", n, f"line {n}" if i % 3 else f"own {i % 5}") for i in range(300) for n in (4, 5, 30)]
+    schema = "file_path string, parent_type string, parent_method string, file_line_no int, source string"
+    lines = spark.createDataFrame(data, schema).repartition(4)
+    lookups = spark.createDataFrame([("p.A", "m", 5), ("p.A", "m", 5), ("p.A", "m", 40)], "class string, method string, line int")
+    found = trace.method_context(lookups, lines, 3)
+    around = sorted((n, s, f) for f, _, _, n, s in data if 2 <= n <= 8)
+    (one,) = found.collect()
+    assert one.context.file_path == around[0][2]
+    assert [(r.line_no, r.source) for r in one.context.lines] == [(n, s) for n, s, _ in around]
+    # equal lines are counted in tasks of their own before they meet in one context
+    assert "partial_count" in plan(found) and plan(found).count("hashpartitioning(class") >= 2
