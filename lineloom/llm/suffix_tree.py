@@ -1,18 +1,28 @@
-"""Language-model scores from a probabilistic suffix tree over words.
-
-Symbols are lower-cased words and one end per text. A context of up to ``DEPTH`` words is a
-candidate if it makes up at least ``STATE`` of the training symbols, and its next symbols
-are listed from ``LISTED`` of them on; so a level has at most ``1 / STATE`` states and
-``1 / LISTED`` listed symbols however large the corpus is, which bounds what is broadcast.
-All counts are over the whole training part. A candidate stays in the tree if its next
-symbols diverge from those of its longest suffix: the log likelihood it gains over the
-suffix, each occurrence left out of its own estimate, must exceed ``GAIN`` nats. Listed
-counts are discounted, and what that frees, with the unlisted share, goes to the suffix;
-the root is the add-one distribution over all words. A symbol is scored by the longest
-suffix of the text before it that is a state.
-
-Words below ``LISTED`` have no entry in the tree; only the root knows their counts. Their
-counts, unbounded in number, are joined to the texts by word.
+"""Language-model scores from a probabilistic suffix tree over words, kept as tables.
+
+Symbols are lower-cased words and one end per text. The tree grows a word at a time, back
+from the symbol that is told: a context is a candidate if it stands ``LEAST_STATE`` times in
+the training texts, its longest suffix is a state and its words but the last are a candidate
+(so that its count is known from the level before). It becomes a state if its next symbols
+diverge from those of the suffix: the log likelihood it gains over the suffix, each
+occurrence left out of its own estimate, must exceed ``GAIN`` nats. Levels are added until no
+candidate passes. The least counts are absolute, so a context kept on a small corpus stays
+when the corpus grows, and the tree grows with the corpus.
+
+In a state ``s`` a next symbol seen ``c >= LEAST_LISTED`` times in ``n`` has the probability
+``(c - DISCOUNT) / n + left(s) * p`` and any other ``left(s) * p``, where ``p`` is that of the
+suffix and ``left`` is what discounts and unlisted symbols free; the root is the add-one
+distribution over all words. So the log probability of a text is a plain sum: every sequence
+of words in it that is a state adds ``log left``, every one that is a listed symbol after a
+state adds by how much it is likelier than ``left * p``, every word adds its root value. The
+tree is a table of such values by the 64-bit key of the sequence, and scoring is a join of
+the texts' sequences with it.
+
+What is broadcast has a fixed size: values of the ``HOT`` most frequent sequences, summed
+where the texts are read, and a bit filter of ``2 ** FILTER_BITS`` bits that says which other
+sequences may be in the table. A filter that fills up lets more keys into the join, which is
+exact, so results do not depend on it. Counts of candidates pass through such a filter and an
+exact join, too.
 
 Defined results: a null text is empty and scores its end alone; a row without id is part of
 the training rows; repeated rows count and are returned as often as they stand. Without
@@ -21,7 +31,8 @@ training rows every count is 0. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +43,16 @@ from pyspark.sql import functions as F
 from lineloom.llm import texts
 from lineloom.llm.stage import Stage
 
-DEPTH = 2
-STATE, LISTED = 1e-5, 1e-6
 LEAST_STATE, LEAST_LISTED = 4, 2
 DISCOUNT, GAIN = 0.75, 10.0
 #: The symbol for the end of a text.
 END = np.uint64(0x9D5C0FB8A1E3F2C7)
 #: Distinct keys that a task holds before it passes their counts on.
 HELD = 1 << 21
-_WORD_BITS = 21
+#: Sequences whose values are broadcast, and bits of a filter.
+HOT, FILTER_BITS = 1 << 21, 27
+#: The key of a sequence and one more word: the key turned by so many bits, and the word's.
+TURN = 23
 
 
 class Sorted:
@@ -71,85 +83,51 @@ class Sorted:
         return out
 
 
-class Tree:
-    """Listed n-grams by level, and for each the weight of its suffix if it is a state."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, n: int, v: int):
-        self.n, self.v = n, v
-        self.counts = [counts.astype(float)]
-        self.find = [Sorted(words)]
-        self.root = (self.counts[0] + 1) / (n + v + 1)
-        #: For each n-gram as a state: share left to the suffix (1: not a state).
-        self.left: list[np.ndarray] = []
-        #: For each n-gram the place of its suffix, the n-gram without its first word.
-        self.suffix: list[np.ndarray] = [np.zeros(0, np.int64)]
-
-    def places(self, symbols: np.ndarray, firsts: np.ndarray) -> list[np.ndarray]:
-        """For each level the n-gram that ends at each symbol, -1 where it is not listed."""
-        out = [self.find[0].find(symbols)]
-        for finder in self.find[1:]:
-            out.append(finder.find(self.keys(out, firsts)))
+class Filter:
+    """Keys that may be in a table: two bits for each of its keys are set."""
+
+    def __init__(self, keys: DataFrame):
+        self.mask = (1 << FILTER_BITS) - 1
+        spots = keys.select(F.expr(f"explode(array(key & {self.mask}L, shiftrightunsigned(key, 32) & {self.mask}L)) AS spot"))
+        spots = spots.groupBy(F.expr("shiftright(spot, 6)").alias("place"))
+        table = spots.agg(F.expr("bit_or(shiftleft(1L, CAST(spot & 63L AS INT)))").alias("bits")).toArrow()
+        self.bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        place, bits = (np.asarray(table.column(c).combine_chunks(), np.int64) for c in range(2))
+        self.bits[place] = bits.astype(np.uint64)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        mask, six = np.uint64(self.mask), np.uint64(63)
+        out = np.ones(len(keys), bool)
+        for spot in (keys & mask, (keys >> np.uint64(32)) & mask):
+            out &= (self.bits[spot >> np.uint64(6)] >> (spot & six)) & np.uint64(1) == 1
         return out
 
-    @staticmethod
-    def keys(places: list[np.ndarray], firsts: np.ndarray) -> np.ndarray:
-        """Keys of the n-grams one longer than the last level of ``places``; unlisted ones
-        get a key that no level has. ``firsts``: where texts begin."""
-        before = np.empty_like(places[-1])
-        before[:1] = -1
-        before[1:] = places[-1][:-1]
-        before[firsts] = -1
-        good = (before >= 0) & (places[0] >= 0)
-        return np.where(good, (before << _WORD_BITS) | places[0], -1)
-
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """The next level: listed n-grams and their counts; tests their contexts."""
-        context, word = keys >> _WORD_BITS, keys & ((1 << _WORD_BITS) - 1)
-        n, c = self.counts[-1], counts.astype(float)
-        suffix = self.probability(context, word)
-        share = np.bincount(context, c, len(n))
-        freed = n - np.bincount(context, c - DISCOUNT, len(n))
-        others = np.maximum(n - 1, 1)[context]
-        gains = c * np.log((np.maximum(c - 1 - DISCOUNT, 0) + freed[context] * suffix) / (others * suffix))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.bincount(context, gains, len(n)) + (n - share) * np.where(n > share, np.log(freed / n), 0)
-        states = (gain > GAIN) & (n >= max(LEAST_STATE, STATE * self.n))
-        self.left.append(np.where(states, freed / np.maximum(n, 1), 1.0))
-        self.find.append(Sorted(keys))
-        self.counts.append(c)
-        shorter = self.suffix[-1][context] if len(self.suffix) > 1 else None
-        self.suffix.append(word if shorter is None else self.find[-2].find((shorter << _WORD_BITS) | word))
-
-    def probability(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Probability of listed words after the longest state that is a proper suffix of
-        n-grams of the last level."""
-        places = [context]
-        for level in range(len(self.counts) - 1, 0, -1):
-            places.append(self.suffix[level][places[-1]])
-        p = self.root[word]
-        for level, place in enumerate(reversed(places[1:])):
-            p = self._after(level, place, self.find[level + 1].find((place << _WORD_BITS) | word), p)
-        return p
-
-    def _after(self, level: int, context: np.ndarray, place: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-        left = self.left[level][context]
-        listed = np.where(place >= 0, np.maximum(self.counts[level + 1][place] - DISCOUNT, 0), 0) / np.maximum(self.counts[level][context], 1)
-        return np.where(left < 1, listed, 0) + left * suffix
-
-    def score(self, symbols: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per symbol: its place among the listed words (-1), its probability at the root,
-        and in the tree; of a word that is not listed, the root's part is left out as 1."""
-        places = self.places(symbols, firsts)
-        root = np.where(places[0] >= 0, self.root[places[0]] if len(self.root) else 1.0, 1.0)
-        p = root
-        for level in range(len(self.left)):
-            before = np.empty_like(places[level])
-            before[:1] = -1
-            before[1:] = places[level][:-1]
-            before[firsts] = -1
-            known = before >= 0
-            p = np.where(known, self._after(level, np.maximum(before, 0), places[level + 1], p), p) if known.any() else p
-        return places[0], root, p
+
+class Tree(NamedTuple):
+    """All values as a table ``key, n, root, value``: ``n`` occurrences in the training texts,
+    ``root`` the log10 root probability of a word (null for longer sequences), ``value`` what
+    one occurrence adds to the score of a text. ``n`` symbols, ``v`` distinct."""
+
+    values: DataFrame
+    n: int
+    v: int
+    depth: int
+
+    @property
+    def unseen(self) -> float:
+        """The log10 root probability of a word that no training text holds."""
+        return -float(np.log10(self.n + self.v + 1))
+
+
+def _longer(keys: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Keys of the sequences one word longer than those of ``keys`` that end at each symbol."""
+    before = np.zeros_like(keys)
+    before[1:] = keys[:-1]
+    return ((before << np.uint64(TURN)) | (before >> np.uint64(64 - TURN))) ^ symbols
+
+
+def _longer_sql(key: str, word: str) -> F.Column:
+    return F.expr(f"(shiftleft({key}, {TURN}) | shiftrightunsigned({key}, {64 - TURN})) ^ {word}")
 
 
 def _symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -162,118 +140,199 @@ def _symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         yield first, last, symbols, rows + np.arange(len(rows))
 
 
-def _counted(keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray]):
-    """Counts of keys, combined over what a task holds."""
+def _counted(size: int, known=None):
+    """Counts of contexts of ``size`` words that pass the filter, with their next symbols;
+    combined over what a task holds."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-
-        def combined():
-            keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(place, np.concatenate([c for _, c in held])).astype(np.int64)
+    def combined(held):
+        key, context, word, n = (np.concatenate(x) for x in zip(*held))
+        key, at, place = np.unique(key, return_index=True, return_inverse=True)
+        return key, context[at], word[at], np.bincount(place, n).astype(np.int64)
 
-        def out(keys, counts):
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+    def out(held):
+        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in held[1:]], ["context", "word", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for batch in batches:
             for _, _, symbols, borders in _symbols(batch.column(0)):
-                keys, counts = np.unique(keys_of(symbols, borders[:-1]).astype(np.int64), return_counts=True)
-                held.append((keys, counts))
-                size += len(keys)
-                if size > HELD:
-                    held = [combined()]
-                    size = len(held[0][0])
-                    if size > HELD // 2:
-                        yield out(*held[0])
-                        held, size = [], 0
+                keys, contexts = symbols, np.zeros_like(symbols)
+                at = np.arange(len(symbols))
+                if size:
+                    for _ in range(size - 1):
+                        keys = _longer(keys, symbols)
+                    at = at[at - np.repeat(borders[:-1], np.diff(borders)) >= size]
+                    at = at[known.value.has(keys[at - 1])]
+                    contexts, keys = keys[at - 1], _longer(keys, symbols)
+                keys, place, n = np.unique(keys[at], return_index=True, return_counts=True)
+                held.append((keys, contexts[place], symbols[at][place], n.astype(np.int64)))
+                rows += len(keys)
+                if rows > HELD:
+                    held = [combined(held)]
+                    rows = len(held[0][0])
+                    if rows > HELD // 2:
+                        yield out(held[0])
+                        held, rows = [], 0
         if held:
-            yield out(*combined())
+            yield out(combined(held))
 
     return run
 
 
-def _arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    table = df.toArrow()
-    return tuple(np.asarray(table.column(c).combine_chunks(), np.int64) for c in range(2))
-
-
-def grown(training: DataFrame, stage: Stage) -> tuple[Tree, DataFrame]:
-    """The tree of the training texts (``text``), and the table of all word counts."""
+def grown(training: DataFrame, stage: Stage) -> Tree:
+    """The tree of the training texts (``text``)."""
     spark = training.sparkSession
-    partial = training.mapInArrow(_counted(lambda symbols, _: symbols), "key long, n long")
-    words = stage.keep(partial.groupBy("key").agg(F.sum("n").alias("n")), "words")
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = max(LEAST_LISTED, LISTED * total[0])
-    keys, counts = _arrays(words.filter(F.col("n") >= least))
-    tree = Tree(keys.astype(np.uint64), counts, *total)
-    for level in range(DEPTH):
-        known = spark.sparkContext.broadcast(tree)
-
-        def longer(symbols, firsts, known=known, level=level):
-            tree = known.value
-            places = tree.places(symbols, firsts)
-            before = np.append(-1, places[-1][:-1])
-            keys = tree.keys(places, firsts)
-            # a state needs STATE of all symbols, so shorter-lived contexts are not counted
-            good = (keys >= 0) & (tree.counts[level][np.maximum(before, 0)] >= max(LEAST_STATE, STATE * tree.n)) if len(tree.counts[level]) else keys >= 0
-            return keys[good]
-
-        counted = training.mapInArrow(_counted(longer), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        keys, counts = _arrays(counted.filter(F.col("n") >= least))
-        order = np.argsort(keys)
-        tree.add(keys[order], counts[order])
-    return tree, words
+    partial = training.mapInArrow(_counted(0), "context long, word long, n long")
+    words = stage.keep(partial.groupBy(F.col("word").alias("key")).agg(F.sum("n").alias("n")), "words")
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    root = (F.col("n") + 1) / F.lit(float(n + v + 1))
+    #: sequences of one length: the symbol they end in, their count, what their last symbol's
+    #: probability is after the longest state before it, and what they add to a score
+    level = words.select("key", "n", F.col("key").alias("word"), F.lit(0).cast("long").alias("rest"), root.alias("p"), F.log10(root).alias("value"))
+    states, rows, parts, size = None, None, [], 0
+    while True:
+        size += 1
+        longer = level
+        if states is not None:
+            # the suffix of a context was tested one level before
+            longer = rows.select(_longer_sql("key", "word").alias("key"), F.col("shorter").alias("rest"), F.col("c").alias("n"), "word")
+            longer = longer.join(states.select(F.col("key").alias("rest")), "rest", "left_semi")
+        candidates = longer.filter((F.col("n") >= LEAST_STATE) & (F.col("word") != int(END.astype(np.int64)))).select("key", "rest", "n")
+        candidates = stage.keep(candidates, f"candidates-{size}")
+        known = spark.sparkContext.broadcast(Filter(candidates))
+        counted = training.mapInArrow(_counted(size, known), "context long, word long, n long")
+        counted = counted.groupBy(F.col("context").alias("key"), "word").agg(F.sum("n").alias("c"))
+        counted = stage.keep(counted.filter(F.col("c") >= LEAST_LISTED), f"counted-{size}")
+        listed = counted.groupBy("key").agg(F.sum("c").alias("share"), F.count("*").alias("m"))
+        listed = candidates.join(listed, "key").withColumn("freed", F.col("n") - F.col("share") + DISCOUNT * F.col("m"))
+        rows = counted.join(listed.select("key", "rest", "n", "freed"), "key").withColumn("shorter", _longer_sql("rest", "word"))
+        rows = rows.join(level.select(F.col("key").alias("shorter"), F.col("p").alias("below")), "shorter")
+        rows = stage.keep(rows.select("key", "word", "c", "n", "freed", "below", "shorter"), f"rows-{size}")
+        again = F.greatest(F.col("c") - 1 - DISCOUNT, F.lit(0.0)) + F.col("freed") * F.col("below")
+        gain = F.col("c") * F.log(again / (F.greatest(F.col("n") - 1, F.lit(1)) * F.col("below")))
+        tested = rows.groupBy("key").agg(F.sum(gain).alias("gain"), F.sum("c").alias("share"), F.first("n").alias("n"), F.first("freed").alias("freed"))
+        unlisted = F.when(F.col("n") > F.col("share"), (F.col("n") - F.col("share")) * F.log(F.col("freed") / F.col("n"))).otherwise(0.0)
+        states = tested.filter(F.col("gain") + unlisted > GAIN).select("key", F.col("n").alias("times"), (F.col("freed") / F.col("n")).alias("left"))
+        states = stage.keep(states, f"states-{size}")
+        # sequences of this length are now complete: those that are states add what they leave
+        whole = level.join(states, "key", "full").select(
+            "key", F.coalesce("n", "times").alias("n"),
+            (F.log10("p") if size == 1 else F.lit(None).cast("double")).alias("root"),
+            (F.coalesce("value", F.lit(0.0)) + F.coalesce(F.log10("left"), F.lit(0.0))).alias("value"),
+        )
+        parts.append(stage.keep(whole, f"values-{size}"))
+        stage.drop(f"candidates-{size}", f"counted-{size}")
+        if states.isEmpty():
+            break
+        after = F.col("left") * F.col("below")
+        p = (F.col("c") - DISCOUNT) / F.col("n") + after
+        level = rows.join(states, "key").select(_longer_sql("key", "word").alias("key"), F.col("c").alias("n"), p.alias("p"), F.log10(p / after).alias("value"))
+        level = stage.keep(level, f"level-{size}")
+    values = parts[0]
+    for part in parts[1:]:
+        values = values.unionByName(part)
+    return Tree(values, n, v, len(parts))
+
+
+class Hot(NamedTuple):
+    """Values of the most frequent sequences, and a filter of the others."""
+
+    places: Sorted
+    root: np.ndarray
+    value: np.ndarray
+    others: Filter
+    depth: int
+
+
+def _hot(tree: Tree) -> tuple[Hot, DataFrame]:
+    """What is broadcast, and the table of all other values."""
+    bits = F.floor(F.log2("n"))
+    sizes = dict(tree.values.groupBy(bits.alias("bits")).agg(F.count("*")).collect())
+    # whole powers of two from above, as long as they fit
+    total, least = 0, 64
+    for bit in sorted(sizes, reverse=True):
+        total += sizes[bit]
+        if total > HOT:
+            break
+        least = bit
+    table = tree.values.filter(bits >= least).select("key", "root", "value").toArrow()
+    key, root, value = (table.column(c).combine_chunks() for c in range(3))
+    others = tree.values.filter(bits < least).select("key", "root", "value")
+    known = Hot(Sorted(np.asarray(key, np.int64).view(np.uint64)), np.asarray(root.fill_null(np.nan), float), np.asarray(value, float), Filter(others), tree.depth)
+    return known, others
 
 
 def _scored(known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = known.value
+        hot = known.value
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, last, symbols, borders in _symbols(batch.column(2)):
-                place, root, p = tree.score(symbols, borders[:-1])
-                rare = place < 0
-                words = symbols[rare].astype(np.int64)
-                ends = np.concatenate([[0], np.cumsum(rare)])[borders]
+                size = last - first
+                sizes = np.diff(borders)
+                row = np.repeat(np.arange(size), sizes)
+                inside = np.arange(len(symbols)) - np.repeat(borders[:-1], sizes)
+                n_known, base, score = np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
+                cold: list[tuple[np.ndarray, np.ndarray]] = []
+                keys, at = symbols, np.arange(len(symbols))
+                for level in range(hot.depth):
+                    place = hot.places.find(keys[at])
+                    hit = place >= 0
+                    where, place = row[at[hit]], place[hit]
+                    if not level:
+                        n_known += np.bincount(where, minlength=size)
+                        base += np.bincount(where, hot.root[place], size)
+                    score += np.bincount(where, hot.value[place], size)
+                    rest = at[~hit]
+                    rest = rest[hot.others.has(keys[rest])]
+                    cold.append((row[rest], keys[rest]))
+                    # a longer sequence is in the tree only if its suffix is
+                    alive = np.concatenate([at[hit], rest])
+                    at = np.sort(alive[inside[alive] > level])
+                    if not len(at):
+                        break
+                    keys = _longer(keys, symbols)
+                where, other = (np.concatenate(x) for x in zip(*cold))
+                order = np.argsort(where, kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(where, minlength=size))])
                 columns = [
-                    pa.array(np.arange(number, number + last - first)),
+                    pa.array(np.arange(number, number + size)),
                     batch.column(0)[first:last],
                     batch.column(1)[first:last],
-                    pa.array(np.diff(borders)),
-                    pa.array(np.add.reduceat(~rare, borders[:-1]).astype(np.int64)),
-                    pa.array(np.add.reduceat(np.log10(root), borders[:-1])),
-                    pa.array(np.add.reduceat(np.log10(p), borders[:-1])),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words)),
+                    pa.array(sizes.astype(np.int64)),
+                    *(pa.array(x) for x in (n_known, base, score)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(other[order].view(np.int64))),
                 ]
-                number += last - first
-                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "n_listed", "base", "tree", "rare"])
+                number += size
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "others"])
 
     return run
 
 
+def told(rows: DataFrame, tree: Tree, stage: Stage) -> DataFrame:
+    """Scores of ``doc_id, held_out, text``."""
+    hot, others = _hot(tree)
+    known = rows.sparkSession.sparkContext.broadcast(hot)
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, others array<long>"
+    found = stage.keep(rows.mapInArrow(_scored(known), schema), "scored")
+    rare = found.select("row", F.explode("others").alias("key")).join(others, "key")
+    rare = rare.groupBy("row").agg(F.count("root").alias("r_known"), F.sum("root").alias("r_base"), F.sum("value").alias("r_score"))
+    joined = found.drop("others").join(rare, "row", "left")
+    none = F.lit(0.0)
+    n_known = F.col("n_known") + F.coalesce("r_known", F.lit(0))
+    unseen = (F.col("n_tokens") - n_known) * F.lit(tree.unseen)
+    return joined.select(
+        "doc_id", "held_out", "n_tokens", n_known.alias("n_known"),
+        F.lit(tree.n).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("r_base", none) + unseen).alias("base_score"),
+        (F.col("score") + F.coalesce("r_score", none) + unseen).alias("score"),
+    )
+
+
 def scores(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """Scores of every text by a tree learnt from the rows whose crc32 of the id modulo
     ``folds`` is not ``held``: base (root only) and tree, in log10."""
-    spark = docs.sparkSession
-    stage = Stage(spark, "suffix-tree")
+    stage = Stage(docs.sparkSession, "suffix-tree")
     out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(folds)) == held
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), out.alias("held_out"), "text")
-    tree, words = grown(rows.filter(~F.col("held_out")).select("text"), stage)
-    known = spark.sparkContext.broadcast(tree)
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_listed long, base double, tree double, rare array<long>"
-    found = stage.keep(rows.mapInArrow(_scored(known), schema), "scored")
-    rare = found.select("row", F.explode("rare").alias("key")).join(words, "key", "left")
-    rare = rare.groupBy("row").agg(
-        F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(tree.n + tree.v + 1)))).alias("more"),
-        F.count("n").alias("n_rare"),
-    )
-    joined = found.drop("rare").join(rare, "row", "left")
-    more = F.coalesce("more", F.lit(0.0))
-    return joined.select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_listed") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-        F.lit(tree.n).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"),
-        (F.col("tree") + more).alias("score"),
-    )
+    return told(rows, grown(rows.filter(~F.col("held_out")).select("text"), stage), stage)

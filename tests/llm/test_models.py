@@ -114,26 +114,103 @@ def test_suffix_tree_scores(spark):
     assert sum(g.score for g in told) > sum(g.base_score for g in told)
 
 
-def test_suffix_tree_is_a_distribution_and_uses_contexts(spark):
-    texts = ["a b c d"] * 40 + ["x b y d"] * 40 + [None, ""]
-    docs = documents(spark, *texts)
-    tree, words = suffix_tree.grown(docs.select("text"), suffix_tree.Stage(spark, "t"))
-    keys = np.array([r.key for r in words.collect()], np.int64).astype(np.uint64)
-    symbols = {w: next(suffix_tree._symbols(pa.array([w])))[2][0] for w in "abcdxy"}
-
-    def after(*context):
-        out = []
-        for key in keys:
-            line = np.array([*(symbols[c] for c in context), key], np.uint64)
-            out.append(tree.score(line, np.array([0]))[2][-1])
-        return dict(zip(keys.tolist(), out))
-
-    for context in ((), ("a",), ("a", "b"), ("x", "b"), ("d",)):
-        p = after(*context)
-        assert sum(p.values()) + 1 / (tree.n + tree.v + 1) == pytest.approx(1, abs=2e-2 if context else 1e-9)
-    assert after("a", "b")[int(symbols["c"])] > 0.8 > after("b")[int(symbols["c"])] > 0.3
-    empty = suffix_tree.scores(docs.limit(0))
-    assert empty.collect() == []
+class PlainTree:
+    """The same model over tuples of words, one symbol at a time."""
+
+    def __init__(self, texts):
+        self.lines = [words_of(t) for t in texts]
+        self.words = Counter(w for line in self.lines for w in line)
+        self.n, self.v = sum(self.words.values()), len(self.words)
+        self.states, asked, size = {}, set(), 0
+        while True:
+            size += 1
+            after: dict = {}
+            for line in self.lines:
+                for i in range(size, len(line)):
+                    after.setdefault(tuple(line[i - size : i]), Counter())[line[i]] += 1
+            new = {}
+            asked = {c for c, told in after.items() if sum(told.values()) >= suffix_tree.LEAST_STATE and (size == 1 or c[1:] in self.states and c[:-1] in asked)}
+            for context in asked:
+                told = after[context]
+                n, listed = sum(told.values()), {w: c for w, c in told.items() if c >= suffix_tree.LEAST_LISTED}
+                if not listed:
+                    continue
+                share = sum(listed.values())
+                freed = n - share + suffix_tree.DISCOUNT * len(listed)
+                gain = (n - share) * math.log(freed / n) if n > share else 0.0
+                for w, c in listed.items():
+                    below = self.p(context[1:], w)
+                    gain += c * math.log((max(c - 1 - suffix_tree.DISCOUNT, 0) + freed * below) / ((n - 1) * below))
+                if gain > suffix_tree.GAIN:
+                    new[context] = listed, n, freed / n
+            self.states.update(new)
+            if not new:
+                break
+
+    def p(self, context, word):
+        """After the longest suffix of ``context`` that is a state."""
+        if not context:
+            return (self.words[word] + 1) / (self.n + self.v + 1)
+        below = self.p(context[1:], word)
+        if context not in self.states:
+            return below
+        listed, n, left = self.states[context]
+        return (max(listed[word] - suffix_tree.DISCOUNT, 0) / n if word in listed else 0) + left * below
+
+    def score(self, text):
+        line = words_of(text)
+        deepest = max(map(len, self.states), default=0)
+        return sum(math.log10(self.p(tuple(line[max(0, i - deepest) : i]), w)) for i, w in enumerate(line))
+
+
+def phrases():
+    turn = random.Random(5)
+    out = ["a b c d e"] * 30 + ["x b c y e"] * 30 + ["a b c d f g"] * 20 + ["q b c d z"] * 20
+    for _ in range(60):
+        out.append(" ".join(turn.choice("a b c d e x y q z".split()) for _ in range(turn.randrange(12))))
+    return out
+
+
+def test_suffix_tree_equals_a_plain_one(spark, monkeypatch):
+    lines = [*phrases(), None, "", "unseen Words here", "a B\tc d e"]
+    docs = documents(spark, *lines)
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(lines))]
+    plain = PlainTree([t for t, out in zip(lines, held) if not out])
+    assert max(map(len, plain.states)) >= 3
+    got = by_id(suffix_tree.scores(docs))
+    for i, line in enumerate(lines):
+        assert got[i].score == pytest.approx(plain.score(line)), line
+    for context in ((), ("b",), ("b", "c"), ("a", "b", "c"), ("never",)):
+        assert sum(plain.p(context, w) for w in plain.words) + 1 / (plain.n + plain.v + 1) == pytest.approx(1, abs=1e-2)
+    # nothing is frequent enough to be broadcast, and the filter says yes to nearly everything
+    monkeypatch.setattr(suffix_tree, "HOT", 0)
+    monkeypatch.setattr(suffix_tree, "FILTER_BITS", 7)
+    cold = by_id(suffix_tree.scores(docs))
+    for i in got:
+        assert (cold[i].n_known, cold[i].held_out) == (got[i].n_known, got[i].held_out)
+        assert cold[i].score == pytest.approx(got[i].score) and cold[i].base_score == pytest.approx(got[i].base_score)
+
+
+def test_suffix_tree_keeps_contexts_in_a_larger_corpus(spark):
+    def states(name, lines):
+        stage = suffix_tree.Stage(spark, name)
+        tree = suffix_tree.grown(documents(spark, *lines).select("text"), stage)
+        return [{r.key for r in spark.read.parquet(f"{stage.folder}/states-{k}").collect()} for k in range(1, tree.depth + 1)]
+
+    turn = random.Random(6)
+    others = [" ".join(f"w{turn.randrange(300)}" for _ in range(60)) for _ in range(400)]
+    alone, among = states("alone", phrases()), states("among", phrases() + others)
+    assert len(alone) > 3 and all(small <= large for small, large in zip(alone, among))
+
+
+def test_suffix_tree_of_odd_rows(spark):
+    docs = documents(spark, *phrases())
+    assert suffix_tree.scores(docs.limit(0)).collect() == []
+    odd = docs.limit(1).withColumn("doc_id", F.lit(None).cast("long"))
+    rows = suffix_tree.scores(docs.unionByName(docs).unionByName(odd).withColumn("key", F.lit(1))).collect()
+    assert len(rows) == 2 * docs.count() + 1
+    assert [(r.held_out, r.n_tokens) for r in rows if r.doc_id is None] == [(False, len(words_of(docs.first().text)))]
+    assert len({(r.doc_id, round(r.score, 9)) for r in rows}) == docs.count() + 1
 
 
 def test_toxicity_of_held_out_rows(spark):
