@@ -18,8 +18,8 @@ state adds by how much it is likelier than ``left * p``, every word adds its roo
 tree is a table of such values by the 64-bit key of the sequence, and scoring is a join of
 the texts' sequences with it.
 
-What is broadcast has a fixed size: values of the ``HOT`` most frequent sequences, summed
-where the texts are read, and a bit filter of ``2 ** FILTER_BITS`` bits that says which other
+What is broadcast has a bounded size: values of the ``HOT`` most frequent sequences, summed
+where the texts are read, and a bit filter of at most ``2 ** FILTER_BITS`` bits that says which other
 sequences may be in the table. A filter that fills up lets more keys into the join, which is
 exact, so results do not depend on it. Counts of candidates pass through such a filter and an
 exact join, too.
@@ -43,55 +43,54 @@ from pyspark.sql import functions as F
 from lineloom.llm import texts
 from lineloom.llm.stage import Stage
 
-LEAST_STATE, LEAST_LISTED = 4, 2
+LEAST_STATE, LEAST_LISTED = 16, 4
 DISCOUNT, GAIN = 0.75, 10.0
 #: The symbol for the end of a text.
 END = np.uint64(0x9D5C0FB8A1E3F2C7)
 #: Distinct keys that a task holds before it passes their counts on.
 HELD = 1 << 21
 #: Sequences whose values are broadcast, and bits of a filter.
-HOT, FILTER_BITS = 1 << 21, 27
+HOT, FILTER_BITS = 1 << 20, 27
 #: The key of a sequence and one more word: the key turned by so many bits, and the word's.
 TURN = 23
 
 
 class Sorted:
-    """Places of 64-bit keys in a sorted array, by their leading bits and a short walk."""
+    """Places of 64-bit keys in the order of their mixed values, by leading bits and a short walk."""
 
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys.astype(np.uint64)
-        mixed = texts.mix(self.keys)
-        self.order = np.argsort(mixed)
-        self.mixed = np.append(mixed[self.order], np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.bits = np.uint64(max(44, 64 - max(1, int(len(keys)).bit_length())))
-        self.first = np.searchsorted(self.mixed[:-1], np.arange((1 << (64 - int(self.bits))), dtype=np.uint64) << self.bits)
+    def __init__(self, mixed: np.ndarray):
+        self.mixed = np.append(mixed, np.uint64(0xFFFFFFFFFFFFFFFF))
+        self.bits = np.uint64(max(44, 64 - max(1, len(mixed).bit_length())))
+        self.first = np.searchsorted(mixed, np.arange((1 << (64 - int(self.bits))), dtype=np.uint64) << self.bits).astype(np.int32)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """The place of each key, -1 where it is missing."""
         out = np.full(len(wanted), -1, np.int64)
-        if not len(self.keys) or not len(wanted):
+        size = len(self.mixed) - 1
+        if not size or not len(wanted):
             return out
-        mixed = texts.mix(wanted.astype(np.uint64))
-        at = self.first[mixed >> self.bits]
+        mixed = texts.mix(wanted)
+        at = self.first[mixed >> self.bits].astype(np.int64)
         rows = np.arange(len(wanted))
         while len(rows):
             here = self.mixed[at]
-            hit = (here == mixed) & (at < len(self.order))
-            out[rows[hit]] = self.order[at[hit]]
+            hit = (here == mixed) & (at < size)
+            out[rows[hit]] = at[hit]
             more = here < mixed
             rows, at, mixed = rows[more], at[more] + 1, mixed[more]
         return out
 
 
 class Filter:
-    """Keys that may be in a table: two bits for each of its keys are set."""
+    """Keys that may be in a staged table: two bits for each of its keys are set, of 16 for a
+    key and at most ``2 ** FILTER_BITS``."""
 
     def __init__(self, keys: DataFrame):
-        self.mask = (1 << FILTER_BITS) - 1
+        self.mask = (1 << min(FILTER_BITS, max(10, (16 * keys.count()).bit_length()))) - 1
         spots = keys.select(F.expr(f"explode(array(key & {self.mask}L, shiftrightunsigned(key, 32) & {self.mask}L)) AS spot"))
         spots = spots.groupBy(F.expr("shiftright(spot, 6)").alias("place"))
         table = spots.agg(F.expr("bit_or(shiftleft(1L, CAST(spot & 63L AS INT)))").alias("bits")).toArrow()
-        self.bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        self.bits = np.zeros((self.mask >> 6) + 1, np.uint64)
         place, bits = (np.asarray(table.column(c).combine_chunks(), np.int64) for c in range(2))
         self.bits[place] = bits.astype(np.uint64)
 
@@ -140,9 +139,10 @@ def _symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         yield first, last, symbols, rows + np.arange(len(rows))
 
 
-def _counted(size: int, known=None):
-    """Counts of contexts of ``size`` words that pass the filter, with their next symbols;
-    combined over what a task holds."""
+def _counted(size: int, contexts=None, listed=None, keys_only: bool = False):
+    """Counts of contexts of ``size`` words that pass the filter ``contexts``, with their next
+    symbols, or of the keys of both; combined over what a task holds. ``listed`` passes the
+    symbols after one word by the key of both, after more words by that of the suffix and the symbol."""
 
     def combined(held):
         key, context, word, n = (np.concatenate(x) for x in zip(*held))
@@ -150,22 +150,28 @@ def _counted(size: int, known=None):
         return key, context[at], word[at], np.bincount(place, n).astype(np.int64)
 
     def out(held):
-        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in held[1:]], ["context", "word", "n"])
+        key, context, word, n = (pa.array(x.view(np.int64)) for x in held)
+        return pa.RecordBatch.from_arrays([key, n] if keys_only else [context, word, n], ["key", "n"] if keys_only else ["context", "word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
         for batch in batches:
             for _, _, symbols, borders in _symbols(batch.column(0)):
-                keys, contexts = symbols, np.zeros_like(symbols)
+                keys = symbols
                 at = np.arange(len(symbols))
                 if size:
                     for _ in range(size - 1):
                         keys = _longer(keys, symbols)
                     at = at[at - np.repeat(borders[:-1], np.diff(borders)) >= size]
-                    at = at[known.value.has(keys[at - 1])]
-                    contexts, keys = keys[at - 1], _longer(keys, symbols)
+                    at = at[contexts.value.has(keys[at - 1])]
+                    before, keys = keys, _longer(keys, symbols)
+                    if listed is not None:
+                        at = at[listed.value.has(keys[at] if size == 1 else before[at])]
+                    context = before[at - 1]
+                else:
+                    context = np.zeros_like(symbols)
                 keys, place, n = np.unique(keys[at], return_index=True, return_counts=True)
-                held.append((keys, contexts[place], symbols[at][place], n.astype(np.int64)))
+                held.append((keys, context[place], symbols[at][place], n.astype(np.int64)))
                 rows += len(keys)
                 if rows > HELD:
                     held = [combined(held)]
@@ -182,8 +188,8 @@ def _counted(size: int, known=None):
 def grown(training: DataFrame, stage: Stage) -> Tree:
     """The tree of the training texts (``text``)."""
     spark = training.sparkSession
-    partial = training.mapInArrow(_counted(0), "context long, word long, n long")
-    words = stage.keep(partial.groupBy(F.col("word").alias("key")).agg(F.sum("n").alias("n")), "words")
+    words = training.mapInArrow(_counted(0, keys_only=True), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    words = stage.keep(words, "words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     root = (F.col("n") + 1) / F.lit(float(n + v + 1))
     #: sequences of one length: the symbol they end in, their count, what their last symbol's
@@ -200,12 +206,22 @@ def grown(training: DataFrame, stage: Stage) -> Tree:
         candidates = longer.filter((F.col("n") >= LEAST_STATE) & (F.col("word") != int(END.astype(np.int64)))).select("key", "rest", "n")
         candidates = stage.keep(candidates, f"candidates-{size}")
         known = spark.sparkContext.broadcast(Filter(candidates))
-        counted = training.mapInArrow(_counted(size, known), "context long, word long, n long")
+        if size == 1:
+            # most pairs of words stand once: only their keys are dealt, then what is listed is counted
+            pairs = training.mapInArrow(_counted(1, known, keys_only=True), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+            listed = stage.keep(pairs.filter(F.col("n") >= LEAST_LISTED).select("key"), "pairs")
+        else:
+            # a symbol is listed after a context only if it is after the suffix
+            listed = rows.select(_longer_sql("key", "word").alias("key"))
+        listed = spark.sparkContext.broadcast(Filter(listed))
+        counted = training.mapInArrow(_counted(size, known, listed), "context long, word long, n long")
         counted = counted.groupBy(F.col("context").alias("key"), "word").agg(F.sum("n").alias("c"))
         counted = stage.keep(counted.filter(F.col("c") >= LEAST_LISTED), f"counted-{size}")
-        listed = counted.groupBy("key").agg(F.sum("c").alias("share"), F.count("*").alias("m"))
-        listed = candidates.join(listed, "key").withColumn("freed", F.col("n") - F.col("share") + DISCOUNT * F.col("m"))
-        rows = counted.join(listed.select("key", "rest", "n", "freed"), "key").withColumn("shorter", _longer_sql("rest", "word"))
+        known.destroy()
+        listed.destroy()
+        freed = counted.groupBy("key").agg(F.sum("c").alias("share"), F.count("*").alias("m"))
+        freed = candidates.join(freed, "key").withColumn("freed", F.col("n") - F.col("share") + DISCOUNT * F.col("m"))
+        rows = counted.join(freed.select("key", "rest", "n", "freed"), "key").withColumn("shorter", _longer_sql("rest", "word"))
         rows = rows.join(level.select(F.col("key").alias("shorter"), F.col("p").alias("below")), "shorter")
         rows = stage.keep(rows.select("key", "word", "c", "n", "freed", "below", "shorter"), f"rows-{size}")
         again = F.greatest(F.col("c") - 1 - DISCOUNT, F.lit(0.0)) + F.col("freed") * F.col("below")
@@ -258,7 +274,10 @@ def _hot(tree: Tree) -> tuple[Hot, DataFrame]:
     table = tree.values.filter(bits >= least).select("key", "root", "value").toArrow()
     key, root, value = (table.column(c).combine_chunks() for c in range(3))
     others = tree.values.filter(bits < least).select("key", "root", "value")
-    known = Hot(Sorted(np.asarray(key, np.int64).view(np.uint64)), np.asarray(root.fill_null(np.nan), float), np.asarray(value, float), Filter(others), tree.depth)
+    mixed = texts.mix(np.asarray(key, np.int64).view(np.uint64))
+    order = np.argsort(mixed)
+    root, value = np.asarray(root.fill_null(0.0), float)[order], np.asarray(value, float)[order]
+    known = Hot(Sorted(mixed[order]), root, value, Filter(others), tree.depth)
     return known, others
 
 

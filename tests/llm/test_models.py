@@ -184,7 +184,7 @@ def test_suffix_tree_equals_a_plain_one(spark, monkeypatch):
         assert sum(plain.p(context, w) for w in plain.words) + 1 / (plain.n + plain.v + 1) == pytest.approx(1, abs=1e-2)
     # nothing is frequent enough to be broadcast, and the filter says yes to nearly everything
     monkeypatch.setattr(suffix_tree, "HOT", 0)
-    monkeypatch.setattr(suffix_tree, "FILTER_BITS", 7)
+    monkeypatch.setattr(suffix_tree, "FILTER_BITS", 6)
     cold = by_id(suffix_tree.scores(docs))
     for i in got:
         assert (cold[i].n_known, cold[i].held_out) == (got[i].n_known, got[i].held_out)
