@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lineloom.operators import java
+from pyspark.sql import functions as F
+
+from lineloom.operators import graph, java
 from lineloom.operators.lines import numbered_lines
 from lineloom.session import staged
 
@@ -43,3 +45,21 @@ def test_a_long_file_leaves_short_ones_in_place(spark):
     lines = staged(numbered_lines(files, "java"))
     found = java.line_context(lines)
     assert rows(found) == rows(java.line_context(lines, block=64).select(*found.columns))
+
+
+def test_chains_broadcast_no_ways(spark, monkeypatch):
+    plans = []
+
+    def seen(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, *rest)
+
+    monkeypatch.setattr(graph, "staged", seen)
+    node = F.struct(F.lit("f").alias("file"), F.col("id").alias("line"))
+    before = F.struct(F.lit("f").alias("file"), (F.col("id") - 1).alias("line"))
+    links = spark.range(1, 100).select(node.alias("node"), before.alias("next"))
+    found = graph.chains(links, spark.range(90, 100, 3).select(node.alias("node")))
+    assert sorted((r.seed.line, r.step, r.node.line) for r in found.collect()) == [
+        (s, i, s - i) for s in (90, 93, 96, 99) for i in range(s + 1)
+    ]
+    assert sum("Broadcast" in p for p in plans) == 0
