@@ -63,3 +63,19 @@ def test_chains_broadcast_no_ways(spark, monkeypatch):
         (s, i, s - i) for s in (90, 93, 96, 99) for i in range(s + 1)
     ]
     assert sum("Broadcast" in p for p in plans) == 0
+
+
+def test_graph_moves_no_line(spark, monkeypatch):
+    lines = by_file(spark)
+    spans = staged(java.declarations(lines), "file_path", 4)
+    moved = []
+
+    def seen(df, *rest):
+        moved.append(exchanges(df))
+        return staged(df, *rest)
+
+    monkeypatch.setattr(graph, "staged", seen)
+    built = graph.build(lines, spans, keep=lambda df: seen(df, "file_path", 4))
+    # only the starts that elements outside methods share come together
+    assert moved == [0, 0] and exchanges(built) == 1
+    assert rows(built) == rows(graph.build(lines, spans, block=4).select(*built.columns))
