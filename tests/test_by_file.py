@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lineloom.operators import graph, java
+from lineloom.operators import graph, java, query
 from lineloom.operators.lines import numbered_lines
 from lineloom.session import staged
+from lineloom.sources import stores
 
 ODD = """package a.b;
 /** Outer. */
@@ -79,3 +80,14 @@ def test_graph_moves_no_line(spark, monkeypatch):
     # only the starts that elements outside methods share come together
     assert moved == [0, 0] and exchanges(built) == 1
     assert rows(built) == rows(graph.build(lines, spans, block=4).select(*built.columns))
+
+
+def test_loads_move_a_line_once(spark):
+    kept = query.stored_lines(staged(java.line_context(by_file(spark)), "file_path", 4))
+    stored = kept.where("file_line_no % 2 = 0").unionByName(kept.where("file_line_no = 2"))
+    twice = kept.where("file_path <> 'f1'").unionByName(kept.where("file_line_no < 5"))
+    loaded = stores.new_lines(stored, twice, within="file_path")
+    report = stores.load_report(stored, twice, within="file_path")
+    assert exchanges(loaded) <= 1 and exchanges(report) <= 1
+    assert rows(loaded) == rows(stores.new_lines(stored, twice)) != []
+    assert rows(report) == rows(stores.load_report(stored, twice))
