@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lineloom.operators import graph, java, query
 from lineloom.operators.lines import numbered_lines
-from lineloom.session import staged
+from lineloom.session import staged, staged_by
 from lineloom.sources import stores
 
 ODD = """package a.b;
@@ -50,12 +50,8 @@ def test_a_long_file_leaves_short_ones_in_place(spark):
 
 def test_chains_broadcast_no_ways(spark, monkeypatch):
     plans = []
-
-    def seen(df, *rest):
-        plans.append(df._jdf.queryExecution().executedPlan().toString())
-        return staged(df, *rest)
-
-    monkeypatch.setattr(graph, "staged", seen)
+    for name, real in (("staged", staged), ("staged_by", staged_by)):
+        monkeypatch.setattr(graph, name, lambda df, *rest, real=real: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, *rest))
     node = F.struct(F.lit("f").alias("file"), F.col("id").alias("line"))
     before = F.struct(F.lit("f").alias("file"), (F.col("id") - 1).alias("line"))
     links = spark.range(1, 100).select(node.alias("node"), before.alias("next"))
