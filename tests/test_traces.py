@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from lineloom.operators import trace
+from lineloom.session import staged
 from tests.conftest import plan, rows
 
 TRACE = """
@@ -76,3 +77,20 @@ def test_a_method_that_many_files_declare(spark):
     assert [(r.line_no, r.source) for r in one.context.lines] == [(n, s) for n, s, _ in around]
     # equal lines are counted in tasks of their own before they meet in one context
     assert "partial_count" in plan(found) and plan(found).count("hashpartitioning(class") >= 2
+
+
+def test_lines_and_traces_move_once(spark):
+    data = [(f"f{i}", f"p.C{i}", "m", n, f"{i} line {n}") for i in range(20) for n in range(1, 400)]
+    data += [(f"g{i}", "p.Twice", "m", n, f"{i} line {n}") for i in range(3) for n in range(9)]
+    schema = "file_path string, parent_type string, parent_method string, file_line_no int, source string"
+    lines = spark.createDataFrame(data, schema)
+    lines = staged(lines.repartition(4, "file_path"), "file_path", 4)
+    frames = [f" at p.C{i % 25}.m(C.java:{i % 450})" for i in range(900)] + [f" at p.Twice.m(T.java:{i})" for i in range(30)]
+    rooted = trace.with_root(traces(spark, *frames, "none", " at p.C1.k(C.java:5)"), ["p."])
+    contexts = trace.method_context(rooted.select("root.class", "root.method", "root.line"), lines)
+    key = ["class", "method", "line"]
+    before = rooted.select("trace_id", "root.*").join(contexts, key, "left").select("trace_id", "context")
+    found = trace.with_context(rooted, lines)
+    assert rows(found.select("trace_id", "context")) == rows(before)
+    once = trace.with_context(rooted, lines.where("parent_type <> 'p.Twice'"))
+    assert plan(once).count("Exchange ") == 2
