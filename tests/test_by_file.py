@@ -87,3 +87,44 @@ def test_loads_move_a_line_once(spark):
     assert exchanges(loaded) <= 1 and exchanges(report) <= 1
     assert rows(loaded) == rows(stores.new_lines(stored, twice)) != []
     assert rows(report) == rows(stores.load_report(stored, twice))
+
+
+def test_edges_move_names_only(spark, monkeypatch):
+    text = "package {p};\nclass {c} {{\n  {c}() {{ a(); }}\n  void a() {{ b(1); B.far(); gone(); near(2); }}\n  void b(int x) {{ new D(); A.b(); a(a()); }}\n  {more}\n}}\n"
+    many = [("f|A", "p", "A", "void far() {}"), ("fB", "p", "B", "void far() {} void near(int y) {}"), ("fC", "q", "C", "void near(int y) {}"), ("fD", "r", "D", "")]
+    files = spark.createDataFrame([(f, text.format(p=p, c=c, more=more)) for f, p, c, more in many], ["file_path", "content"])
+    lines = staged(numbered_lines(files.repartition(4, "file_path"), "java"), "file_path", 4)
+    elements = staged(graph.build(lines, java_spans(lines)).repartition(4, "file_path"), "file_path", 4)
+    moved = []
+    monkeypatch.setattr(graph, "staged", lambda df, *rest: moved.append(df._jdf.queryExecution().executedPlan().toString()) or staged(df, *rest))
+    found = graph.edges(elements)
+    # what is found beyond a file is sent to where the elements lie
+    assert "Exchange hashpartitioning" not in moved[-1] and exchanges(found.where("kind <> 'TARGET'")) == 0
+    few = rows(found)
+    monkeypatch.setattr(graph, "FEW", 0)
+    assert rows(graph.edges(elements)) == few
+
+    # by the rules, one by one
+    nodes = elements.collect()
+    known = lambda e: e.parent_id.split("|")[-1] if e.name == "<init>" else e.name
+    methods = [(e.node_id, e.parent_id.split("|")[-1], e.file_path, e.package or "", known(e)) for e in nodes if e.kind == "method"]
+    pairs = set()
+    for e in nodes:
+        if e.kind != "call":
+            continue
+        same = [m for m in methods if m[4] == e.name]
+        for scope in ([m for m in same if e.receiver and m[1] == e.receiver], [m for m in same if m[2] == e.file_path], [m for m in same if m[3] == (e.package or "")], same):
+            if scope:
+                pairs |= {(e.parent_id, e.node_id, m[0]) for m in scope}
+                break
+    assert pairs and {tuple(r) for r in graph.method_calls(found).collect()} == pairs
+    assert {c.split("|")[-1] for _, c, _ in pairs} == {"a", "b", "far", "near", "D"}
+
+    told = {n: c.alias(n) for n, c in graph.place_of(F.col("node_id")).items()}
+    read = elements.select(*told.values())
+    assert rows(read) == rows(elements.select("file_path", "line_number", "name"))
+    assert {r.kind for r in elements.where(graph.is_method(F.col("node_id"))).collect()} == {"method"}
+
+
+def java_spans(lines):
+    return staged(java.declarations(lines))
