@@ -121,6 +121,19 @@ def test_hashed_vectors_count_every_token(spark):
     assert all(got[i][b] == tf for (i, b), tf in sparse.items())
 
 
+def test_vectors_are_counted_in_the_row_of_their_text(spark):
+    odd = "a\u00a0b \u2003 \U0001f600\U0001f600 é_é\x0b\x1c.. don't A1_b\n\r\t"
+    texts = [(1, odd), (2, ""), (3, None), (4, " \n"), (5, "x " * 5000 + odd), (6, "one two"), (6, "two, three"), (None, "lost")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    found = embed.hash_vectors(df, "id", "t", 16)
+    assert plan(found).count("Exchange hashpartitioning") == 1 and "Generate" not in plan(found)
+    got = {r.id: r.embedding for r in found.collect()}
+    want = {}
+    for r in embed.hash_buckets(df, "id", "t", 16).collect():
+        want.setdefault(r.id, [0.0] * 16)[r.bucket] = float(r.tf)
+    assert got == want and set(got) == {1, 5, 6, None}
+
+
 def points(spark, n=200, dim=8):
     draw = np.random.default_rng(4)
     matrix = draw.normal(size=(n, dim)).round(1)
