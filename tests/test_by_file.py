@@ -41,6 +41,16 @@ def test_line_context_moves_no_line(spark):
     assert rows(found) == rows(java.line_context(lines, block=4).select(*found.columns))
 
 
+def test_chunks_move_no_line(spark):
+    lines = by_file(spark)
+    found = java.chunks(lines, limit=2)
+    assert exchanges(found) == 0
+    assert rows(found) == rows(java.chunks(lines, limit=2, block=4)) != []
+    files = spark.createDataFrame([("short", ODD), ("long", ODD * 150)], ["file_path", "content"])
+    mixed = staged(numbered_lines(files, "java"))
+    assert rows(java.chunks(mixed)) == rows(java.chunks(mixed, block=64))
+
+
 def test_a_long_file_leaves_short_ones_in_place(spark):
     files = spark.createDataFrame([("short", ODD), ("long", ODD * 150)], ["file_path", "content"])
     lines = staged(numbered_lines(files, "java"))

@@ -121,6 +121,15 @@ def test_hashed_vectors_count_every_token(spark):
     assert all(got[i][b] == tf for (i, b), tf in sparse.items())
 
 
+def test_results_carry_what_is_kept(spark):
+    texts = [(f"c{i}", "x " * (i % 7), None if i % 3 else f"n{i}", i) for i in range(40)] + [("long", "x " * 50, "far", 1)]
+    chunks = quality.validate(spark.createDataFrame(texts, "chunk_id string, source string, name string, chunk_no int"), max_tokens=20)
+    found = embed.embed(chunks, lambda ts: [[float(len(t))] for t in ts], limit=9, kept=["name", "source", "chunk_no"])
+    joined = embed.embed(chunks, lambda ts: [[float(len(t))] for t in ts], limit=9).join(chunks.select("chunk_id", "name", "source", "chunk_no"), "chunk_id")
+    assert "Join" not in plan(found)
+    assert rows(found.select(*joined.columns)) == rows(joined) and found.count() == 40
+
+
 def test_vectors_are_counted_in_the_row_of_their_text(spark):
     odd = "a\u00a0b \u2003 \U0001f600\U0001f600 é_é\x0b\x1c.. don't A1_b\n\r\t"
     texts = [(1, odd), (2, ""), (3, None), (4, " \n"), (5, "x " * 5000 + odd), (6, "one two"), (6, "two, three"), (None, "lost")]
