@@ -22,7 +22,8 @@ What is broadcast has a bounded size: values of the ``HOT`` most frequent sequen
 where the texts are read, and a bit filter of at most ``2 ** FILTER_BITS`` bits that says which other
 sequences may be in the table. A filter that fills up lets more keys into the join, which is
 exact, so results do not depend on it. Counts of candidates pass through such a filter and an
-exact join, too.
+exact join, too. Which pairs of words may be listed is told by counts of the first ``44`` bits
+of their keys, four bytes a pair; what they let through is counted exactly.
 
 Defined results: a null text is empty and scores its end alone; a row without id is part of
 the training rows; repeated rows count and are returned as often as they stand. Without
@@ -51,8 +52,12 @@ END = np.uint64(0x9D5C0FB8A1E3F2C7)
 HELD = 1 << 21
 #: Sequences whose values are broadcast, and bits of a filter.
 HOT, FILTER_BITS = 1 << 20, 27
+#: Counts from which on sequences are as frequent as any.
+MOST = 1 << 12
 #: The key of a sequence and one more word: the key turned by so many bits, and the word's.
 TURN = 23
+#: Leading bits of a pair's key that deal it, and the bits after the next 32, which are left out.
+DEALT, LEFT = 12, 20
 
 
 class Sorted:
@@ -83,11 +88,11 @@ class Sorted:
 
 class Filter:
     """Keys that may be in a staged table: two bits for each of its keys are set, of 16 for a
-    key and at most ``2 ** FILTER_BITS``."""
+    key and at most ``2 ** FILTER_BITS``. The last ``LEFT`` bits of a key are not looked at."""
 
     def __init__(self, keys: DataFrame):
         self.mask = (1 << min(FILTER_BITS, max(10, (16 * keys.count()).bit_length()))) - 1
-        spots = keys.select(F.expr(f"explode(array(key & {self.mask}L, shiftrightunsigned(key, 32) & {self.mask}L)) AS spot"))
+        spots = keys.select(F.expr(f"explode(array(shiftrightunsigned(key, {LEFT}) & {self.mask}L, shiftrightunsigned(key, 37) & {self.mask}L)) AS spot"))
         spots = spots.groupBy(F.expr("shiftright(spot, 6)").alias("place"))
         table = spots.agg(F.expr("bit_or(shiftleft(1L, CAST(spot & 63L AS INT)))").alias("bits")).toArrow()
         self.bits = np.zeros((self.mask >> 6) + 1, np.uint64)
@@ -97,7 +102,7 @@ class Filter:
     def has(self, keys: np.ndarray) -> np.ndarray:
         mask, six = np.uint64(self.mask), np.uint64(63)
         out = np.ones(len(keys), bool)
-        for spot in (keys & mask, (keys >> np.uint64(32)) & mask):
+        for spot in ((keys >> np.uint64(LEFT)) & mask, (keys >> np.uint64(37)) & mask):
             out &= (self.bits[spot >> np.uint64(6)] >> (spot & six)) & np.uint64(1) == 1
         return out
 
@@ -139,19 +144,18 @@ def _symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         yield first, last, symbols, rows + np.arange(len(rows))
 
 
-def _counted(size: int, contexts=None, listed=None, keys_only: bool = False):
+def _counted(size: int, contexts=None, listed=None, form=None, words=None):
     """Counts of contexts of ``size`` words that pass the filter ``contexts``, with their next
-    symbols, or of the keys of both; combined over what a task holds. ``listed`` passes the
-    symbols after one word by the key of both, after more words by that of the suffix and the symbol."""
+    symbols, or in another form; combined over what a task holds. ``listed`` passes the
+    symbols after one word by the key of both, after more words by that of the suffix and the symbol,
+    ``words`` by the symbol's own."""
 
     def combined(held):
         key, context, word, n = (np.concatenate(x) for x in zip(*held))
         key, at, place = np.unique(key, return_index=True, return_inverse=True)
         return key, context[at], word[at], np.bincount(place, n).astype(np.int64)
 
-    def out(held):
-        key, context, word, n = (pa.array(x.view(np.int64)) for x in held)
-        return pa.RecordBatch.from_arrays([key, n] if keys_only else [context, word, n], ["key", "n"] if keys_only else ["context", "word", "n"])
+    out = form or _triples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -164,6 +168,8 @@ def _counted(size: int, contexts=None, listed=None, keys_only: bool = False):
                         keys = _longer(keys, symbols)
                     at = at[at - np.repeat(borders[:-1], np.diff(borders)) >= size]
                     at = at[contexts.value.has(keys[at - 1])]
+                    if words is not None:
+                        at = at[words.value.has(symbols[at])]
                     before, keys = keys, _longer(keys, symbols)
                     if listed is not None:
                         at = at[listed.value.has(keys[at] if size == 1 else before[at])]
@@ -185,10 +191,45 @@ def _counted(size: int, contexts=None, listed=None, keys_only: bool = False):
     return run
 
 
+def _triples(held) -> pa.RecordBatch:
+    _, *columns = (pa.array(x.view(np.int64)) for x in held)
+    return pa.RecordBatch.from_arrays(columns, ["context", "word", "n"])
+
+
+def _totals(held) -> pa.RecordBatch:
+    key, _, _, n = (pa.array(x.view(np.int64)) for x in held)
+    return pa.RecordBatch.from_arrays([key, n], ["key", "n"])
+
+
+def _dealt(held) -> pa.RecordBatch:
+    """The counts of sorted keys by their leading bits: the next 32 bits of each key, and its count."""
+    key, _, _, n = held
+    dealt = key >> np.uint64(64 - DEALT)
+    numbers, first = np.unique(dealt, return_index=True)
+    ends = np.append(first, len(key)).astype(np.int32)
+
+    def cut(values: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends * np.int32(values.itemsize)), pa.py_buffer(values)])
+
+    prints = ((key >> np.uint64(LEFT)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    # only whether a count reaches LEAST_LISTED is asked
+    columns = [pa.array(numbers.astype(np.int32)), cut(prints), cut(np.minimum(n, 255).astype(np.uint8))]
+    return pa.RecordBatch.from_arrays(columns, ["dealt", "prints", "counts"])
+
+
+def _often(pairs: pa.Table) -> pa.Table:
+    """The keys, without their last bits, that one dealing counts ``LEAST_LISTED`` times."""
+    prints, counts = (np.frombuffer(b"".join(pairs.column(c).to_pylist()), t) for c, t in (("prints", np.uint32), ("counts", np.uint8)))
+    prints, place = np.unique(prints, return_inverse=True)
+    prints = prints[np.bincount(place, counts) >= LEAST_LISTED].astype(np.uint64)
+    leading = np.uint64(pairs.column("dealt")[0].as_py()) << np.uint64(64 - DEALT)
+    return pa.table({"key": (leading | (prints << np.uint64(LEFT))).view(np.int64)})
+
+
 def grown(training: DataFrame, stage: Stage) -> Tree:
     """The tree of the training texts (``text``)."""
     spark = training.sparkSession
-    words = training.mapInArrow(_counted(0, keys_only=True), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    words = training.mapInArrow(_counted(0, form=_totals), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     words = stage.keep(words, "words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     root = (F.col("n") + 1) / F.lit(float(n + v + 1))
@@ -207,9 +248,11 @@ def grown(training: DataFrame, stage: Stage) -> Tree:
         candidates = stage.keep(candidates, f"candidates-{size}")
         known = spark.sparkContext.broadcast(Filter(candidates))
         if size == 1:
-            # most pairs of words stand once: only their keys are dealt, then what is listed is counted
-            pairs = training.mapInArrow(_counted(1, known, keys_only=True), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-            listed = stage.keep(pairs.filter(F.col("n") >= LEAST_LISTED).select("key"), "pairs")
+            # most pairs of words stand once: only bits of their keys are dealt, then what may be listed is counted
+            common = spark.sparkContext.broadcast(Filter(words.filter(F.col("n") >= LEAST_LISTED)))
+            pairs = training.mapInArrow(_counted(1, known, form=_dealt, words=common), "dealt int, prints binary, counts binary")
+            listed = stage.keep(pairs.groupBy("dealt").applyInArrow(_often, "key long"), "pairs")
+            common.destroy()
         else:
             # a symbol is listed after a context only if it is after the suffix
             listed = rows.select(_longer_sql("key", "word").alias("key"))
@@ -237,7 +280,7 @@ def grown(training: DataFrame, stage: Stage) -> Tree:
             (F.coalesce("value", F.lit(0.0)) + F.coalesce(F.log10("left"), F.lit(0.0))).alias("value"),
         )
         parts.append(stage.keep(whole, f"values-{size}"))
-        stage.drop(f"candidates-{size}", f"counted-{size}")
+        stage.drop(f"candidates-{size}", f"counted-{size}", *(["words", "pairs"] if size == 1 else [f"rows-{size - 1}", f"level-{size - 1}"]))
         if states.isEmpty():
             break
         after = F.col("left") * F.col("below")
@@ -262,23 +305,25 @@ class Hot(NamedTuple):
 
 def _hot(tree: Tree) -> tuple[Hot, DataFrame]:
     """What is broadcast, and the table of all other values."""
-    bits = F.floor(F.log2("n"))
-    sizes = dict(tree.values.groupBy(bits.alias("bits")).agg(F.count("*")).collect())
-    # whole powers of two from above, as long as they fit
-    total, least = 0, 64
-    for bit in sorted(sizes, reverse=True):
-        total += sizes[bit]
+    times = F.least("n", F.lit(MOST))
+    sizes = dict(tree.values.groupBy(times.alias("times")).agg(F.count("*")).collect())
+    # whole counts from above, as long as they fit
+    total, least = 0, MOST + 1
+    for count in sorted(sizes, reverse=True):
+        total += sizes[count]
         if total > HOT:
             break
-        least = bit
-    table = tree.values.filter(bits >= least).select("key", "root", "value").toArrow()
+        least = count
+    table = tree.values.filter(times >= least).select("key", "root", "value").toArrow()
     key, root, value = (table.column(c).combine_chunks() for c in range(3))
-    others = tree.values.filter(bits < least).select("key", "root", "value")
+    del table
+    others = tree.values.filter(times < least).select("key", "root", "value")
     mixed = texts.mix(np.asarray(key, np.int64).view(np.uint64))
     order = np.argsort(mixed)
     root, value = np.asarray(root.fill_null(0.0), float)[order], np.asarray(value, float)[order]
-    known = Hot(Sorted(mixed[order]), root, value, Filter(others), tree.depth)
-    return known, others
+    places = Sorted(mixed[order])
+    del key, mixed, order
+    return Hot(places, root, value, Filter(others), tree.depth), others
 
 
 def _scored(known):
@@ -351,7 +396,7 @@ def told(rows: DataFrame, tree: Tree, stage: Stage) -> DataFrame:
 def scores(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     """Scores of every text by a tree learnt from the rows whose crc32 of the id modulo
     ``folds`` is not ``held``: base (root only) and tree, in log10."""
-    stage = Stage(docs.sparkSession, "suffix-tree")
+    stage = Stage(docs.sparkSession, "suffix-tree", free_shuffles=True)
     out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(folds)) == held
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), out.alias("held_out"), "text")
     return told(rows, grown(rows.filter(~F.col("held_out")).select("text"), stage), stage)

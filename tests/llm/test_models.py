@@ -203,6 +203,39 @@ def test_suffix_tree_keeps_contexts_in_a_larger_corpus(spark):
     assert len(alone) > 3 and all(small <= large for small, large in zip(alone, among))
 
 
+def test_suffix_tree_broadcasts_by_counts_and_frees_shuffles(spark, monkeypatch):
+    rows = [(k, n, None, 0.5) for k, n in enumerate((5, 6, 6, 7, 1 << 20))]
+    values = spark.createDataFrame(rows, "key long, n long, root double, value double")
+    monkeypatch.setattr(suffix_tree, "HOT", 4)
+    hot, others = suffix_tree._hot(suffix_tree.Tree(values, 10, 5, 1))
+    assert len(hot.value) == 4 and [r.key for r in others.collect()] == [0]
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    stage, before = suffix_tree.Stage(spark, "freed", free_shuffles=True), shuffled()
+    kept = stage.keep(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert shuffled() <= before and {r["count"] for r in kept.collect()} == {142, 143}
+
+
+def test_pairs_by_bits_of_their_keys():
+    turn = random.Random(8)
+    keys = [turn.getrandbits(64) for _ in range(3000)]
+    times = {k: turn.randrange(1, 7) for k in keys}
+    told = []
+    for _ in range(3):  # as from three tasks, of which none need see a pair often
+        told.append(Counter(turn.sample([k for k in keys for _ in range(times[k])], 4000)))
+    rows = {}
+    for counts in told:
+        key = suffix_tree.np.array(sorted(counts), dtype="uint64")
+        batch = suffix_tree._dealt((key, None, None, suffix_tree.np.array([counts[k] for k in sorted(counts)])))
+        for row in batch.to_pylist():
+            rows.setdefault(row["dealt"], []).append(row)
+    found = {k % 2**64 for group in rows.values() for k in suffix_tree._often(suffix_tree.pa.Table.from_pylist(group)).column("key").to_pylist()}
+    assert found == {k >> 20 << 20 for k, n in sum(told, Counter()).items() if n >= suffix_tree.LEAST_LISTED}
+
+
 def test_suffix_tree_of_odd_rows(spark):
     docs = documents(spark, *phrases())
     assert suffix_tree.scores(docs.limit(0)).collect() == []
