@@ -138,3 +138,15 @@ def test_edges_move_names_only(spark, monkeypatch):
 
 def java_spans(lines):
     return staged(java.declarations(lines))
+
+
+def test_texts_are_cut_once_and_parents_told_once_a_piece(spark):
+    content = F.concat(F.lit("class A"), "id", F.lit(" {\n  void m() {\n  }\n}\n"))
+    files = spark.range(3).select(F.concat(F.lit("A"), "id").alias("file_path"), content.alias("content"))
+    lines = numbered_lines(files, "java")
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
+    found = java.line_context(staged_by(lines, "file_path", 2))
+    above_join = found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "parent_type" in found.columns and "array_join" not in above_join
+    got = {(r.file_path, r.line_no, r.parent_type, r.parent_method) for r in found.collect()}
+    assert got == {(f"A{i}", n, f"A{i}", "m" if n in (2, 3) else None) for i in range(3) for n in range(1, 5)}
