@@ -219,6 +219,50 @@ def test_suffix_tree_broadcasts_by_counts_and_frees_shuffles(spark, monkeypatch)
     assert shuffled() <= before and {r["count"] for r in kept.collect()} == {142, 143}
 
 
+def test_suffix_tree_counts_several_levels_in_one_pass(spark, monkeypatch):
+    kept = []
+    keep = suffix_tree.Stage.keep
+    monkeypatch.setattr(suffix_tree.Stage, "keep", lambda self, df, name: (kept.append(name), keep(self, df, name))[1])
+    tree = suffix_tree.grown(documents(spark, *phrases()).select("text"), suffix_tree.Stage(spark, "passes"))
+    assert tree.depth > 3 and {x for x in kept if x.startswith("counted-")} == {"counted-1", "counted-2", "counted-3"}
+
+
+def test_suffix_tree_moves_sequences_in_packed_rows(spark, monkeypatch):
+    lines = [*phrases(), None, "", "unseen Words here"]
+    plain = PlainTree(lines)
+    tree = suffix_tree.grown(documents(spark, *lines).select("text"), suffix_tree.Stage(spark, "packed"))
+    monkeypatch.setattr(suffix_tree, "HOT", 0)
+    hot, others = suffix_tree._hot(tree)
+    pa = suffix_tree.pa
+    # blocks of a few texts, as in tasks that hold more than they may
+    monkeypatch.setattr(suffix_tree, "BLOCK", 50)
+    monkeypatch.setattr(suffix_tree.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    docs = pa.record_batch([pa.array(range(len(lines))), pa.array([False] * len(lines)), pa.array(lines)], ["doc_id", "held_out", "text"])
+    known = type("Sent", (), {"value": hot})
+    asked = pa.Table.from_batches(suffix_tree._scored(known, 4)([docs]))
+    blocks = -(-len(lines) // 50)
+    assert len(asked) <= len(lines) + 16 * blocks and len(set(asked.column("block").to_pylist())) == blocks
+    table = pa.Table.from_batches(suffix_tree._table(4)(others.select("key", "root", "value").toArrow().to_batches()))
+    added = pa.concat_tables(suffix_tree._looked_up(*(t.filter(pa.compute.equal(t.column("dealt"), k)) for t in (asked, table))) for k in range(16))
+    got = {}
+    for k in set(added.column("block").to_pylist()):
+        got |= {r["doc_id"]: r for r in suffix_tree._added(added.filter(pa.compute.equal(added.column("block"), k))).to_pylist()}
+    assert sorted(got) == list(range(len(lines)))
+    for i, line in enumerate(lines):
+        unseen = (got[i]["n_tokens"] - got[i]["n_known"]) * tree.unseen
+        assert got[i]["score"] + unseen == pytest.approx(plain.score(line)), line
+
+
+def test_packed_arrays_come_back():
+    np = suffix_tree.np
+    keys = np.sort(np.random.default_rng(2).integers(0, 1 << 64, 5000, dtype=np.uint64))
+    _, borders = suffix_tree._by_bits(keys, 5)
+    for values, kind, rising in ((keys, np.uint64, True), (keys, np.uint64, False), (keys.view(np.float64), np.float64, False), (keys.astype(np.uint16), np.uint16, False)):
+        packed = suffix_tree.pa.chunked_array([(suffix_tree._rising if rising else suffix_tree._planes)(values, borders)])
+        back, sizes = suffix_tree._values(packed, kind, rising)
+        assert back.tobytes() == values.tobytes() and sizes.tolist() == np.diff(borders).tolist()
+
+
 def test_pairs_by_bits_of_their_keys():
     turn = random.Random(8)
     keys = [turn.getrandbits(64) for _ in range(3000)]
