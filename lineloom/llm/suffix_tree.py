@@ -30,7 +30,8 @@ first level's may be a candidate; those that turn out to be none meet no candida
 Counts and sequences to be scored are shuffled as packed arrays, one row for all keys of a task with the
 same leading bits; ``_summed`` and ``_looked_up`` work on all keys with these bits, some
 ``2 ** 20`` at any size of the input. A block of texts comes together again with what its
-sequences add.
+sequences add. Texts are scored in ``ROUNDS`` parts by their ids, so that what is shuffled for one
+is freed before the next.
 
 Defined results: a null text is empty and scores its end alone; a row without id is part of
 the training rows; repeated rows count and are returned as often as they stand. Without
@@ -70,6 +71,8 @@ DEALT, LEFT = 12, 20
 LEVELS = 4
 #: Texts of one block, whose numbers take two bytes.
 BLOCK = 1 << 16
+#: Parts of the texts that are scored one after another, each shuffled and freed by itself.
+ROUNDS = 2
 
 
 class Sorted:
@@ -565,12 +568,16 @@ def _added(block: pa.Table) -> pa.Table:
 def told(rows: DataFrame, tree: Tree, stage: Stage) -> DataFrame:
     """Scores of ``doc_id, held_out, text``."""
     hot, others = _hot(tree)
-    bits = max(4, (hot.times >> 19).bit_length())
+    bits = max(4, (hot.times >> 20).bit_length())
     known = rows.sparkSession.sparkContext.broadcast(hot)
-    asked = rows.mapInArrow(_scored(known, bits), ASKED).groupBy("dealt")
-    table = others.mapInArrow(_table(bits), "dealt int, keys binary, roots binary, sums binary").groupBy("dealt")
-    found = asked.cogroup(table).applyInArrow(_looked_up, ADDED).groupBy("block").applyInArrow(_added, SCORED)
-    found = stage.keep(found, "scored")
+    found = None
+    for part in range(ROUNDS):
+        own = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == part)
+        asked = own.mapInArrow(_scored(known, bits), ASKED).groupBy("dealt")
+        table = others.mapInArrow(_table(bits), "dealt int, keys binary, roots binary, sums binary").groupBy("dealt")
+        added = asked.cogroup(table).applyInArrow(_looked_up, ADDED)
+        scored = stage.keep(added.groupBy("block").applyInArrow(_added, SCORED), f"scored-{part}")
+        found = found.unionByName(scored) if found is not None else scored
     known.destroy()
     unseen = (F.col("n_tokens") - F.col("n_known")) * F.lit(tree.unseen)
     return found.select(

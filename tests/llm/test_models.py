@@ -253,6 +253,18 @@ def test_suffix_tree_moves_sequences_in_packed_rows(spark, monkeypatch):
         assert got[i]["score"] + unseen == pytest.approx(plain.score(line)), line
 
 
+def test_suffix_tree_scores_in_rounds(spark, monkeypatch):
+    kept = []
+    keep = suffix_tree.Stage.keep
+    monkeypatch.setattr(suffix_tree.Stage, "keep", lambda self, df, name: (kept.append((name, df.schema)), keep(self, df, name))[1])
+    lines = phrases()
+    got = suffix_tree.scores(documents(spark, *lines)).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(lines)))
+    assert sum(name.startswith("scored") for name, _ in kept) == suffix_tree.ROUNDS > 1
+    # no list of sequences lies beside the scores
+    assert not any("array" in schema.simpleString() for _, schema in kept)
+
+
 def test_packed_arrays_come_back():
     np = suffix_tree.np
     keys = np.sort(np.random.default_rng(2).integers(0, 1 << 64, 5000, dtype=np.uint64))
