@@ -194,11 +194,10 @@ def chunks(
     spans: DataFrame | None = None,
     block: int | None = None,
 ) -> DataFrame:
-    """A chunk per declaration, in pieces where it is long."""
-    block = block_for(lines, block=block)
+    """A chunk per declaration, in pieces where it is long. Lines of short files that lie by file stay there."""
     spans = declarations(lines, block) if spans is None else spans
     return span_pieces(
-        lines, spans.drop("n_lines"), text.COMMENT_MARKS["python"], limit=limit, block=block
+        lines, spans, text.COMMENT_MARKS["python"], limit=limit, block=block
     ).select(
         "file_path",
         "type",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lineloom.operators import graph, java, query
+from lineloom.operators import all_chunks, graph, java, merge, python_source, query
 from lineloom.operators.lines import numbered_lines
 from lineloom.session import staged, staged_by
 from lineloom.sources import stores
@@ -51,6 +51,44 @@ def test_chunks_move_no_line(spark):
     assert rows(java.chunks(mixed)) == rows(java.chunks(mixed, block=64))
 
 
+PYTHON = """'''Doc {i}'''
+class A:
+    def m(self):
+        # step
+
+        return {i}
+
+    async def n(self):
+        pass
+"""
+
+
+def test_chunks_of_files_move_a_text_once(spark, monkeypatch):
+    moved = []
+    monkeypatch.setattr(all_chunks, "staged", lambda df, *rest: moved.append(exchanges(df)) or staged(df, *rest))
+    texts = [(f"f{i}.java", ODD * (i % 3)) for i in range(12)] + [(f"p{i}.py", PYTHON.format(i=i) * (i % 3)) for i in range(12)]
+    # rows that come twice, too
+    files = spark.createDataFrame([*texts, *texts[:3], *texts[-3:]], ["file_path", "content"])
+    java_files, python_files = files.where("file_path LIKE '%.java'"), files.where("file_path LIKE '%.py'")
+    found = all_chunks.java_chunks(java_files), all_chunks.python_chunks(python_files)
+    assert moved == [1, 1] and [exchanges(f) for f in found] == [0, 0]
+    lines = staged(numbered_lines(java_files, "java")), staged(numbered_lines(python_files, "python"))
+    merged = merge.merge_small(java.chunks(lines[0], block=4), block=4).select(*found[0].columns)
+    assert rows(found[0]) == rows(merged) != []
+    cut = python_source.docstrings(python_files).unionByName(python_source.chunks(lines[1], block=4))
+    assert rows(found[1]) == rows(cut) != []
+
+
+def test_a_long_file_moves_no_chunk_of_short_ones(spark, monkeypatch):
+    files = spark.createDataFrame([("short", ODD), ("long", ODD * 150)], ["file_path", "content"])
+    real, merged = merge.merge_small, []
+    monkeypatch.setattr(merge, "merge_small", lambda df, **how: merged.append(real(df, **how)) or merged[-1])
+    found = all_chunks.java_chunks(files)
+    assert len(merged) == 2 and exchanges(merged[0]) == 0
+    lines = staged(numbered_lines(files, "java"))
+    assert rows(found) == rows(real(java.chunks(lines, block=64), block=64).select(*found.columns))
+
+
 def test_a_long_file_leaves_short_ones_in_place(spark):
     files = spark.createDataFrame([("short", ODD), ("long", ODD * 150)], ["file_path", "content"])
     lines = staged(numbered_lines(files, "java"))
